@@ -7,6 +7,7 @@ session time zone; local time is derived with an explicit zone.
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import lru_cache
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, functions as F
@@ -16,24 +17,64 @@ def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+@lru_cache(maxsize=None)
+def steady_since(timezone: str) -> tuple[datetime, int] | None:
+    """From when on a zone keeps one UTC offset, and that offset in minutes.
+
+    None for zones that still change it. The result is a UTC time a day after the last
+    change between 1970 and 2037.
+    """
+    zone = ZoneInfo(timezone)
+    moment, last = datetime(1970, 1, 1), datetime(2037, 12, 31)
+    since, offset = moment, None
+    while moment <= last:
+        now = moment.replace(tzinfo=ZoneInfo("UTC")).astimezone(zone).utcoffset()
+        if now != offset:
+            since, offset = moment, now
+        moment += timedelta(days=1)
+    if since > datetime(2030, 1, 1) or offset % timedelta(minutes=1):
+        return None
+    return since + timedelta(days=1), int(offset / timedelta(minutes=1))
+
+
+def _shift(value, source: str, target: str, zone: str, sign: int) -> Column:
+    """Zone conversion; plain addition where the zone's offset no longer changes.
+
+    ``convert_timezone`` resolves both zone names for every row, so it is kept for times
+    before the last change and for zones with daylight saving.
+    """
+    col = _col(value)
+    general = F.convert_timezone(F.lit(source), F.lit(target), col)
+    steady = steady_since(zone)
+    if steady is None:
+        return general
+    since, minutes = steady
+    if sign < 0:
+        since = since + timedelta(minutes=minutes)
+    moved = col + F.expr(f"interval '{sign * minutes}' minute")
+    return F.when(col >= F.lit(since.isoformat(" ")).cast("timestamp_ntz"), moved).otherwise(general)
+
+
 def to_local(utc, timezone: str) -> Column:
-    return F.convert_timezone(F.lit("UTC"), F.lit(timezone), _col(utc))
+    return _shift(utc, "UTC", timezone, timezone, 1)
 
 
 def to_utc(local, timezone: str) -> Column:
-    return F.convert_timezone(F.lit(timezone), F.lit("UTC"), _col(local))
+    return _shift(local, timezone, "UTC", timezone, -1)
 
 
 def instant_to_utc(instant) -> Column:
     """TIMESTAMP to UTC wall-clock NTZ, whatever the session zone is."""
-    return F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), _col(instant).cast("timestamp_ntz")
-    )
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(instant)), _epoch())
 
 
 def utc_to_instant(utc) -> Column:
     """UTC wall-clock NTZ to TIMESTAMP, as a watermark needs it."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), _col(utc)).cast("timestamp")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), _col(utc)))
 
 
 def local_day(utc, timezone: str) -> Column:
@@ -70,22 +111,13 @@ def parse_day(text: Column) -> Column:
     return F.when(digits.rlike("^[0-9]{8}$"), F.try_to_date(digits, "yyyyMMdd"))
 
 
-def fixed_offset_minutes(timezone: str) -> int:
-    """UTC offset of a zone that keeps one offset all year; others are refused.
+def window_shift_minutes(timezone: str, window_minutes: int) -> int:
+    """Start offset that puts window bounds on the zone's local clock.
 
-    ``window()`` takes one start offset for all rows, so a zone with daylight saving
-    cannot be aligned on a stream.
+    ``window()`` takes one start offset for all rows, so a zone that changes its offset
+    cannot be aligned on a stream and is refused.
     """
-    zone = ZoneInfo(timezone)
-    year = datetime.now().year
-    offsets = {
-        datetime(year, month, 15, tzinfo=zone).utcoffset() for month in range(1, 13)
-    }
-    if len(offsets) != 1:
-        raise ValueError(f"{timezone} changes its offset during the year")
-    return int(offsets.pop() / timedelta(minutes=1))
-
-
-def window_shift_minutes(timezone: str, window_minutes: int) -> int:
-    """Start offset that puts window bounds on the zone's local clock."""
-    return fixed_offset_minutes(timezone) % window_minutes
+    steady = steady_since(timezone)
+    if steady is None:
+        raise ValueError(f"{timezone} changes its UTC offset; windows cannot be aligned to it")
+    return steady[1] % window_minutes

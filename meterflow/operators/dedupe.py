@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 READING_KEY = ("meter_id", "timestamp")
+MEASURES = ("power_consumption_kwh", "solar_generation_kwh", "household_id", "grid_zone")
 
 
 def dedupe_readings(df: DataFrame, key=READING_KEY, partition_by=("sim_day",),
                     first_by=("ingested_at",)) -> DataFrame:
-    """One row per key, the earliest arrival; remaining columns settle exact ties.
+    """One row per key, the earliest arrival; the measured columns settle exact ties.
 
     The day is part of the window key although the key fixes it, so a later day filter
     still reaches the scan as a partition filter. ``row_number() = 1`` is planned as a
     group limit before the shuffle: however often one reading was replayed, a task sends
     at most one copy of it.
     """
-    used = {*key, *partition_by, *first_by}
-    rest = sorted(c for c in df.columns if c not in used)
-    order = [F.col(c).asc_nulls_last() for c in [*first_by, *rest]]
+    settled_by = [c for c in (*first_by, *MEASURES) if c in df.columns]
+    order = [F.col(c).asc_nulls_last() for c in settled_by]
     window = Window.partitionBy(*partition_by, *key).orderBy(*order)
     return df.withColumn("_copy", F.row_number().over(window)).where("_copy = 1").drop("_copy")
 

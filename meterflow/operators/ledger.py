@@ -41,7 +41,8 @@ def fold(events: DataFrame) -> DataFrame:
         F.max_by(F.when(is_finish, F.col("rows_written")), F.when(is_finish, F.col("at")))
         .alias("rows_written"),
     ).where("started_at is not null")
-    followed = next_start(per_run)
+    starts = events.where(is_start).select("run_id", "component", F.col("at").alias("started_at"))
+    followed = next_start(per_run, starts)
     superseded = F.col("next_at").isNotNull() & (
         F.col("own_finish").isNull() | (F.col("own_finish") > F.col("next_at"))
     )
@@ -57,14 +58,19 @@ def fold(events: DataFrame) -> DataFrame:
     )
 
 
-def next_start(runs: DataFrame) -> DataFrame:
-    """Adds the time and id of the next start in the component; ties go by run id."""
+def next_start(runs: DataFrame, starts: DataFrame) -> DataFrame:
+    """Adds the time and id of the next start in the component; ties go by run id.
+
+    The first start of each day is taken from the start events themselves, so the runs
+    are folded once.
+    """
     place = F.struct(F.col("started_at").alias("at"), F.col("run_id").alias("run"))
-    dated = runs.withColumn("_day", F.to_date("started_at")).withColumn("_place", place)
-    inside = Window.partitionBy("component", "_day").orderBy("_place")
-    heads = dated.groupBy("component", "_day").agg(F.min("_place").alias("_head"))
+    day = F.to_date("started_at")
+    heads = starts.groupBy("component", day.alias("_day")).agg(F.min(place).alias("_head"))
     days = Window.partitionBy("component").orderBy("_day")
     following = heads.select("component", "_day", F.lead("_head").over(days).alias("_next_day"))
+    dated = runs.withColumn("_day", day).withColumn("_place", place)
+    inside = Window.partitionBy("component", "_day").orderBy("_place")
     joined = dated.withColumn("_next", F.lead("_place").over(inside)).join(
         following, ["component", "_day"], "left"
     )

@@ -186,8 +186,8 @@ _Q = {
     "recent_alerts": """SELECT * FROM alerts WHERE grid_zone = 'ASIA' ORDER BY ts DESC, rule, grid_zone, window_start LIMIT 50""",
     "alerts_in_range": """SELECT count(*) AS alerts FROM alerts
   WHERE ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-17'""",
-    "firing_count": """SELECT (count(DISTINCT rule) + (SELECT CASE WHEN count(*) > 0 THEN 1 ELSE 0 END FROM bills
-  WHERE tariff_rate IS NULL))::BIGINT AS firing FROM alerts""",
+    "firing_count": """SELECT (count(DISTINCT rule) + (SELECT CASE WHEN count(*) > 0 THEN 1 ELSE 0 END
+  FROM usage JOIN household USING (household_id) WHERE segment = 'MACHINERY'))::BIGINT AS firing FROM alerts""",
     "tariff_table": """SELECT sim_day::VARCHAR AS sim_day, household_id, tariff_rate::DOUBLE AS tariff_rate, billing_tier,
   subsidy_flag FROM tariff""",
     "weighted_tier": "SELECT billing_tier, subsidy_flag, count(*) AS households FROM terms GROUP BY 1, 2",

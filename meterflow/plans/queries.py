@@ -10,7 +10,7 @@ from meterflow.operators import (alerts, audit, billing, dedupe, energy, joins,
                                  ordering, sampling)
 from meterflow.plans import reports, streams
 from meterflow.sources import records, reports as report_files, standin, store, tariff_files
-from meterflow.workspace import shared_folder
+from meterflow.workspace import materialised, shared_folder
 
 TZ = settings.TIMEZONE
 KNOWN_ZONE = "ASIA"
@@ -47,8 +47,7 @@ class Model:
         return energy.zone_windows(self.readings(), TZ)
 
     def alerts(self):
-        return alerts.evaluate(self.windows(), TZ, standin.THRESHOLDS).withColumn(
-            "run_id", F.lit("speed-1"))
+        return self.alerts_of(self.windows())
 
     def runs(self):
         return ledger.fold(self.run_events())
@@ -62,9 +61,19 @@ class Model:
     def households(self):
         return standin.configured_households(self.spark, self.sf_dir)
 
-    def now(self):
+    def stored_windows(self):
+        """Zone windows as a table, for reports that read them more than once."""
+        return materialised(self.windows(), "windows")
+
+    @staticmethod
+    def now(windows):
         """The report time: the newest arrival, so that reports can be repeated."""
-        return self.readings().agg(F.max("ingested_at")).scalar()
+        return windows.agg(F.max("updated_at")).scalar()
+
+    @staticmethod
+    def alerts_of(windows):
+        raised = alerts.evaluate(windows, TZ, standin.THRESHOLDS)
+        return raised.withColumn("run_id", F.lit("speed-1"))
 
     def table(self, name):
         return standin.table(self.spark, self.sf_dir, name)
@@ -78,7 +87,7 @@ def portable(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DecimalType):
             col = col.cast("double")
         elif isinstance(field.dataType, T.DateType):
-            col = F.date_format(col, "yyyy-MM-dd")
+            col = col.cast("string")
         columns.append(col.alias(field.name))
     return df.select(*columns)
 
@@ -153,7 +162,7 @@ def closed_days(m):
 def newest_day_readings(m):
     """The default day, the newest stored one, found and read in one plan."""
     readings = m.readings()
-    newest = times.local_day(m.table("events").agg(F.max("ts")).scalar(), TZ)
+    newest = m.table("events").agg(F.max("ts").alias("ts")).select(times.local_day("ts", TZ)).scalar()
     return readings.where(F.col("sim_day") == newest).select(
         "meter_id", "timestamp", "sim_day", "grid_zone", "power_consumption_kwh")
 
@@ -214,13 +223,10 @@ def window_alignment(m):
 def approx_meters(m):
     """Whether the sketched meter count of each day and zone is within 15 % of the exact."""
     counted = m.unique().groupBy("sim_day", "grid_zone").agg(
-        F.count_distinct("meter_id").alias("exact"))
-    sketched = m.unique().groupBy("sim_day", "grid_zone").agg(
+        F.count_distinct("meter_id").alias("exact"),
         F.approx_count_distinct("meter_id", 0.05).alias("approx"))
-    both = counted.join(sketched, ["sim_day", "grid_zone"])
-    return both.select("sim_day", "grid_zone",
-                       (F.abs(F.col("approx") - F.col("exact")) <= F.col("exact") * 0.15)
-                       .alias("within_15_pct"))
+    within = F.abs(F.col("approx") - F.col("exact")) <= F.col("exact") * 0.15
+    return counted.select("sim_day", "grid_zone", within.alias("within_15_pct"))
 
 
 # -- alerts ------------------------------------------------------------------
@@ -253,13 +259,10 @@ def alerts_in_range(m):
 
 @query
 def firing_count(m):
-    """Conditions with rows: alerts of each rule, unpriced households, two-zone households."""
-    log = m.alerts()
-    return reports.firing_count(
-        renewable=log.where(F.col("rule") == alerts.LOW_RENEWABLE),
-        overload=log.where(F.col("rule") == alerts.ZONE_OVERLOAD),
-        unpriced=billing.unpriced(m.usage(), m.tariff()),
-    )
+    """Conditions that fire: alert rules, and households without a rate."""
+    rules = m.alerts().select(F.col("rule").alias("condition"))
+    unpriced = billing.unpriced(m.usage(), m.tariff(priced_segments_only=True))
+    return reports.firing_count(rules.unionByName(unpriced.select(F.lit("unpriced").alias("condition"))))
 
 
 # -- rates and sampling ------------------------------------------------------
@@ -484,22 +487,26 @@ def pick_subsidised(m):
 
 @query
 def health_row(m):
-    return reports.health(m.windows(), m.zones(), m.now())
+    windows = m.stored_windows()
+    return reports.health(windows, m.zones(), m.now(windows))
 
 
 @query
 def metric_rows(m):
-    return reports.metric_rows(m.windows(), m.alerts(), m.runs(), m.now(), "1-URGENT")
+    windows, runs = m.stored_windows(), materialised(m.runs(), "runs")
+    return reports.metric_rows(windows, m.alerts_of(windows), runs, m.now(windows), "1-URGENT")
 
 
 @query
 def status_bands(m):
-    return reports.status_bands(m.windows(), m.alerts(), m.now())
+    windows = m.stored_windows()
+    return reports.status_bands(windows, m.alerts_of(windows), m.now(windows))
 
 
 @query
 def table_counts(m):
-    return reports.table_counts(windows=m.windows(), alerts=m.alerts(),
+    windows = m.stored_windows()
+    return reports.table_counts(windows=windows, alerts=m.alerts_of(windows),
                                 runs=m.run_events().where("kind = 'start'"), bills=m.bills())
 
 
@@ -584,7 +591,7 @@ def last_success_duration(m):
 @query
 def bill_ownership(m):
     stored = m.stamped_bills()
-    return audit.bill_ownership(stored, standin.billing_runs(m.readings()))
+    return audit.bill_ownership(stored, standin.billing_runs(m.spark, m.sf_dir))
 
 
 # -- audits ------------------------------------------------------------------
@@ -675,7 +682,8 @@ def window_checks_all(m):
 def zone_freshness(m):
     asked = m.table("region").select(F.col("r_name").alias("grid_zone")).unionByName(
         m.table("nation").select(F.col("n_name").alias("grid_zone")))
-    return audit.zone_freshness(m.windows(), asked, m.now(), limit_seconds=1200)
+    windows = m.stored_windows()
+    return audit.zone_freshness(windows, asked, m.now(windows), limit_seconds=1200)
 
 
 @query
@@ -688,7 +696,7 @@ def layer_agreement(m):
 
 @query
 def latest_two_ways(m):
-    windows = m.windows()
+    windows = m.stored_windows()
     served = reports.zones(windows).select("grid_zone", "renewable_pct")
     return audit.latest_two_ways(windows, served)
 

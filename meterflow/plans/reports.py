@@ -143,12 +143,6 @@ def table_counts(**tables: DataFrame) -> DataFrame:
     return one.select(*[t.agg(F.count(F.lit(1))).scalar().alias(n) for n, t in tables.items()])
 
 
-def firing_count(**conditions: DataFrame) -> DataFrame:
-    """Conditions that currently have rows; 0 when there are none."""
-    spark = next(iter(conditions.values())).sparkSession
-    firing = [F.when(c.agg(F.count(F.lit(1))).scalar() > 0, 1).otherwise(0)
-              for c in conditions.values()]
-    total = firing[0]
-    for one in firing[1:]:
-        total = total + one
-    return spark.range(1).select(total.cast("bigint").alias("firing"))
+def firing_count(conditions: DataFrame) -> DataFrame:
+    """Number of different conditions with at least one row; 0 when nothing fires."""
+    return conditions.agg(F.count_distinct("condition").alias("firing"))

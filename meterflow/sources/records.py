@@ -20,24 +20,31 @@ NUMBERS = ["power_consumption_kwh", "solar_generation_kwh"]
 READING_COLUMNS = [*FIELDS, "sim_day", "ingested_at"]
 
 
-def _parsed(records: DataFrame) -> DataFrame:
-    text = F.col("value").cast("string")
-    return records.withColumn("_text", text).withColumn(
-        "_r", F.from_json(F.col("_text"), RECORD_SCHEMA)
-    )
-
-
-def _usable() -> Column:
+def _usable(record: Column) -> Column:
     """Every field present and of its type, energy finite and not negative."""
-    good = F.ltrim("_text").startswith("{")
+    good = record.isNotNull()
     for name in FIELDS:
-        good = good & F.col(f"_r.{name}").isNotNull()
+        good = good & record[name].isNotNull()
     for name in NUMBERS:
-        value = F.col(f"_r.{name}")
-        good = good & (value >= 0) & (value < float("inf"))
+        good = good & (record[name] >= 0) & (record[name] < float("inf"))
     return F.coalesce(good, F.lit(False))
 
 
+def _parsed(records: DataFrame, wanted) -> DataFrame:
+    """Records with their text and typed struct, kept where ``wanted(struct)`` holds.
+
+    The parse is bound to a lambda variable and the test runs on that: a plain filter
+    would be pushed below the projection and parse the text again for every field.
+    """
+    parsed = F.transform(
+        F.array(F.col("value").cast("string")),
+        lambda text: F.struct(
+            text.alias("text"),
+            F.from_json(F.when(F.ltrim(text).startswith("{"), text), RECORD_SCHEMA).alias("r")),
+    )
+    return records.withColumn("_p", F.explode(F.filter(parsed, lambda p: wanted(p["r"]))))
+
+
 def parse_readings(records: DataFrame, timezone: str, arrival: str | Column | None = None,
                    utc: bool = True) -> DataFrame:
     """Typed readings from records with a ``value`` column (text or bytes of JSON).
@@ -46,15 +53,15 @@ def parse_readings(records: DataFrame, timezone: str, arrival: str | Column | No
     names them. ``sim_day`` is the local date of the event. With ``utc`` the event time
     becomes NTZ in UTC, as tables hold it; a stream keeps TIMESTAMP for its watermark.
     """
-    good = _parsed(records).where(_usable())
-    stamp = times.instant_to_utc("_r.timestamp")
+    good = _parsed(records, _usable)
+    stamp = times.instant_to_utc("_p.r.timestamp")
     if arrival is None:
         arrived = times.instant_to_utc(F.current_timestamp())
     else:
         arrived = F.col(arrival) if isinstance(arrival, str) else arrival
     return good.select(
-        *[F.col(f"_r.{name}") for name in FIELDS if name != "timestamp"],
-        (stamp if utc else F.col("_r.timestamp")).alias("timestamp"),
+        *[F.col(f"_p.r.{name}") for name in FIELDS if name != "timestamp"],
+        (stamp if utc else F.col("_p.r.timestamp")).alias("timestamp"),
         times.local_day(stamp, timezone).alias("sim_day"),
         arrived.alias("ingested_at"),
     )
@@ -66,24 +73,24 @@ def quarantine(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     Refused records are parsed once more as plain text, which tells a missing field from
     one of the wrong type; good records are parsed once only.
     """
-    refused = _parsed(records).where(~_usable())
+    refused = _parsed(records, lambda record: ~_usable(record))
     as_text = T.StructType([T.StructField(name, T.StringType()) for name in FIELDS]
                            + [T.StructField("_broken", T.StringType())])
+    text = F.col("_p.text")
     raw = refused.withColumn(
-        "_t", F.from_json("_text", as_text, {"columnNameOfCorruptRecord": "_broken"})
+        "_t", F.from_json(text, as_text, {"columnNameOfCorruptRecord": "_broken"})
     )
-    not_json = F.col("_t._broken").isNotNull() | ~F.ltrim("_text").startswith("{") \
-        | F.col("_text").isNull()
+    not_json = F.col("_t._broken").isNotNull() | ~F.ltrim(text).startswith("{") | text.isNull()
     reason = F.when(not_json, F.lit("payload is not a JSON object"))
     for name in FIELDS:
         reason = reason.when(F.col(f"_t.{name}").isNull(), F.lit(f"missing {name}"))
     for name in NUMBERS:
-        value = F.col(f"_r.{name}")
+        value = F.col(f"_p.r.{name}")
         reason = reason.when(value.isNull() | (value == float("inf")) | F.isnan(value),
                              F.lit(f"{name} is not a number"))
         reason = reason.when(value < 0, F.lit(f"{name} is negative"))
     reason = reason.otherwise("timestamp is not ISO-8601")
-    return raw.select(*(keep or []), F.col("_text").alias("value"), reason.alias("reason"))
+    return raw.select(*(keep or []), text.alias("value"), reason.alias("reason"))
 
 
 def to_records(readings: DataFrame) -> Column:

@@ -106,8 +106,8 @@ def tariff(spark: SparkSession, sf_dir: str, timezone: str = TIMEZONE,
         who = who.where("segment <> 'MACHINERY'")
     events = table(spark, sf_dir, "events")
     bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
-    first = times.local_day(bounds.select("first").scalar(), timezone)
-    last = times.local_day(bounds.select("last").scalar(), timezone)
+    first = bounds.select(times.local_day("first", timezone)).scalar()
+    last = bounds.select(times.local_day("last", timezone)).scalar()
     return rate_table(who, first, last).hint("merge")
 
 
@@ -134,9 +134,10 @@ def _run_id(number: Column) -> Column:
                     number.cast("string"))
 
 
-def billing_runs(bills: DataFrame) -> DataFrame:
+def billing_runs(spark: SparkSession, sf_dir: str, timezone: str = TIMEZONE) -> DataFrame:
     """The runs behind ``stamped``: one a day, two on odd days; each tenth day failed."""
-    days = bills.select("sim_day").distinct()
+    days = table(spark, sf_dir, "events").select(
+        times.local_day("ts", timezone).alias("sim_day")).distinct()
     numbers = F.when(F.dayofmonth("sim_day") % 2 == 1, F.array(F.lit(1), F.lit(2))) \
         .otherwise(F.array(F.lit(1)))
     dated = days.withColumn("_n", F.explode(numbers))

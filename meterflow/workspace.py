@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -21,3 +21,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="meterflow-")
     return f"{base.rstrip('/')}/meterflow/{name}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For a small derived table that one report reads several times: the tables it comes
+    from are then scanned once. Being plain files it outlives lost executors.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
