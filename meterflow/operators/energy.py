@@ -69,6 +69,13 @@ def daily_usage(readings: DataFrame) -> DataFrame:
     return aggregate_energy(readings, ["sim_day", "household_id", "grid_zone"])
 
 
+def windows_of_day(windows: DataFrame, day, timezone: str) -> DataFrame:
+    """Windows that start on a local day, as a half-open range on the stored column."""
+    start = times.to_utc(F.lit(day).cast("date").cast("timestamp_ntz"), timezone)
+    end = times.to_utc(F.date_add(F.lit(day).cast("date"), 1).cast("timestamp_ntz"), timezone)
+    return windows.where((F.col("window_start") >= start) & (F.col("window_start") < end))
+
+
 def partition_counts(readings: DataFrame) -> DataFrame:
     return readings.groupBy("sim_day", "grid_zone").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("meter_id").alias("meters")

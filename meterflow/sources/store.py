@@ -50,6 +50,19 @@ def read_readings(spark: SparkSession, path: str, sim_day=None, dedupe: bool = T
     return dedupe_readings(stored) if dedupe else stored
 
 
+def stored_days(spark: SparkSession, path: str) -> DataFrame:
+    """Days in the store, newest first; only partition values are needed, no data column."""
+    days = spark.read.parquet(path).select(F.col("sim_day").cast("date").alias("sim_day"))
+    return days.distinct().orderBy(F.col("sim_day").desc())
+
+
+def newest_event(spark: SparkSession, path: str) -> Column:
+    """Newest event time as a scalar: it lies in the newest day, so one folder is read."""
+    stored = read_readings(spark, path, dedupe=False)
+    newest_day = stored.agg(F.max("sim_day")).scalar()
+    return stored.where(F.col("sim_day") == newest_day).agg(F.max("timestamp")).scalar()
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Refuses an empty input: reads at most one row to find out."""
     if df.isEmpty():
