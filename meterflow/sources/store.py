@@ -27,15 +27,17 @@ def write_batch(readings: DataFrame, path: str, batch: str, files_per_partition:
     """Writes a micro-batch so that writing it again changes nothing.
 
     Below day and zone lies one folder per batch, and only the folders of this batch are
-    overwritten. Rows of a zone are spread over ``files_per_partition`` tasks by meter and
-    time, so a zone with most of the batch does not wait for one writer; a micro-batch
-    itself is bounded by the source's rate options.
+    overwritten. With adaptive execution the batch is rebalanced by its measured sizes.
+    Without it (an older release, or a stateful query) rows of a zone are spread over
+    ``files_per_partition`` tasks, so a zone with most of the batch has several writers.
     """
-    salted = readings.withColumn("batch", F.lit(batch)).withColumn(
-        "_salt", F.pmod(F.xxhash64("meter_id", "timestamp"), F.lit(files_per_partition))
-    )
-    (salted.repartition(*PARTITIONS, "_salt").drop("_salt")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    marked = readings.withColumn("batch", F.lit(batch))
+    if readings.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        spread = marked.hint("rebalance", *PARTITIONS)
+    else:
+        salt = F.pmod(F.xxhash64("meter_id", "timestamp"), F.lit(files_per_partition))
+        spread = marked.withColumn("_salt", salt).repartition(*PARTITIONS, "_salt").drop("_salt")
+    (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITIONS, "batch").parquet(path))
 
 

@@ -45,7 +45,7 @@ def test_writing_a_batch_twice_changes_nothing(spark, tmp_path):
 
 
 def test_a_zone_is_spread_over_several_files(spark, tmp_path):
-    """Seen without adaptive execution, which merges tasks this small into one file."""
+    """Without adaptive execution, which would rebalance by size."""
     df = readings(spark, [(i, "a", 1, 0, "2026-01-01T01:00") for i in range(50)])
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
