@@ -40,6 +40,10 @@ def _arguments() -> argparse.ArgumentParser:
         p.add_argument(f"--{path}", required=True)
     p.add_argument("--day", help="YYYYMMDD or YYYY-MM-DD; default: the newest closed day")
     p.add_argument("--allow-open-day", action="store_true")
+    p = job("verify", "check the bills of one day; exit code 1 if a check fails")
+    for path in ("bills", "ledger", "day"):
+        p.add_argument(f"--{path}", required=True)
+    p.add_argument("--households", type=int, required=True, help="configured households")
     p = job("tariff", "write the rate files of some days")
     p.add_argument("--households", required=True, help="Parquet table with household_id")
     p.add_argument("--from-day", required=True)
@@ -88,6 +92,13 @@ def bill(spark, args):
     summary.show(truncate=False)
 
 
+def verify(spark, args):
+    checks = billing_run.verify(spark, args.bills, args.ledger, _day(spark, args.day), args.households)
+    checks.show(truncate=False)
+    if not checks.where("not ok").isEmpty():
+        raise SystemExit(1)
+
+
 def tariff(spark, args):
     days = [F.lit(_day(spark, text)) for text in (args.from_day, args.to_day)]
     households = spark.read.parquet(args.households)
@@ -109,8 +120,8 @@ def inspect(spark, args):
 def main(argv=None):
     args = _arguments().parse_args(argv)
     spark = SparkSession.builder.appName(f"meterflow-{args.job}").getOrCreate()
-    {"raw-store": raw_store, "metrics": metrics, "bill": bill, "tariff": tariff,
-     "inspect": inspect}[args.job](spark, args)
+    {"raw-store": raw_store, "metrics": metrics, "bill": bill, "verify": verify,
+     "tariff": tariff, "inspect": inspect}[args.job](spark, args)
 
 
 if __name__ == "__main__":

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 HEAVY_SHARE = 1000
+# Memory a compressed column may take for each byte of its file.
+EXPANSION = 10
 
 
 def planned_bytes(df: DataFrame) -> int | None:
@@ -35,12 +37,13 @@ def attach_dimension(facts: DataFrame, dimension: DataFrame, key: str,
                      dimension_bytes: int | None, limit: int | None = None) -> DataFrame:
     """Inner join of facts to a dimension that is unique on the key.
 
-    A dimension within the broadcast limit is broadcast and the facts never move. Beyond
-    it, the rows of heavy keys are joined by broadcasting just those keys' dimension rows
-    (fewer than ``HEAVY_SHARE``), and only the remaining, even rows are shuffled.
+    A dimension that stays within the broadcast limit even when its files expand in
+    memory is broadcast, and the facts never move. Beyond that, the rows of heavy keys are
+    joined by broadcasting just those keys' dimension rows (fewer than ``HEAVY_SHARE``),
+    and only the remaining, even rows are shuffled.
     """
     limit = broadcast_limit(facts) if limit is None else limit
-    if dimension_bytes is not None and dimension_bytes <= limit:
+    if dimension_bytes is not None and dimension_bytes * EXPANSION <= limit:
         return facts.join(F.broadcast(dimension), key)
     heavy = heavy_keys(facts, key)
     heavy_dimension = dimension.join(F.broadcast(heavy), key, "left_semi")

@@ -10,7 +10,7 @@ from datetime import date, datetime, timezone as tz
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterflow.functions import times
-from meterflow.operators import billing, energy, ledger
+from meterflow.operators import audit, billing, energy, ledger
 from meterflow.settings import BillingTerms, TIMEZONE, WATERMARK_MINUTES
 from meterflow.sources import reports, store, tariff_files
 from meterflow.workspace import materialised
@@ -93,8 +93,7 @@ def run(spark: SparkSession, store_path: str, tariff_path: str, bills_path: str,
     try:
         readings = store.read_readings(spark, store_path, chosen)
         store.require_rows(readings, f"the store for {chosen}")
-        rates = tariff_files.read_tariff(spark, tariff_path)
-        tariff = rates.where(F.col("sim_day") == F.lit(chosen))
+        tariff = tariff_files.read_day(spark, tariff_path, chosen)
         usage = materialised(energy.daily_usage(readings), "usage")
         check(usage, tariff)
         write_bills(billing.bills_from_usage(usage, tariff, terms), bills_path, run_id)
@@ -108,6 +107,30 @@ def run(spark: SparkSession, store_path: str, tariff_path: str, bills_path: str,
         record(spark, ledger_path, run_id, "finish", status=status, rows=rows)
 
 
+def verify(spark: SparkSession, bills_path: str, ledger_path: str, day: date,
+           configured_households: int) -> DataFrame:
+    """Gate after a run: one line per check with expected, actual and verdict.
+
+    Every household has a bill, amounts follow from usage and rate, none is impossible,
+    and one run, the newest and successful, owns the day.
+    """
+    bills = read_bills(spark, bills_path).where(F.col("sim_day") == F.lit(day))
+    runs = read_ledger(spark, ledger_path).where(F.col("sim_day") == F.lit(day))
+    wrong = audit.verify_bills(bills).agg(F.count(F.lit(1)).alias("actual"))
+    impossible = audit.impossible_bills(bills).agg(
+        F.coalesce(F.sum("impossible"), F.lit(0)).alias("actual"))
+    owned = audit.bill_ownership(bills, runs).agg(F.count_if(F.col("ok")).alias("actual"))
+    billed = bills.agg(F.count(F.lit(1)).alias("actual"))
+    lines = None
+    for name, expected, found in (("households_billed", configured_households, billed),
+                                  ("wrong_amounts", 0, wrong), ("impossible_bills", 0, impossible),
+                                  ("owned_by_newest_run", 1, owned)):
+        line = found.select(F.lit(name).alias("check"), F.lit(expected).cast("bigint").alias("expected"),
+                            F.col("actual").cast("bigint").alias("actual"))
+        lines = line if lines is None else lines.unionByName(line)
+    return lines.withColumn("ok", F.col("expected") == F.col("actual"))
+
+
 def read_bills(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("sim_day", F.col("sim_day").cast("date"))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterflow.functions import times
-from meterflow.functions.amounts import units_to_kwh
+from meterflow.functions.amounts import energy_units, units_to_kwh
 from meterflow.operators import joins, ledger
 from meterflow.operators.sampling import rate_table
 from meterflow.settings import AlertThresholds, TIMEZONE
@@ -158,8 +158,8 @@ def lineitem_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     line = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("orderkey"), "l_quantity", "l_discount", "l_shipdate")
-    used = (F.col("l_quantity") * 10_000).cast("bigint")
-    solar = F.round(F.col("l_quantity") * F.col("l_discount") * 10_000).cast("bigint")
+    used = energy_units("l_quantity")
+    solar = energy_units(F.col("l_quantity") * F.col("l_discount"))
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"),
                                                    F.col("o_custkey").alias("user_id"))
     ordered = joins.attach_dimension(line, orders, "orderkey", joins.planned_bytes(orders))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterflow.functions import amounts, times
@@ -19,11 +20,12 @@ def file_name(day: date, pattern: str = NAME_PATTERN) -> str:
     return pattern.format(sim_day=day.strftime("%Y%m%d"))
 
 
-def read_text_rows(spark: SparkSession, path: str, pattern: str = NAME_PATTERN) -> DataFrame:
+def read_text_rows(spark: SparkSession, path: str, pattern: str = NAME_PATTERN,
+                   glob: str = "*.csv") -> DataFrame:
     """Rows of one file or of all files in a folder as text, with the day of the file."""
     schema = ", ".join(f"{name} string" for name in FIELDS)
     rows = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-            .option("recursiveFileLookup", "true").csv(path))
+            .option("recursiveFileLookup", "true").option("pathGlobFilter", glob).csv(path))
     shape = re.escape(pattern).replace(re.escape("{sim_day}"), "([0-9]{8})")
     stamp = F.regexp_extract(F.col("_metadata.file_path"), shape, 1)
     folder = F.regexp_extract(F.col("_metadata.file_path"), "sim_day=([0-9-]{10})/", 1)
@@ -51,17 +53,37 @@ def typed(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_tariff(spark: SparkSession, path: str, pattern: str = NAME_PATTERN) -> DataFrame:
-    """Typed rates of a file or folder; a faulty row or a file without rows is an error."""
-    rows = read_text_rows(spark, path, pattern)
+def _checked(rows: DataFrame, what: str) -> DataFrame:
     bad = faults(rows).select("household_id", "fault").limit(3).collect()
     if bad:
         raise ValueError(f"rate rows are faulty, e.g. {[tuple(r) for r in bad]}")
     if rows.isEmpty():
-        raise ValueError(f"{path} holds a header but no rows")
+        raise ValueError(f"{what} is missing or holds a header but no rows")
     return typed(rows)
 
 
+def read_tariff(spark: SparkSession, path: str, pattern: str = NAME_PATTERN) -> DataFrame:
+    """Typed rates of a file or folder; a faulty row or a file without rows is an error."""
+    return _checked(read_text_rows(spark, path, pattern), path)
+
+
+def read_day(spark: SparkSession, path: str, day: date, pattern: str = NAME_PATTERN) -> DataFrame:
+    """Typed rates of one day, without touching other days' files.
+
+    ``path`` is a single CSV file, taken as that day's; a folder with one file per day
+    named by the pattern; or a folder ``write_tariff`` has written.
+    """
+    if path.endswith(".csv"):
+        return read_tariff(spark, path, pattern).withColumn("sim_day", F.lit(day))
+    try:
+        return read_tariff(spark, f"{path}/sim_day={day.isoformat()}", pattern)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return _checked(read_text_rows(spark, path, pattern, glob=file_name(day, pattern)),
+                    f"{path}/{file_name(day, pattern)}")
+
+
 def write_tariff(tariff: DataFrame, path: str) -> None:
     """One folder per day with header and the flag as the words true and false."""
     text = tariff.select("sim_day", "household_id", F.col("tariff_rate").cast("string"),

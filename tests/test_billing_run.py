@@ -76,6 +76,11 @@ def test_command_line(spark, sf_dir, folders, tmp_path, capsys):
     cli.main(["bill", "--day", "2024-01-07", *[a for n in ("store", "bills", "report", "ledger")
               for a in (f"--{n}", folders[n])], "--tariff", f"{tmp_path}/rates"])
     assert "net_amount" in capsys.readouterr().out
+    households = billing_run.read_bills(spark, folders["bills"]).where("sim_day = '2024-01-07'").count()
+    gate = ["verify", "--bills", folders["bills"], "--ledger", folders["ledger"], "--day", "20240107", "--households"]
+    cli.main([*gate, str(households)])
+    with pytest.raises(SystemExit):
+        cli.main([*gate, str(households + 1)])
     text = standin.readings(spark, sf_dir)
     text.select(records.to_records(text)).write.text(f"{tmp_path}/topic")
     for job, out in (("raw-store", "s"), ("metrics", "m")):

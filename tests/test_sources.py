@@ -94,6 +94,15 @@ def test_rate_file_is_typed_and_dated_by_its_name(spark, tmp_path):
     assert [(str(d), h, float(r), t, f) for d, h, r, t, f in got] == [
         ("2026-01-21", "H-1", 45.0, "domestic-2", True), ("2026-01-21", "H-2", 30.5, "domestic-1", False)]
     assert tariff_files.available(spark, str(tmp_path / "in")).count() == 1
+    write_file(tmp_path, "in/tariff_20260122.csv", HEADER + "H-1,,broken,true\n")
+    assert tariff_files.read_day(spark, str(tmp_path / "in"), date(2026, 1, 21)).count() == 2
+    with pytest.raises(ValueError, match="missing tariff_rate"):
+        tariff_files.read_day(spark, str(tmp_path / "in"), date(2026, 1, 22))
+    with pytest.raises(ValueError, match="tariff_20260123.csv is missing"):
+        tariff_files.read_day(spark, str(tmp_path / "in"), date(2026, 1, 23))
+    single = write_file(tmp_path, "other.csv", HEADER + "H-7,1.5,domestic-1,true\n")
+    assert rows(tariff_files.read_day(spark, single, date(2026, 1, 5)).select("sim_day", "household_id")) == [
+        (date(2026, 1, 5), "H-7")]
 
 
 @pytest.mark.parametrize("line, word", [
