@@ -34,17 +34,22 @@ def heavy_keys(facts: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFram
 
 
 def attach_dimension(facts: DataFrame, dimension: DataFrame, key: str,
-                     dimension_bytes: int | None, limit: int | None = None) -> DataFrame:
+                     dimension_bytes: int | None, limit: int | None = None,
+                     even: bool = False) -> DataFrame:
     """Inner join of facts to a dimension that is unique on the key.
 
     A dimension that stays within the broadcast limit even when its files expand in
     memory is broadcast, and the facts never move. Beyond that, the rows of heavy keys are
     joined by broadcasting just those keys' dimension rows (fewer than ``HEAVY_SHARE``),
-    and only the remaining, even rows are shuffled.
+    and only the remaining, even rows are shuffled. That reads the facts three times, which
+    suits a scan; for facts already aggregated on the key say ``even`` and they are shuffled
+    once.
     """
     limit = broadcast_limit(facts) if limit is None else limit
     if dimension_bytes is not None and dimension_bytes * EXPANSION <= limit:
         return facts.join(F.broadcast(dimension), key)
+    if even:
+        return facts.join(dimension, key)
     heavy = heavy_keys(facts, key)
     heavy_dimension = dimension.join(F.broadcast(heavy), key, "left_semi")
     hot = facts.join(F.broadcast(heavy_dimension), key)

@@ -113,6 +113,8 @@ def _one_row(values: dict):
 def gaps(df: DataFrame, time: str, limit_seconds: int, by: list[str] | None = None) -> DataFrame:
     """Silences longer than the limit between consecutive times, per group if given.
 
+    A no-data condition that must hold for a while is a gap above limit plus hold time.
+
     Two times more than the limit apart never share a bucket of that width, so a gap can
     only lie between the last time of one bucket and the first of the next. Rows are
     reduced to one line per bucket before anything is sorted, neighbours are compared

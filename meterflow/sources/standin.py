@@ -36,9 +36,9 @@ def customer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("user_id"), F.col("r_name").alias("grid_zone"))
 
 
-def _zoned(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
+def _zoned(spark: SparkSession, sf_dir: str, facts: DataFrame, even: bool = False) -> DataFrame:
     size = joins.planned_bytes(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
-    return joins.attach_dimension(facts, customer_zones(spark, sf_dir), "user_id", size)
+    return joins.attach_dimension(facts, customer_zones(spark, sf_dir), "user_id", size, even=even)
 
 
 def readings(spark: SparkSession, sf_dir: str, timezone: str = TIMEZONE,
@@ -165,7 +165,7 @@ def lineitem_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = joins.attach_dimension(line, orders, "orderkey", joins.planned_bytes(orders))
     per_customer = ordered.groupBy(F.to_date("l_shipdate").alias("sim_day"), "user_id").agg(
         F.sum(used).alias("used"), F.sum(solar).alias("solar"))
-    rows = _zoned(spark, sf_dir, per_customer)
+    rows = _zoned(spark, sf_dir, per_customer, even=True)
     return rows.select(
         "sim_day", F.concat(F.lit("H-"), F.col("user_id")).alias("household_id"), "grid_zone",
         units_to_kwh(F.col("used")).alias("total_consumption_kwh"),

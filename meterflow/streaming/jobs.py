@@ -119,6 +119,17 @@ def metrics_view(spark: SparkSession, path: str, key: list[str] | None = None) -
     return keyed.newest_version(versions, key or METRIC_KEY, "batch_id").drop("query", "batch_id")
 
 
+def publish_metrics(spark: SparkSession, path: str, target: str, key: list[str] | None = None) -> None:
+    """Newest versions as a plain table by window day, for readers of long-running jobs.
+
+    A versioned table grows by one folder per micro-batch; this one holds each window once
+    and a report on some days reads those days.
+    """
+    newest = metrics_view(spark, path, key).withColumn("window_day", F.to_date("window_start"))
+    (newest.hint("rebalance", "window_day").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("window_day").parquet(target))
+
+
 def zone_windows_view(spark: SparkSession, path: str) -> DataFrame:
     """Zone windows from the newest version of each meter's window."""
     latest = metrics_view(spark, path, ["window_start", "grid_zone", "meter_id"])
@@ -230,6 +241,11 @@ def batch_summary(windows: DataFrame) -> DataFrame:
                        F.max("window_start").alias("newest_window"))
 
 
+def rows_taken(query: StreamingQuery) -> int:
+    """Source rows over the retained progress reports."""
+    return sum(int(p.numInputRows) for p in query.recentProgress)
+
+
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """The query's retained progress reports as rows, one per micro-batch."""
     lines = [

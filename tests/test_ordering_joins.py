@@ -64,8 +64,9 @@ def test_heavy_keys_and_the_split_join(spark):
     small = joins.attach_dimension(facts, dimension, "k", 100, limit=1000)
     split = joins.attach_dimension(facts, dimension, "k", 10**9, limit=1000)
     unknown = joins.attach_dimension(facts, dimension, "k", None, limit=1000)
+    once = joins.attach_dimension(facts, dimension, "k", None, limit=1000, even=True)
     expected = sorted((k, v, 2 * k) for k, v in data)
-    for joined in (small, split, unknown):
+    for joined in (small, split, unknown, once):
         assert sorted(rows(joined.select("k", "v", "d"))) == expected
     assert "BroadcastHashJoin" in plan(split) and "NestedLoop" not in plan(split)
 
