@@ -20,7 +20,10 @@ def _text(value: Column, places: int) -> Column:
 
 
 def rules(limits: AlertThresholds, timezone: str, window_minutes: int) -> list[tuple]:
-    """The rules as (name, level, condition, message): a new rule is one more tuple."""
+    """The rules as (name, level, condition, message): a new rule is one more tuple.
+
+    The message texts are fixed values, as readers of the log know them.
+    """
     local = times.to_local("window_start", timezone)
     kw = amounts.mean_kw_per_meter(F.col("total_consumption_kwh"), window_minutes,
                                    F.col("active_meters"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# Notes as readers of the ledger know them.
 NOTE_SEPARATOR = " | "
 SUPERSEDED = "did not shut down cleanly; superseded by "
 
@@ -80,6 +81,11 @@ def next_start(runs: DataFrame, starts: DataFrame) -> DataFrame:
     )
 
 
+def superseded_by(runs: DataFrame, run_id: str) -> DataFrame:
+    """Runs that the start of ``run_id`` marked as not shut down cleanly."""
+    return runs.where(F.endswith(F.col("notes"), F.lit(SUPERSEDED + run_id)))
+
+
 def counts(runs: DataFrame) -> DataFrame:
     return runs.groupBy("component", "status").agg(F.count(F.lit(1)).alias("runs"))
 

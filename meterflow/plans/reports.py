@@ -108,7 +108,7 @@ def metric_rows(windows: DataFrame, log: DataFrame, runs: DataFrame, now: Column
 
 
 def status_bands(windows: DataFrame, log: DataFrame, now: Column) -> DataFrame:
-    """Colour of each panel: zone share, write lag, number of alerts."""
+    """Colour of each panel: zone share, write lag, number of alerts. The steps are fixed values."""
     per_zone = latest_windows(windows).select(
         F.concat(F.lit("renewable/"), F.col("grid_zone")).alias("panel"),
         amounts.band(F.col("renewable_pct").cast("double"), (15.0, "green"), base="red").alias("band"))

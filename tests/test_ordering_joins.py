@@ -124,7 +124,9 @@ def test_a_later_start_fails_the_run_before_it(spark):
         _event("D", "start", "2026-01-03T03:30"),
         _event("C", "finish", "2026-01-03T04:00", status="SUCCESS", written=1),
     ], EVENT)
-    runs = {r.run_id: r for r in ledger.fold(events).collect()}
+    folded = ledger.fold(events)
+    assert [r.run_id for r in ledger.superseded_by(folded, "B").collect()] == ["A"]
+    runs = {r.run_id: r for r in folded.collect()}
     assert (runs["A"].status, runs["A"].finished_at) == ("FAILED", at("2026-01-03T01:00"))
     assert runs["A"].notes == "billing 20260101 | did not shut down cleanly; superseded by B"
     assert (runs["B"].status, runs["B"].rows_written, runs["B"].notes) == ("SUCCESS", 40, None)
