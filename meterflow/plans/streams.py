@@ -40,12 +40,26 @@ def _records(spark: SparkSession, sf_dir: str, resent: bool = False) -> DataFram
     return readings.select("ingested_at", records.to_records(readings).alias("value"))
 
 
+def _live_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for the stream, with no more state partitions than cores.
+
+    Every state partition is a task and a commit in every micro-batch, used or not. The
+    caller's session keeps its settings.
+    """
+    live = spark.newSession()
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    live.conf.set("spark.sql.shuffle.partitions", str(min(wanted, cores)))
+    return live
+
+
 def _run(spark, rows: DataFrame, start, label: str) -> str:
     """Drives a job over the deliveries; ``start(source, folder)`` starts one run."""
     folder = shared_folder(spark, label)
     topic = f"{folder}/topic"
+    live = _live_session(spark)
     for _ in _deliveries(rows, topic):
-        source = sources.file_records(spark, topic)
+        source = sources.file_records(live, topic)
         start(source, folder).awaitTermination()
     return folder
 
