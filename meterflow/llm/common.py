@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str, folder: str | None = None) -> str:
+    """Place of a public tokenizer's file: in ``folder``, METERFLOW_TOKENIZERS or /opt/tokenizers.
+
+    The folder is part of the installation, at the same place on the driver and all executors.
+    """
+    return os.path.join(folder or os.environ.get("METERFLOW_TOKENIZERS", "/opt/tokenizers"), name)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no model learns from: crc32 of the id's text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -131,12 +131,16 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, sample_rows: int =
     """Learn from a bounded sample of documents with a language that are not held out.
 
     Every language gives its first ``per_language`` ids by hash; languages take turns up
-    to ``sample_rows``, so a rare one isn't crowded out. Whole texts of the sample are used.
+    to ``sample_rows``, so a rare one isn't crowded out. Ranks are first taken in 64 parts of
+    a language, so that a language with most of the rows meets in no single task. Whole
+    texts of the sample are used.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    turn = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
+    first = Window.partitionBy("y", F.pmod(F.col("h"), F.lit(64))).orderBy("h", "id")
+    turn = Window.partitionBy("y").orderBy("h", "id")
     chosen = (
-        known.select(F.col("doc_id").alias("id"), F.col("lang").alias("y"))
+        known.select(F.col("doc_id").alias("id"), F.col("lang").alias("y"), F.xxhash64("doc_id").alias("h"))
+        .withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= per_language)
         .withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= per_language)
         .orderBy("turn", "y").limit(sample_rows).select("id", "y").dropDuplicates()
     )

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import language_ecoc, quality_gbt
-from meterflow.llm.common import table
+from meterflow.llm import bpe_prefix, language_ecoc, quality_gbt
+from meterflow.llm.common import table, tokenizer_file
 
 
 def op1_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,13 +15,17 @@ def op1_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ecoc.predict(docs, language_ecoc.train(docs))
 
 
+def op8_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_prefix.digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op10_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_gbt.score(docs, quality_gbt.train(docs, table(spark, sf_dir, "labels")))
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_ecoc, op10_quality_gbt)}
+    return {f.__name__: f for f in (op1_language_ecoc, op8_bpe_prefix, op10_quality_gbt)}
 
 
 def oracle() -> dict[str, str]:
