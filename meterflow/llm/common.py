@@ -21,11 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tokenizer_file(name: str, folder: str | None = None) -> str:
-    """Place of a public tokenizer's file: in ``folder``, METERFLOW_TOKENIZERS or /opt/tokenizers.
+    """Place of a public tokenizer's file, in ``folder`` or where the installation has them."""
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
 
-    The folder is part of the installation, at the same place on the driver and all executors.
-    """
-    return os.path.join(folder or os.environ.get("METERFLOW_TOKENIZERS", "/opt/tokenizers"), name)
+    return public_tokenizers.path(name)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import bpe_prefix, language_ecoc, quality_gbt
+from meterflow.llm import bpe_prefix, language_ecoc, packing_mixture, quality_gbt, secrets_entropy
 from meterflow.llm.common import table, tokenizer_file
 
 
@@ -15,6 +15,14 @@ def op1_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ecoc.predict(docs, language_ecoc.train(docs))
 
 
+def op4_secrets_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_entropy.find(table(spark, sf_dir, "documents"))
+
+
+def op6_packing_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_mixture.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op8_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_prefix.digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -25,7 +33,7 @@ def op10_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_ecoc, op8_bpe_prefix, op10_quality_gbt)}
+    return {f.__name__: f for f in (op1_language_ecoc, op4_secrets_entropy, op6_packing_mixture, op8_bpe_prefix, op10_quality_gbt)}
 
 
 def oracle() -> dict[str, str]:
