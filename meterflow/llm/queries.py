@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import bpe_prefix, language_ecoc, packing_mixture, quality_gbt, secrets_entropy
+from meterflow.llm import (
+    bpe_prefix,
+    html_blocks,
+    knn_kdtree,
+    language_ecoc,
+    packing_mixture,
+    pii_bootstrap,
+    quality_gbt,
+    secrets_entropy,
+)
 from meterflow.llm.common import table, tokenizer_file
 
 
@@ -15,6 +24,14 @@ def op1_language_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ecoc.predict(docs, language_ecoc.train(docs))
 
 
+def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_bootstrap.find(table(spark, sf_dir, "documents"))
+
+
 def op4_secrets_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_entropy.find(table(spark, sf_dir, "documents"))
 
@@ -27,14 +44,24 @@ def op8_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_prefix.digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op9_knn_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_kdtree.search(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_gbt.score(docs, quality_gbt.train(docs, table(spark, sf_dir, "labels")))
 
 
+QUERIES = (
+    op1_language_ecoc, op2_html_blocks, op3_pii_bootstrap, op4_secrets_entropy, op6_packing_mixture, op8_bpe_prefix,
+    op9_knn_kdtree, op10_quality_gbt,
+)
+
+
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_ecoc, op4_secrets_entropy, op6_packing_mixture, op8_bpe_prefix, op10_quality_gbt)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle() -> dict[str, str]:
-    return {}
+    return {"op9_knn_kdtree": knn_kdtree.ORACLE}
