@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import language_ecoc, quality_gbt
-from meterflow.llm.common import kept, table
+from meterflow.llm import jaccard_groups, language_ecoc, packing_mixture, quality_gbt, secrets_entropy
+from meterflow.llm.common import kept, table, tokenizer_file
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +22,27 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language_ecoc.keep_known(docs, language_ecoc.train(docs))
 
 
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies."""
+    return jaccard_groups.one_of_each(docs)
+
+
+def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts by a mark; every document stays."""
+    return secrets_entropy.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs all texts into sequences, each with the sources' proportions."""
+    return packing_mixture.pack(docs, tokenizer_file("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality classifier", good_quality),
     ("language id", known_language),
+    ("n-gram Jaccard join", one_of_near_copies),
+    ("secret scans", no_secrets),
+    ("packing", packed),
 ]
 
 #: Trained models and tokens have no SQL; the stages are tested against plain versions.

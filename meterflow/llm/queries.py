@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from meterflow.llm import (
     bpe_prefix,
     html_blocks,
+    jaccard_groups,
     knn_kdtree,
     language_ecoc,
     packing_mixture,
     pii_bootstrap,
+    quality_divergence,
     quality_gbt,
     secrets_entropy,
 )
@@ -36,10 +38,18 @@ def op4_secrets_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_entropy.find(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_divergence.judged(table(spark, sf_dir, "documents")).drop("js_classes", "js_words")
+
+
 def op6_packing_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_mixture.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op7_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups.linked(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op8_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_prefix.digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -54,8 +64,8 @@ def op10_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    op1_language_ecoc, op2_html_blocks, op3_pii_bootstrap, op4_secrets_entropy, op6_packing_mixture, op8_bpe_prefix,
-    op9_knn_kdtree, op10_quality_gbt,
+    op1_language_ecoc, op2_html_blocks, op3_pii_bootstrap, op4_secrets_entropy, op5_quality_divergence,
+    op6_packing_mixture, op7_jaccard_groups, op8_bpe_prefix, op9_knn_kdtree, op10_quality_gbt,
 )
 
 
