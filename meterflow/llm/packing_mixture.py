@@ -41,6 +41,29 @@ REMEMBERED = 700_000
 #: Fixed value: how the word vocabulary cuts text, here for lower-case ASCII and Latin-1
 #: letters, which no normalisation changes further. Other words go to the library whole.
 _CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+_BYTES = np.arange(256)
+_FOLDED = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
+_IN_WORD = ((_BYTES >= 97) & (_BYTES <= 122)) | ((_BYTES >= 48) & (_BYTES <= 57))
+_MARK, _BLANK = np.isin(_BYTES, list(b".,;:!?")), np.isin(_BYTES, (9, 10, 11, 12, 13, 32))
+
+
+def loosened(flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """Texts in lower-case ASCII with a blank before marks that end a word: such a mark is
+    a pretoken of its own anyway, and more words are then known. Texts beside what could
+    be a special token's string are left as they are."""
+    data = flat.tobytes()
+    if b"<|" not in data and len(flat) > 2:
+        flat = _FOLDED[flat]
+        ends = np.zeros(len(flat), dtype=bool)
+        ends[1:-1] = _MARK[flat[1:-1]] & _IN_WORD[flat[:-2]] & _BLANK[flat[2:]]
+        added = np.concatenate(([0], np.cumsum(ends)))
+        at = np.flatnonzero(ends)
+        flat = np.repeat(flat, 1 + ends)
+        flat[at + np.arange(len(at))] = 32
+        offsets, data = offsets + added[offsets], flat.tobytes()
+    return [data[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+
+
 _PLAIN = re.compile(r"(?!.*<\|)[\x00-\x7fÀ-ÖØ-öø-ÿ]*", re.DOTALL).fullmatch
 
 
@@ -59,6 +82,8 @@ class Words:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.whole: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -66,6 +91,15 @@ class Words:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
 
+    def _ask_pretokens(self, words: list[str]) -> list[bytes]:
+        """Ids of single pretokens: asked for as one text, and parted where words end."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=self.kind)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):
+            return self._ask(words)
+        data, size = ids.tobytes(), self.kind.itemsize
+        return [data[a * size:b * size] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as bytes of ``kind``."""
         split = [t.split() for t in texts]
@@ -84,7 +118,9 @@ class Words:
                 other.append((w, text))
         whole.update(zip([w for w, _ in other], self._ask([t for _, t in other]), strict=True))
         unknown = list(set().union(*cuts.values()).difference(parts))
-        parts.update(zip(unknown, self._ask(unknown), strict=True))
+        for i in range(0, len(unknown), 4096):
+            some = unknown[i:i + 4096]
+            parts.update(zip(some, self._ask_pretokens(some), strict=True))
         for w, cut in cuts.items():
             whole[w] = parts[cut[0]] if len(cut) == 1 else b"".join([parts[p] for p in cut])
         return [b"".join([whole[w] for w in words]) for words in split]
@@ -105,9 +141,7 @@ def tokens(docs: DataFrame, path: str, queues: int = QUEUES) -> DataFrame:
         end = np.array([END], dtype=words.kind).tobytes()
         part, served = TaskContext.get().partitionId(), {}
         for batch in pieces(batches, "text"):
-            flat, offsets = bytes_of(column(batch, "text"))
-            data = flat.tobytes()
-            ids = words.encode([data[a:b] for a, b in zip(offsets, offsets[1:], strict=False)])
+            ids = words.encode(loosened(*bytes_of(column(batch, "text"))))
             ids = [i + end for i in ids]
             queue = [queue_of.get(s, len(queue_of)) for s in column(batch, "source").to_pylist()]
             n, at = [len(i) // words.kind.itemsize for i in ids], []
