@@ -1,15 +1,17 @@
 """Exact n-gram Jaccard join by groups of similar documents.
 
 Documents become sets of hashed word shingles; equal sets are one. Two sets that are
-similar enough share a token among the first ones of each in any fixed order (the prefix),
-and the order puts the most frequent tokens last. Then:
+similar enough share a token among the first ones of each in any fixed order (the prefix).
+The order puts last what tasks have met in several sets, and before that shingles of
+common words. Then:
 
-1. Every set is compared with the sets most like it among the smallest and largest keys
-   of the tokens in its prefix. The links found partition the sets into groups.
+1. Every set is compared with the sets it shares most prefix tokens with, among the
+   smallest and largest keys of each token. The links found partition the sets into groups.
 2. Groups, in parts of bounded size, are stored with their members' token union. A set
    that shares a prefix token with a part of another group is a query to it. The overlap
    with the union bounds the overlap with every member, so only parts where it is large
-   enough are opened and their members compared.
+   enough are opened and their members compared. The bound is first taken on counts of
+   tokens by range of hash, which are small, then on the tokens themselves.
 
 Links inside a group need no search, as it is connected already; across groups none is
 lost. Comparisons are exact but for the chance of equal 64-bit hashes.
@@ -33,8 +35,11 @@ from pyspark.sql import functions as F
 from meterflow.llm.common import bytes_of, column, kept, pieces
 from meterflow.llm.components import components
 
-#: Tokens that the order puts last at most, and the shingles a task counts at once.
-FREQUENT, COUNTED = 200_000, 1 << 22
+#: Tokens that the order puts last at most, words taken for common ones, and the shingles
+#: that a task counts at once. They shape the order and so the work, never the result.
+FREQUENT, COMMON, COUNTED = 200_000, 8192, 1 << 22
+#: Ranges of hash by which a set's tokens are counted, prefix tokens of a bucket.
+RANGES, BUCKET = 128, 1 << 20
 #: Members of a part of a group, on average.
 PART = 64
 #: Bits of the filter that tells tasks which sets others ask for.
@@ -55,17 +60,15 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(texts: pa.Array, k: int) -> list[np.ndarray]:
-    """The sorted distinct 64-bit shingle hashes of each text.
+def hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, and where each text's begin.
 
     A word's hash is a difference of running sums, so all words of a slice are hashed in a
     few steps whatever their lengths.
     """
     flat, offsets = bytes_of(texts)
-    n = len(offsets) - 1
-    none = np.zeros(0, dtype=np.uint64)
     if not len(flat):
-        return [none] * n
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
     solid = ~_BLANK[flat]
     edge = np.zeros(len(flat) + 1, dtype=bool)
     edge[offsets] = True
@@ -77,23 +80,40 @@ def shingles(texts: pa.Array, k: int) -> list[np.ndarray]:
     power[:] = _BACK
     power[0] = 1
     words = _mixed((sums[ends] - sums[starts]) * np.multiply.accumulate(power)[starts])
-    first = np.searchsorted(starts, offsets)
+    return words, np.searchsorted(starts, offsets)
+
+
+def shingles(words: np.ndarray, first: np.ndarray, k: int, common: dict | None = None) -> list:
+    """The sorted distinct 64-bit shingle hashes of each text; with ``common`` words and
+    their weights, also how common each shingle's words are together."""
+    none, out = np.zeros(0, dtype=np.uint64), []
+    whole = weight = none
+    if common:
+        at = np.minimum(np.searchsorted(common["words"], words), len(common["words"]) - 1)
+        each = np.where(common["words"][at] == words, common["weights"][at], 0).astype(np.uint64)
     if len(words) >= k:
         whole = np.zeros(len(words) - k + 1, dtype=np.uint64)
+        weight = np.zeros(len(words) - k + 1, dtype=np.uint64)
         for i in range(k):
             whole = whole * np.uint64(0xD1342543DE82EF95) + words[i:len(words) - k + 1 + i]
+            if common:
+                weight += each[i:len(words) - k + 1 + i]
         whole = _mixed(whole)
-    out = []
     for a, b in zip(first, first[1:], strict=False):
         if b - a >= k:
-            out.append(np.unique(whole[a:b - k + 1]))
+            if common:
+                tokens, at = np.unique(whole[a:b - k + 1], return_index=True)
+                out.append((tokens, weight[a:b - k + 1][at]))
+                continue
+            tokens = np.unique(whole[a:b - k + 1])
         elif b > a:
-            h = np.uint64(b - a)
-            for w in words[a:b]:
-                h = np.uint64((int(h) * 0xD1342543DE82EF95 + int(w)) & 0xFFFFFFFFFFFFFFFF)
-            out.append(_mixed(np.array([h])))
+            h = int(b - a)
+            for w in words[a:b].tolist():
+                h = (h * 0xD1342543DE82EF95 + w) & 0xFFFFFFFFFFFFFFFF
+            tokens = _mixed(np.array([h], dtype=np.uint64))
         else:
-            out.append(none)
+            tokens = none
+        out.append((tokens, np.zeros(len(tokens), dtype=np.uint64)) if common else tokens)
     return out
 
 
@@ -123,185 +143,330 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def frequent(docs: DataFrame, k: int, most: int = FREQUENT) -> np.ndarray:
-    """The tokens found in several sets most often, sorted; at most so many.
+def counted(docs: DataFrame, k: int) -> DataFrame:
+    """kind, hash, c: how often tasks have met shingles (several times) and common words.
 
-    Tasks count all shingles of their documents, each set once, and give those they have
-    met twice; a token so frequent that it matters is met twice in many tasks. The list
-    decides only the order of tokens: results don't depend on it.
+    Tasks count all shingles and words of their documents, each set once. Something that
+    is frequent is met in many tasks, so what single tasks leave out doesn't matter.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met, seen, size = [], set(), 0
 
-        def told() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(met), return_counts=True)
+        def told() -> Iterator[pa.RecordBatch]:
+            values, counts = np.unique(np.concatenate([t for t, _ in met]), return_counts=True)
             often = counts >= 2
-            return pa.record_batch([pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["token", "c"])
+            words, uses = np.unique(np.concatenate([w for _, w in met]), return_counts=True)
+            top = np.argsort(-uses, kind="stable")[:2 * COMMON]
+            for kind, v, c in ((0, values[often], counts[often]), (1, words[top], uses[top])):
+                yield pa.record_batch(
+                    [pa.array([kind] * len(v), type=pa.int32()), pa.array(v.view(np.int64)), pa.array(c)], names=["kind", "hash", "c"])
 
         for part in pieces(batches, "text"):
-            for tokens in shingles(column(part, "text"), k):
+            words, first = hashed(column(part, "text"))
+            for tokens, a, b in zip(shingles(words, first, k), first, first[1:], strict=False):
                 key = key_of(tokens)
                 if len(tokens) and key not in seen:
                     seen.add(key)
-                    met.append(tokens)
+                    met.append((tokens, words[a:b]))
                     size += len(tokens)
             if size > COUNTED:
-                yield told()
+                yield from told()
                 met, size = [], 0
         if met:
-            yield told()
+            yield from told()
+
+    return docs.select("text").mapInArrow(run, "kind int, hash long, c long").groupBy("kind", "hash").agg(F.sum("c").alias("c"))
 
-    counts = docs.select("text").mapInArrow(run, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
-    rows = counts.where("c >= 4").orderBy(F.desc("c"), "token").limit(most).toArrow()
-    return np.sort(rows.column("token").to_numpy().astype(np.int64).view(np.uint64))
+
+def order_of(docs: DataFrame, k: int) -> dict:
+    """Frequent shingles, and common words with weights that rise with their logarithm."""
+    counts = kept(counted(docs, k), "counts")
+    often = counts.where("kind = 0 and c >= 4").orderBy(F.desc("c"), "hash").limit(FREQUENT).toArrow()
+    words = counts.where("kind = 1").orderBy(F.desc("c"), "hash").limit(COMMON).toArrow()
+    h, c = (words.column(x).to_numpy() for x in ("hash", "c"))
+    h = h.astype(np.int64).view(np.uint64)
+    at = np.argsort(h)
+    weights = 1 + np.floor(4 * np.log2(np.maximum(1, c[at] / max(1, c.min(initial=1 << 62)))))
+    none = {"words": np.zeros(1, dtype=np.uint64), "weights": np.zeros(1)}
+    return {"often": np.sort(often.column("hash").to_numpy().astype(np.int64).view(np.uint64)),
+            **({"words": h[at], "weights": np.minimum(weights, 255)} if len(h) else none)}
 
 
 def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, key, n and, for the first of equal sets in a task, the prefix tokens."""
-    spark = docs.sparkSession
-    last = spark.sparkContext.broadcast(frequent(docs, k))
+    """doc_id, key, n and, for the first of equal sets in a task, the prefix tokens and the
+    counts of tokens by range of hash."""
+    order = docs.sparkSession.sparkContext.broadcast(order_of(docs, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, seen = last.value, set()
+        known, seen = order.value, set()
+        often = known["often"]
         for part in pieces(batches, "text"):
-            keys, sizes, heads = [], [], []
-            for tokens in shingles(column(part, "text"), k):
+            keys, sizes, heads, ranges = [], [], [], []
+            for tokens, weight in shingles(*hashed(column(part, "text")), k, known):
                 n = len(tokens)
                 key = key_of(tokens) if n else None
                 keys.append(key)
                 sizes.append(n)
                 if not n or key in seen:
                     heads.append(None)
+                    ranges.append(None)
                     continue
                 seen.add(key)
+                rank = (weight << np.uint64(48)) | (tokens >> np.uint64(16))
+                if len(often):
+                    at = np.searchsorted(often, tokens)
+                    at[at == len(often)] = 0
+                    rank |= (often[at] == tokens).astype(np.uint64) << np.uint64(63)
                 size = n + (-num * n // den) + 1
-                if len(common):
-                    at = np.searchsorted(common, tokens)
-                    at[at == len(common)] = 0
-                    late = common[at] == tokens
-                    head = tokens[~late][:size]
-                    if len(head) < size:
-                        head = np.concatenate((head, tokens[late][:size - len(head)]))
-                else:
-                    head = tokens[:size]
-                heads.append(head.view(np.int64))
+                head = tokens[np.argpartition(rank, size - 1)[:size]] if size < n else tokens
+                heads.append(head.tobytes())
+                ranges.append(np.bincount((tokens >> np.uint64(57)).astype(np.int64), minlength=RANGES).astype("<u4").tobytes())
             yield pa.record_batch(
-                [column(part, "doc_id"), pa.array(keys, type=pa.int64()), pa.array(sizes, type=pa.int64()), pa.array(heads, type=pa.list_(pa.int64()))],
-                names=["doc_id", "key", "n", "prefix"])
+                [column(part, "doc_id"), pa.array(keys, type=pa.int64()), pa.array(sizes, type=pa.int64()),
+                 pa.array(heads, type=pa.binary()), pa.array(ranges, type=pa.binary())],
+                names=["doc_id", "key", "n", "prefix", "ranges"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key long, n long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key long, n long, prefix binary, ranges binary")
 
 
-def full_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
-    """key, n, tokens of the wanted keys' sets (and few others), made again from the texts.
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Token and key of each prefix token, some millions at a time, sorted by token, key."""
+    tokens, keys, size = [], [], 0
+
+    def told() -> tuple[np.ndarray, np.ndarray]:
+        t, k = np.concatenate(tokens), np.concatenate(keys)
+        at = np.lexsort((k, t))
+        return t[at], k[at]
 
-    Tasks know the keys by a bitmap of fixed size, so it stays small whatever is wanted.
+    for batch in batches:
+        flat, offsets = bytes_of(column(batch, "prefix"))
+        tokens.append(flat.view("<u8"))
+        keys.append(np.repeat(column(batch, "key").to_numpy(), np.diff(offsets) // 8))
+        size += len(tokens[-1])
+        if size > COUNTED:
+            yield told()
+            tokens, keys, size = [], [], 0
+    if size:
+        yield told()
+
+
+def _starred(tokens: np.ndarray, keys: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of keys with the smallest and largest key of a token they share, counted;
+    and where each token's run begins, its smallest and its largest key."""
+    edge = np.concatenate(([True], tokens[1:] != tokens[:-1]))
+    begin = np.flatnonzero(edge)
+    end = np.concatenate((begin[1:], [len(tokens)])) - 1
+    run = np.cumsum(edge) - 1
+    low, high = keys[begin], keys[end]
+    pairs = [np.stack((keys[x], other[run][x]), axis=1) for other in (low, high) for x in (keys != other[run],)]
+    pairs, counts = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
+    batch = pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), pa.array(counts)], names=["key", "other", "c"])
+    return batch, begin, low, high
+
+
+def stars(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, other, c): sets and the sets at the ends of tokens they share c of; and the
+    tokens (token) that several sets have in their prefixes.
+
+    Each task links the sets it holds and passes on only the two ends of each token, as
+    plain bytes in buckets whose number grows with the tokens'. So neither a token that
+    very many sets share nor a bucket is ever large.
     """
-    spark = docs.sparkSession
-    place = F.shiftrightunsigned(F.col("key"), 64 - FILTER_BITS)
-    parts = wanted.select(place.alias("p")).groupBy(F.call_function("bitmap_bucket_number", "p").alias("bucket")).agg(
+    total = heads.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
+    buckets = 1 + int(total) // BUCKET
+    schema = "bucket int, tokens binary, keys binary, key long, other long, c long"
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tokens, keys in _heads(batches):
+            batch, begin, low, high = _starred(tokens, keys)
+            n = batch.num_rows
+            yield pa.record_batch([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), *batch.columns],
+                                  names=["bucket", "tokens", "keys", "key", "other", "c"])
+            two = low != high
+            token = np.concatenate((tokens[begin], tokens[begin][two]))
+            key = np.concatenate((low, high[two]))
+            bucket = (_mixed(token) % np.uint64(buckets)).astype(np.int64)
+            at = np.argsort(bucket, kind="stable")
+            cut = np.searchsorted(bucket[at], np.arange(buckets + 1))
+            some = np.flatnonzero(cut[1:] > cut[:-1])
+            token, key = token[at], key[at]
+            m = len(some)
+            yield pa.record_batch(
+                [pa.array(some.astype(np.int32)), pa.array([token[cut[i]:cut[i + 1]].tobytes() for i in some], type=pa.binary()),
+                 pa.array([key[cut[i]:cut[i + 1]].tobytes() for i in some], type=pa.binary()),
+                 *(pa.nulls(m, pa.int64()) for _ in range(3))], names=["bucket", "tokens", "keys", "key", "other", "c"])
+
+    def far(table: pa.Table) -> pa.Table:
+        tokens = np.frombuffer(b"".join(table.column("tokens").to_pylist()), dtype="<u8")
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype="<i8")
+        at = np.lexsort((keys, tokens))
+        batch, begin, low, high = _starred(tokens[at], keys[at])
+        shared = tokens[at][begin][low != high].view(np.int64)
+        one, two = pa.nulls(batch.num_rows, pa.int64()), pa.nulls(len(shared), pa.int64())
+        return pa.concat_tables([
+            pa.table([*batch.columns, one], names=["key", "other", "c", "token"]),
+            pa.table([two, two, two, pa.array(shared)], names=["key", "other", "c", "token"])])
+
+    told = kept(heads.select("key", "prefix").mapInArrow(near, schema), "near")
+    met = kept(told.where("bucket is not null").select("bucket", "tokens", "keys").groupBy("bucket").applyInArrow(
+        far, "key long, other long, c long, token long"), "far")
+    pairs = told.where("bucket is null").select("key", "other", "c").unionByName(met.where("token is null").drop("token"))
+    return pairs, met.where("token is not null").select("token")
+
+
+def filter_of(values: DataFrame) -> np.ndarray:
+    """A bitmap of the values' first bits: of fixed size, so it can go to every task."""
+    place = F.shiftrightunsigned(F.col(values.columns[0]), 64 - FILTER_BITS)
+    parts = values.select(place.alias("p")).groupBy(F.call_function("bitmap_bucket_number", "p").alias("bucket")).agg(
         F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", F.col("p"))).alias("bits")).collect()
     bits = np.zeros((1 << FILTER_BITS) // 8 + 4096, dtype=np.uint8)
     for r in (r for r in parts if r.bucket > 0):
         bits[(r.bucket - 1) * 4096:r.bucket * 4096] |= np.frombuffer(bytes(r.bits), dtype=np.uint8)
-    asked = spark.sparkContext.broadcast(bits)
+    return bits
+
+
+def passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of some 64-bit values may be in the filter; Spark's bitmaps count from bit 1."""
+    at = (values.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64) - 1
+    return (at < 0) | (bits[np.maximum(at, 0) >> 3] >> (np.maximum(at, 0) & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def postings(heads: DataFrame, shared: DataFrame) -> DataFrame:
+    """token, key of the prefix tokens that several sets have."""
+    bits = heads.sparkSession.sparkContext.broadcast(filter_of(shared))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ask, seen = asked.value, set()
+        for tokens, keys in _heads(batches):
+            may = passes(bits.value, tokens)
+            yield pa.record_batch([pa.array(tokens[may].view(np.int64)), pa.array(keys[may])], names=["token", "key"])
+
+    return heads.select("key", "prefix").mapInArrow(run, "token long, key long").join(shared, "token").distinct()
+
+
+def full_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
+    """key, n, tokens of the wanted keys' sets (and few others), made again from the texts."""
+    asked = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for part in pieces(batches, "text"):
-            keys, sizes, out = [], [], []
-            for tokens in shingles(column(part, "text"), k):
-                if len(tokens):
-                    key = key_of(tokens)
-                    # buckets begin at bit 1, as Spark's bitmap functions count
-                    at = ((key & 0xFFFFFFFFFFFFFFFF) >> (64 - FILTER_BITS)) - 1
-                    if key not in seen and (at < 0 or ask[at >> 3] >> (at & 7) & 1):
-                        seen.add(key)
-                        keys.append(key)
-                        sizes.append(len(tokens))
-                        out.append(short(tokens))
-            yield pa.record_batch([pa.array(keys, type=pa.int64()), pa.array(sizes, type=pa.int64()), pa.array(out, type=pa.binary())], names=["key", "n", "tokens"])
+            found = [(key_of(t), t) for t in shingles(*hashed(column(part, "text")), k) if len(t)]
+            may = passes(asked.value, np.array([key for key, _ in found], dtype=np.int64))
+            new = {key: t for (key, t), ok in zip(found, may, strict=True) if ok and key not in seen}
+            seen.update(new)
+            yield pa.record_batch(
+                [pa.array(list(new), type=pa.int64()), pa.array([len(t) for t in new.values()], type=pa.int64()),
+                 pa.array([short(t) for t in new.values()], type=pa.binary())], names=["key", "n", "tokens"])
 
     return docs.select("text").mapInArrow(run, "key long, n long, tokens binary").dropDuplicates(["key"])
 
 
-def _checked(rows: DataFrame, enough, names: list[str]) -> DataFrame:
-    """The named columns of rows whose two stored sets pass ``enough(sizes, overlap)``."""
+def _checked(rows: DataFrame, enough, names: list[str], column_of: str = "tokens") -> DataFrame:
+    """The named columns of rows that pass ``enough(sizes, most overlap of both sides)``.
+
+    The overlap is that of two stored sets, or the most that their counts by range allow.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = column(batch, "left_tokens"), column(batch, "right_tokens")
+            left, right = column(batch, f"left_{column_of}"), column(batch, f"right_{column_of}")
             n, m = column(batch, "left_n").to_pylist(), column(batch, "right_n").to_pylist()
-            good = [enough(n[i], m[i], overlap(long(left[i].as_py()), long(right[i].as_py()))) for i in range(batch.num_rows)]
+            if column_of == "ranges":
+                two = [bytes_of(x)[0].view("<u4").reshape(-1, RANGES) for x in (left, right)]
+                most = np.minimum(*two).sum(axis=1, dtype=np.int64).tolist()
+            else:
+                most = [overlap(long(a), long(b)) for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True)]
+            good = [enough(*x) for x in zip(n, m, most, strict=True)]
             yield batch.filter(pa.array(good, type=pa.bool_())).select(names)
 
     schema = ", ".join(f"{c} long" for c in names)
-    return rows.select(*names, "left_n", "right_n", "left_tokens", "right_tokens").mapInArrow(run, schema)
+    return rows.select(*names, "left_n", "right_n", f"left_{column_of}", f"right_{column_of}").mapInArrow(run, schema)
+
+
+def _paired(pairs: DataFrame, sets: DataFrame, what: str) -> DataFrame:
+    """Pairs (a, b) with both sets' sizes and stored columns."""
+    one = sets.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col(what).alias(f"left_{what}"))
+    two = sets.select(F.col("key").alias("b"), F.col("n").alias("right_n"), F.col(what).alias(f"right_{what}"))
+    return pairs.join(one, "a").join(two, "b")
 
 
-def _linked_pairs(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of keys whose sets link."""
-    one = sets.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col("tokens").alias("left_tokens"))
-    two = sets.select(F.col("key").alias("b"), F.col("n").alias("right_n"), F.col("tokens").alias("right_tokens"))
-    rows = pairs.join(one, "a").join(two, "b").where(
-        (F.col("left_n") * den >= F.col("right_n") * num) & (F.col("right_n") * den >= F.col("left_n") * num))
-    return _checked(rows, lambda n, m, o: den * o >= num * (n + m - o), ["a", "b"])
+def _linked_pairs(docs: DataFrame, k: int, pairs: DataFrame, sketches: DataFrame, num: int, den: int, name: str) -> DataFrame:
+    """The pairs (a, b) of keys whose sets link: by counts first, then by their tokens."""
+    enough = lambda n, m, o: den * o >= num * (n + m - o)
+    near = kept(_checked(_paired(pairs, sketches, "ranges"), enough, ["a", "b"], "ranges"), f"{name}-pairs")
+    wanted = near.select("a").unionByName(near.select(F.col("b").alias("a"))).distinct()
+    sets = kept(full_sets(docs, k, wanted), f"{name}-sets")
+    return kept(_checked(_paired(near, sets, "tokens"), enough, ["a", "b"]), name)
 
 
 def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key, n) of all documents, and links (a, b) of keys that connect all groups."""
     rows = kept(prefixes(docs, k, num, den), "prefixes")
-    postings = rows.where(F.col("prefix").isNotNull()).select("key", "prefix").dropDuplicates(["key"]).select(
-        "key", F.explode("prefix").alias("token"))
-    ends = postings.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    shared = kept(postings.join(ends, "token"), "shared")
-    sets = kept(full_sets(docs, k, shared.select("key")), "sets")
-
-    # 1. groups: each set with the sets it shares most ends with
-    to_low = shared.where("key <> low").select("key", F.col("low").alias("other"))
-    to_high = shared.where("key <> high").select("key", F.col("high").alias("other"))
-    near = to_low.unionByName(to_high).groupBy("key", "other").agg(F.count("*").alias("c"))
+    heads = rows.where(F.col("prefix").isNotNull())
+    sketches = heads.select("key", "n", "ranges").dropDuplicates(["key"])
+
+    # 1. groups: each set with the two sets it shares most ends with
+    met, shared = stars(heads)
+    near = met.groupBy("key", "other").agg(F.sum("c").alias("c"))
     order = Window.partitionBy("key").orderBy(F.desc("c"), "other")
     near = near.withColumn("rank", F.row_number().over(order)).where("rank <= 2")
     pairs = near.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
-    first = kept(_linked_pairs(pairs, sets, num, den), "first-links")
+    first = _linked_pairs(docs, k, pairs, sketches, num, den, "first-links")
     label = kept(components(first, "a", "b"), "groups")
 
     # 2. parts of groups, their unions, queries to other groups' parts
+    found = kept(postings(heads, shared), "postings")
     sizes = label.groupBy("label").agg(F.count("*").alias("size"))
     grouped = label.join(sizes, "label").select(
         F.col("node").alias("key"), F.col("label").alias("grp"), "size",
-        F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / PART)).cast("int").alias("part"))
-    member = sets.select("key", "n").join(grouped, "key", "left").select(
+        F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / PART)).alias("part"))
+    member = heads.select("key", "n").dropDuplicates(["key"]).join(grouped, "key", "left").select(
         "key", "n", F.coalesce("grp", "key").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("part", F.lit(0)).alias("part"))
     member = kept(member, "members")
-    index = shared.select("token", "key").join(member, "key")
+    index = kept(found.join(member, "key"), "index")
     across = index.groupBy("token").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("token")
-    index = kept(index.join(across, "token"), "index")
+    index = kept(index.join(across, "token"), "across")
     of_part = index.groupBy("token", "grp", "size", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    query, store = index.alias("q"), of_part.alias("s")
-    asks = query.join(store, "token").where(
+    asks = index.alias("q").join(of_part.alias("s"), "token").where(
         (F.struct("q.size", "q.grp") < F.struct("s.size", "s.grp"))
         & (F.col("q.n") * den >= F.col("s.least") * num) & (F.col("s.most") * den >= F.col("q.n") * num))
-    asks = kept(asks.select(F.col("q.key").alias("a"), F.col("s.grp").alias("grp"), F.col("s.part").cast("long").alias("part")).distinct(), "asks")
-    asked = asks.select("grp", "part").distinct()
+    asks = kept(asks.select(F.col("q.key").alias("a"), F.col("s.grp").alias("grp"), F.col("s.part").alias("part")).distinct(), "asks")
+
+    asked = member.join(asks.select("grp", "part").distinct(), ["grp", "part"])
+    bound = lambda n, _, o: den * o >= num * n
+    query = sketches.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col("ranges").alias("left_ranges"))
+    ranges = asked.select("key", "grp", "part").join(sketches, "key").groupBy("grp", "part").agg(
+        F.collect_list("ranges").alias("many"), F.lit(0).cast("long").alias("right_n")).mapInArrow(
+            _unions(lambda many: np.sum([np.frombuffer(x, dtype="<u4") for x in many], axis=0).astype("<u4").tobytes(), "ranges"),
+            "grp long, part long, right_n long, right_ranges binary")
+    likely = kept(_checked(asks.join(query, "a").join(ranges, ["grp", "part"]), bound, ["a", "grp", "part"], "ranges"), "likely")
+
+    inside = asked.select("key", "grp", "part").join(likely.select("grp", "part").distinct(), ["grp", "part"])
+    sets = kept(full_sets(docs, k, likely.select("a").unionByName(inside.select(F.col("key").alias("a"))).distinct()), "asked-sets")
+    query = sets.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col("tokens").alias("left_tokens"))
+    unions = inside.join(sets.select("key", "tokens"), "key").groupBy("grp", "part").agg(
+        F.collect_list("tokens").alias("many"), F.lit(0).cast("long").alias("right_n")).mapInArrow(
+            _unions(lambda many: short(np.unique(np.concatenate([long(x) for x in many])) << np.uint64(16)), "tokens"),
+            "grp long, part long, right_n long, right_tokens binary")
+    opened = kept(_checked(likely.join(query, "a").join(unions, ["grp", "part"]), bound, ["a", "grp", "part"]), "opened")
+    compared = opened.join(inside.select(F.col("key").alias("b"), "grp", "part"), ["grp", "part"]).select("a", "b")
+    enough = lambda n, m, o: den * o >= num * (n + m - o)
+    more = kept(_checked(_paired(compared, sets, "tokens"), enough, ["a", "b"]), "more-links")
+    return rows.select("doc_id", "key", "n"), first.unionByName(more)
+
+
+def _unions(join, what: str):
+    """Batches of parts with their members' stored columns joined to one; a part is bounded."""
 
-    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole = [np.unique(np.concatenate([long(t) for t in many])) for many in column(batch, "many").to_pylist()]
-            stored = [(w << np.uint64(16)) for w in whole]
+            whole = [join(many) for many in column(batch, "many").to_pylist()]
             yield pa.record_batch(
-                [column(batch, "grp"), column(batch, "part"), pa.array([len(w) for w in whole], type=pa.int64()), pa.array([short(w) for w in stored], type=pa.binary())],
-                names=["grp", "part", "right_n", "right_tokens"])
-
-    placed = member.select("key", "n", "grp", F.col("part").cast("long").alias("part")).join(asked, ["grp", "part"])
-    unions = placed.join(sets.select("key", "tokens"), "key").groupBy("grp", "part").agg(F.collect_list("tokens").alias("many")).mapInArrow(
-        union, "grp long, part long, right_n long, right_tokens binary")
-    bound = asks.join(sets.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col("tokens").alias("left_tokens")), "a").join(unions, ["grp", "part"])
-    opened = kept(_checked(bound, lambda n, _, o: den * o >= num * n, ["a", "grp", "part"]), "opened")
-    compared = opened.join(placed.select(F.col("key").alias("b"), "grp", "part"), ["grp", "part"]).select("a", "b")
-    return rows.select("doc_id", "key", "n"), first.unionByName(kept(_linked_pairs(compared, sets, num, den), "more-links"))
+                [column(batch, "grp"), column(batch, "part"), column(batch, "right_n"), pa.array(whole, type=pa.binary())],
+                names=["grp", "part", "right_n", f"right_{what}"])
+
+    return run
 
 
 def linked(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:

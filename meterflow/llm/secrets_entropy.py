@@ -73,14 +73,14 @@ def window_entropies(text: bytes, width: int) -> list[float]:
     counts, total, full = [0] * 256, 0.0, math.log2(width)
     out = []
     for i, c in enumerate(text):
-        k = counts[c]
-        counts[c] = k + 1
-        total += weigh[k + 1] - weigh[k]
         if i >= width:
             gone = text[i - width]
             k = counts[gone]
             counts[gone] = k - 1
             total += weigh[k - 1] - weigh[k]
+        k = counts[c]
+        counts[c] = k + 1
+        total += weigh[k + 1] - weigh[k]
         if i >= width - 1:
             out.append(full - total / width)
     return out
