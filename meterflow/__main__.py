@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import uuid
 
 from pyspark.sql import SparkSession, functions as F
@@ -35,6 +36,13 @@ def _arguments() -> argparse.ArgumentParser:
         p.add_argument("--checkpoint", required=True)
         p.add_argument("--once", action="store_true", help="take what is there and stop")
         p.add_argument("--early", action="store_true", help="warn on windows still filling")
+        p.add_argument("--ledger", help="record the run in this ledger")
+        p.add_argument("--progress", help="append every progress report to this table")
+        p.add_argument("--seconds", type=int, help="trigger interval")
+        p.add_argument("--window-minutes", type=int, default=StreamSettings().window_minutes)
+        p.add_argument("--watermark-minutes", type=int, default=StreamSettings().watermark_minutes)
+        p.add_argument("--overload-kw", type=float, default=AlertThresholds().overload_kw_per_meter)
+        p.add_argument("--horizon-windows", type=int, help="how far back logged alerts are looked up")
     p = job("bill", "bill one stored day")
     for path in ("store", "tariff", "bills", "report", "ledger"):
         p.add_argument(f"--{path}", required=True)
@@ -70,19 +78,44 @@ def _source(spark, args):
     return streams.kafka_records(spark, streams.kafka_options(args.bootstrap, args.topic, args.start))
 
 
+def _live(args):
+    return StreamSettings(timezone=args.timezone, window_minutes=args.window_minutes,
+                          watermark_minutes=args.watermark_minutes)
+
+
+def _recorded(spark, args, component, run_id, start):
+    """Runs a stream job to its end, with its start and finish in the ledger if asked for.
+
+    A run that was killed stays open there until the next start of the job supersedes it.
+    """
+    if args.progress:
+        spark.streams.addListener(jobs.ProgressLog(spark, args.progress))
+    if args.ledger:
+        billing_run.record(spark, args.ledger, run_id, "start", component=component)
+    status = "FAILED"
+    try:
+        start().awaitTermination()
+        status = "SUCCESS"
+    finally:
+        if args.ledger:
+            billing_run.record(spark, args.ledger, run_id, "finish", status=status, component=component)
+
+
 def raw_store(spark, args):
-    jobs.start_raw_store(_source(spark, args), args.out, args.checkpoint, "raw_store",
-                         StreamSettings(timezone=args.timezone), args.once).awaitTermination()
+    seconds = {"seconds": args.seconds} if args.seconds else {}
+    _recorded(spark, args, "raw_store", f"raw-{uuid.uuid4().hex[:8]}", lambda: jobs.start_raw_store(
+        _source(spark, args), args.out, args.checkpoint, "raw_store", _live(args), args.once, **seconds))
 
 
 def metrics(spark, args):
-    live = StreamSettings(timezone=args.timezone)
+    live, run_id = _live(args), f"speed-{uuid.uuid4().hex[:8]}"
+    seconds = {"seconds": args.seconds} if args.seconds else {}
     parsed = records.parse_readings(_source(spark, args), args.timezone, utc=False)
     windows = jobs.zone_window_stream(parsed, live, "approx" if args.early else "exact")
-    jobs.start_metrics_and_alerts(
-        windows, f"{args.out}/zone_metrics", f"{args.out}/alerts", args.checkpoint, "metrics",
-        f"speed-{uuid.uuid4().hex[:8]}", live, AlertThresholds(), args.once,
-        "update" if args.early else "append").awaitTermination()
+    limits = dataclasses.replace(AlertThresholds(), overload_kw_per_meter=args.overload_kw)
+    _recorded(spark, args, "speed_layer", run_id, lambda: jobs.start_metrics_and_alerts(
+        windows, f"{args.out}/zone_metrics", f"{args.out}/alerts", args.checkpoint, "metrics", run_id, live, limits,
+        args.once, "update" if args.early else "append", horizon_windows=args.horizon_windows, **seconds))
 
 
 def bill(spark, args):
@@ -110,7 +143,9 @@ def inspect(spark, args):
     stored.printSchema()
     dedupe.duplicate_stats(stored).show()
     unique = dedupe.dedupe_readings(stored)
-    energy.partition_counts(unique).orderBy("sim_day", "grid_zone").show(40, truncate=False)
+    counts = energy.partition_counts(unique)
+    print(f"{counts.count()} days and zones, the newest of them:")
+    counts.orderBy(F.desc("sim_day"), "grid_zone").show(40, truncate=False)
     day = _day(spark, args.day) if args.day else store.stored_days(spark, args.store).first()[0]
     chosen = unique.where(F.col("sim_day") == F.lit(day))
     energy.zone_day_totals(chosen).orderBy("grid_zone").show(truncate=False)

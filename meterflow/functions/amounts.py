@@ -1,7 +1,9 @@
 """Energy and money expressions.
 
-Energy is summed as whole units of 0.0001 kWh in a BIGINT: the sum is exact, does not
-depend on the order of rows, and stays in hash aggregation with plain long buffers.
+Energy is summed as two BIGINTs, whole units of 0.0001 kWh and what is left of each
+reading in units of 10^-12 kWh: the sum does not depend on the order of rows, stays in
+hash aggregation with plain long buffers, and is rounded once, after summing. Readings
+must be below 10^9 kWh, which the record contract sees to.
 Totals and money are DECIMAL and become DOUBLE only when they leave the engine.
 """
 
@@ -17,15 +19,28 @@ MONEY = "decimal(18,2)"
 RATE = "decimal(9,2)"
 
 
-def energy_units(kwh) -> Column:
-    """kWh as whole 0.0001 kWh units, half up."""
+FINE = "decimal(30,0)"
+FINE_PER_UNIT = 100_000_000
+
+
+def sum_fine(kwh) -> Column:
+    """Sum of a kWh column in units of 10^-12 kWh, to be summed further."""
     col = F.col(kwh) if isinstance(kwh, str) else kwh
-    return F.floor(col.cast("double") * UNITS_PER_KWH + 0.5)
+    units = col.cast("double") * UNITS_PER_KWH
+    whole = F.floor(units)
+    rest = F.rint((units - whole) * FINE_PER_UNIT).cast("bigint")
+    return (F.sum(whole).cast("decimal(20,0)") * F.lit(Decimal(FINE_PER_UNIT)) + F.sum(rest).cast("decimal(20,0)")).cast(FINE)
+
+
+def fine_to_kwh(fine: Column) -> Column:
+    """Units of 10^-12 kWh as DECIMAL(18,4), half up."""
+    units = F.floor((fine.cast(FINE) + F.lit(Decimal(FINE_PER_UNIT // 2))) / F.lit(Decimal(FINE_PER_UNIT)))
+    return units_to_kwh(units)
 
 
 def sum_kwh(kwh) -> Column:
-    """Exact sum of a kWh column as DECIMAL(18,4)."""
-    return units_to_kwh(F.sum(energy_units(kwh)))
+    """Exact sum of a kWh column as DECIMAL(18,4), rounded half up after summing."""
+    return fine_to_kwh(sum_fine(kwh))
 
 
 def units_to_kwh(units: Column) -> Column:

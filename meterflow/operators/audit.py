@@ -45,19 +45,26 @@ def recompute_bills(stored: DataFrame, readings: DataFrame, tariff: DataFrame,
     """Every stored bill against one worked out again from unique raw readings.
 
     ``readings`` must be deduplicated. Each bill gets its number of readings, whether all
-    fields agree, and how many do not.
+    fields agree, and how many do not. Sums and amounts are written out here on wide
+    decimals, so an error in the billing code is found and not repeated.
     """
     raw = readings.groupBy("sim_day", "household_id", "grid_zone").agg(
-        amounts.sum_kwh("power_consumption_kwh").alias("total_consumption_kwh"),
-        amounts.sum_kwh("solar_generation_kwh").alias("total_solar_kwh"),
+        F.round(F.sum(F.col("power_consumption_kwh").cast("decimal(20,10)")), 4).cast(amounts.KWH).alias("used"),
+        F.round(F.sum(F.col("solar_generation_kwh").cast("decimal(20,10)")), 4).cast(amounts.KWH).alias("solar"),
         F.count(F.lit(1)).alias("readings"),
     )
+    share = F.lit(Decimal(str(terms.subsidy_share)))
+    owed = raw.join(tariff, ["sim_day", "household_id"], "left").withColumn(
+        "net", F.when(F.col("used") > F.col("solar"), F.col("used") - F.col("solar")).otherwise(F.lit(Decimal("0.0000"))))
+    owed = owed.withColumn("gross", F.round(F.col("net") * F.col("tariff_rate"), 2))
+    owed = owed.withColumn("cut", F.when(F.col("subsidy_flag"), F.round(F.col("gross") * share, 2)).otherwise(F.lit(Decimal("0.00"))))
     fields = {"total_consumption_kwh": KWH_TOLERANCE, "total_solar_kwh": KWH_TOLERANCE,
               "net_kwh": KWH_TOLERANCE, "gross_amount": MONEY_TOLERANCE,
               "subsidy_amount": MONEY_TOLERANCE, "net_amount": MONEY_TOLERANCE}
-    again = billing.bill(billing.join_tariff(raw, tariff), terms).select(
-        "sim_day", "household_id", "grid_zone", "readings",
-        F.col("billing_tier").alias("_tier"), *[F.col(f).alias(f"_{f}") for f in fields]
+    derived = [F.col("used"), F.col("solar"), F.col("net"), F.col("gross"), F.col("cut"), F.col("gross") - F.col("cut")]
+    again = owed.select(
+        "sim_day", "household_id", "grid_zone", "readings", F.col("billing_tier").alias("_tier"),
+        *[value.cast(amounts.KWH).alias(f"_{f}") for f, value in zip(fields, derived, strict=True)]
     )
     both = stored.join(again, ["sim_day", "household_id", "grid_zone"], "left")
     pairs = [(f, F.col(f), F.col(f"_{f}"), tolerance) for f, tolerance in fields.items()]
@@ -75,9 +82,9 @@ def impossible_bills(bills: DataFrame) -> DataFrame:
                                         F.count_if(bad).alias("impossible"))
 
 
-def window_checks(windows: DataFrame, max_meters: Column, newest: int | None = 200,
+def window_checks(windows: DataFrame, max_meters: Column, newest: int | None = None,
                   minutes: int = WINDOW_MINUTES, pct_tolerance: str = "0.02") -> DataFrame:
-    """Length, share and meter count of the newest windows: one line per check."""
+    """Length, share and meter count of all windows, or the newest: one line per check."""
     looked_at = windows if newest is None else windows.orderBy(
         F.col("window_start").desc(), "grid_zone").limit(newest)
     length = F.timestamp_diff("MICROSECOND", "window_start", "window_end") / F.lit(60_000_000.0)

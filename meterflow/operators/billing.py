@@ -151,15 +151,14 @@ def recent_days(bills: DataFrame, n: int = 14) -> DataFrame:
 
 
 def top_bills(bills: DataFrame, n: int = 10) -> DataFrame:
-    """Highest bills; equal amounts are ordered by day and household."""
-    order = [F.col("net_amount").desc(), F.col("sim_day"), F.col("household_id")]
-    return top(bills.select("sim_day", "household_id", "net_amount"), order, n)
+    """Each day's highest bills; equal amounts are ordered by household."""
+    order = [F.col("net_amount").desc(), F.col("household_id")]
+    return latest_per_group(bills.select("sim_day", "household_id", "net_amount"), ["sim_day"], order, n)
 
 
 def bottom_bills(bills: DataFrame, n: int = 10) -> DataFrame:
-    """Lowest bills with the part of use that solar covered."""
-    order = [F.col("net_amount"), F.col("sim_day"), F.col("household_id")]
-    lowest = top(bills, order, n)
+    """Each day's lowest bills with the part of use that solar covered."""
+    lowest = latest_per_group(bills, ["sim_day"], [F.col("net_amount"), F.col("household_id")], n)
     return lowest.select(
         "sim_day", "household_id", "grid_zone",
         F.round("total_consumption_kwh", 2).alias("used_kwh"),

@@ -1,60 +1,8 @@
-"""Joins that stay even when one key holds a large share of the rows."""
+"""Set operations on keys."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-
-HEAVY_SHARE = 1000
-# Memory a compressed column may take for each byte of its file.
-EXPANSION = 10
-
-
-def planned_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a frame that is a plain scan; None if unavailable."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # no JVM handle, as on a remote client
-        return None
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """The session's own broadcast threshold in bytes (-1 where it is turned off)."""
-    try:
-        conf = df.sparkSession._jsparkSession.sessionState().conf()
-        return int(conf.autoBroadcastJoinThreshold())
-    except Exception:
-        return 10 * 1024 * 1024
-
-
-def heavy_keys(facts: DataFrame, key: str, share: int = HEAVY_SHARE) -> DataFrame:
-    """Keys with more than 1/share of all rows: fewer than ``share`` of them, always."""
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = facts.agg(F.count(F.lit(1))).scalar()
-    return counts.where(F.col("_n") * share > total).select(key)
-
-
-def attach_dimension(facts: DataFrame, dimension: DataFrame, key: str,
-                     dimension_bytes: int | None, limit: int | None = None,
-                     even: bool = False) -> DataFrame:
-    """Inner join of facts to a dimension that is unique on the key.
-
-    A dimension that stays within the broadcast limit even when its files expand in
-    memory is broadcast, and the facts never move. Beyond that, the rows of heavy keys are
-    joined by broadcasting just those keys' dimension rows (fewer than ``HEAVY_SHARE``),
-    and only the remaining, even rows are shuffled. That reads the facts three times, which
-    suits a scan; for facts already aggregated on the key say ``even`` and they are shuffled
-    once.
-    """
-    limit = broadcast_limit(facts) if limit is None else limit
-    if dimension_bytes is not None and dimension_bytes * EXPANSION <= limit:
-        return facts.join(F.broadcast(dimension), key)
-    if even:
-        return facts.join(dimension, key)
-    heavy = heavy_keys(facts, key)
-    heavy_dimension = dimension.join(F.broadcast(heavy), key, "left_semi")
-    hot = facts.join(F.broadcast(heavy_dimension), key)
-    even = facts.join(F.broadcast(heavy), key, "left_anti").join(dimension, key)
-    return hot.unionByName(even)
+from pyspark.sql import DataFrame
 
 
 def set_difference(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

@@ -24,9 +24,10 @@ def merge_keyed(existing: DataFrame, incoming: DataFrame, key: list[str]) -> Dat
 
 def replace_days(existing: DataFrame, incoming: DataFrame, day: str = "sim_day") -> DataFrame:
     """Whole days replaced by the incoming ones, which also drops rows a re-run no longer
-    produces. The query form of a dynamic partition overwrite."""
+    produces. The query form of a dynamic partition overwrite. The days, of which a
+    thousand years have some 365,000, are broadcast: the table doesn't meet on its days."""
     days = incoming.select(day).distinct()
-    return existing.join(days, day, "left_anti").unionByName(incoming)
+    return existing.join(F.broadcast(days), day, "left_anti").unionByName(incoming)
 
 
 def constraint_findings(df: DataFrame, key: list[str], required: list[str],

@@ -1,7 +1,8 @@
 """Latest-per-group, top-k, neighbours in an order, gaps.
 
 Nothing here sorts an unbounded group in one task: rank filters are cut before the
-shuffle, neighbours are found on range partitions, gaps on pre-aggregated buckets.
+shuffle, neighbours are found inside buckets and on their ends, gaps on pre-aggregated
+buckets.
 """
 
 from __future__ import annotations
@@ -52,62 +53,17 @@ def newest_then_ascending(df: DataFrame, column: str, n: int) -> DataFrame:
     return df.orderBy(F.col(column).desc()).limit(n).orderBy(column)
 
 
-def out_of_order(df: DataFrame, source: str, order: list[str], value: str,
-                 partitions: int | None = None) -> DataFrame:
+def out_of_order(df: DataFrame, source: str, order: list[str], value: str, bucket: Column) -> DataFrame:
     """Per source: rows, and rows whose value is below that of the row just before.
 
-    Rows are range-partitioned by (source, order), so a source with a large share of the
-    rows spans many tasks. Each task compares neighbours inside its range and reports one
-    line per source with its first and last value; the seams between ranges are compared
-    on those lines, of which there are at most sources + tasks.
+    ``bucket`` must rise with the order and be fine enough that one source's bucket is a
+    small piece of work: neighbours are compared inside buckets, so a source with a large
+    share of the rows spans many tasks, and the seams on one line per bucket.
     """
-    keys = [source, *order]
-    slim = df.select(*dict.fromkeys([*keys, value]))
-    ranged = slim.repartitionByRange(partitions, *keys) if partitions else \
-        slim.repartitionByRange(*keys)
-    fields = {f.name: f.dataType.simpleString() for f in slim.schema.fields}
-    schema = (f"{source} {fields[source]}, part int, n bigint, lower bigint, "
-              f"first_value {fields[value]}, last_value {fields[value]}")
-    ordered = (ranged.sortWithinPartitions(*keys)
-               .withColumn("part", F.spark_partition_id())
-               .select(source, value, "part"))
-
-    def compare(batches):
-        open_run = None
-        for frame in batches:
-            if frame.empty:
-                continue
-            for name, run in frame.groupby(source, sort=False):
-                values = run[value]
-                lower = int((values < values.shift()).sum())
-                if open_run is not None and open_run[source] == name:
-                    lower += int(values.iloc[0] < open_run["last_value"])
-                    open_run["n"] += len(run)
-                    open_run["lower"] += lower
-                    open_run["last_value"] = values.iloc[-1]
-                    continue
-                if open_run is not None:
-                    yield _one_row(open_run)
-                open_run = {source: name, "part": int(run["part"].iloc[0]), "n": len(run),
-                            "lower": lower, "first_value": values.iloc[0],
-                            "last_value": values.iloc[-1]}
-        if open_run is not None:
-            yield _one_row(open_run)
-
-    runs = ordered.mapInPandas(compare, schema)
-    before = F.lag("last_value").over(Window.partitionBy(source).orderBy("part"))
-    return (
-        runs.withColumn("seam", F.coalesce((F.col("first_value") < before).cast("int"), F.lit(0)))
-        .groupBy(source)
-        .agg(F.sum("n").alias("events"),
-             (F.sum("lower") + F.sum("seam")).alias("out_of_order"))
-    )
-
-
-def _one_row(values: dict):
-    import pandas as pd
-
-    return pd.DataFrame([values])
+    rows = df.select(source, F.struct(*order).alias("_order"), F.col(value).alias("_value"), bucket.alias("_bucket"))
+    seen = previous_in_order(rows, [source], "_order", "_value", "_bucket")
+    return seen.groupBy(source).agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(F.col("_value") < F.col("previous")).alias("out_of_order"))
 
 
 def gaps(df: DataFrame, time: str, limit_seconds: int, by: list[str] | None = None) -> DataFrame:

@@ -30,23 +30,24 @@ def quota_sample(df: DataFrame, group: str, member: str, share: str, salt: str =
     marks = sizes.select(
         group, "_bucket",
         (F.sum("_size").over(rising) - F.col("_size")).alias("_before"),
+        F.sum("_size").over(rising).alias("_through"),
         F.rint(F.sum("_size").over(whole_group) * F.col("_share")).cast("bigint").alias("quota"),
     )
+    placed = hashed.drop("_share").join(marks, [group, "_bucket"])
+    deciding = (F.col("_before") < F.col("quota")) & (F.col("_through") > F.col("quota"))
+    sure = placed.where(~deciding).select(group, member, "quota", (F.col("_through") <= F.col("quota")).alias("chosen"))
     in_bucket = Window.partitionBy(group, "_bucket").orderBy("_bits", member)
-    return (
-        hashed.drop("_share").join(marks, [group, "_bucket"])
-        .withColumn("_place", F.col("_before") + F.row_number().over(in_bucket))
-        .select(group, member, "quota", (F.col("_place") <= F.col("quota")).alias("chosen"))
-    )
+    ranked = placed.where(deciding).withColumn("_place", F.col("_before") + F.row_number().over(in_bucket))
+    return sure.unionByName(ranked.select(group, member, "quota", (F.col("_place") <= F.col("quota")).alias("chosen")))
 
 
 def household_terms(households: DataFrame, rates: dict = TIER_RATES, weights: dict = TIER_WEIGHTS,
-                    subsidy_probability: float = SUBSIDY_PROBABILITY) -> DataFrame:
+                    subsidy_probability: float = SUBSIDY_PROBABILITY, keep: list[str] | None = None) -> DataFrame:
     """Tier and subsidy flag of each household, the parts that do not change by day."""
     check_tiers(rates, weights)
     who = F.col("household_id")
     return households.select(
-        "household_id",
+        "household_id", *(keep or []),
         hashing.weighted_choice(hashing.stable_fraction("tier", who), weights)
         .alias("billing_tier"),
         hashing.flag_with_probability(hashing.stable_fraction("subsidy", who),
@@ -70,6 +71,16 @@ def rate_table(households: DataFrame, first_day, last_day, rates: dict = TIER_RA
     dated = terms.withColumn(
         "sim_day", F.explode(F.sequence(first_day.cast("date"), last_day.cast("date")))
     )
+    return _rates(dated, rates, jitter)
+
+
+def rates_of(usage: DataFrame) -> DataFrame:
+    """The rates of just the days and households that have usage."""
+    pairs = usage.select("sim_day", "household_id").distinct()
+    return _rates(household_terms(pairs.select("household_id", "sim_day"), keep=["sim_day"]), TIER_RATES, RATE_JITTER)
+
+
+def _rates(dated: DataFrame, rates: dict, jitter: float) -> DataFrame:
     return dated.select(
         "sim_day", "household_id",
         daily_rate(F.col("household_id"), F.col("sim_day"), F.col("billing_tier"), rates, jitter)

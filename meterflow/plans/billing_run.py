@@ -5,6 +5,7 @@ Only single values and a few names for messages come to the driver.
 
 from __future__ import annotations
 
+import functools
 from datetime import date, datetime, timezone as tz
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -46,21 +47,25 @@ def resolve_day(spark: SparkSession, path: str, requested: date | None = None,
     return requested
 
 
-def _names(df: DataFrame, column: str) -> list:
-    return [r[0] for r in df.select(column).orderBy(column).limit(20).collect()]
+def findings(usage: DataFrame, tariff: DataFrame) -> DataFrame:
+    """Every household that can't be billed rightly (refused), or looks odd (warning)."""
+    found = {
+        ("refused", "without a rate"): billing.unpriced(usage, tariff),
+        ("refused", "with several rates"): billing.repeated_tariffs(tariff),
+        ("refused", "in several zones"): billing.two_zone_households(usage),
+        ("warning", "with other than one meter"): billing.multi_metered(usage),
+    }
+    rows = [df.select(F.lit(level).alias("level"), F.lit(what).alias("finding"), "sim_day", "household_id")
+            for (level, what), df in found.items()]
+    return functools.reduce(DataFrame.unionByName, rows)
 
 
-def check(usage: DataFrame, tariff: DataFrame) -> None:
-    """Refuses a run that would bill a household wrongly, naming up to twenty."""
-    findings = {
-        "without a rate": billing.unpriced(usage, tariff),
-        "with several rates": billing.repeated_tariffs(tariff),
-        "in several zones": billing.two_zone_households(usage),
-    }
-    for what, found in findings.items():
-        names = _names(found, "household_id")
-        if names:
-            raise RunRefused(f"households {what}: {', '.join(names)}")
+def check(found: DataFrame) -> None:
+    """Refuses a run that would bill a household wrongly; the whole list is in ``found``."""
+    counts = found.where("level = 'refused'").groupBy("finding").agg(
+        F.count(F.lit(1)).alias("n"), F.min("household_id").alias("first")).orderBy("finding").collect()
+    if counts:
+        raise RunRefused("households " + "; ".join(f"{r.finding}: {r.first} and {r.n - 1} more" for r in counts))
 
 
 def write_bills(bills: DataFrame, path: str, run_id: str) -> None:
@@ -72,10 +77,11 @@ def write_bills(bills: DataFrame, path: str, run_id: str) -> None:
 
 
 def record(spark: SparkSession, path: str, run_id: str, kind: str, day: date | None = None,
-           status: str | None = None, rows: int | None = None, notes: str | None = None) -> None:
-    """Appends one event to the ledger."""
+           status: str | None = None, rows: int | None = None, notes: str | None = None,
+           component: str = COMPONENT) -> None:
+    """Appends one event to the ledger, of the billing run or of another component."""
     now = datetime.now(tz.utc).replace(tzinfo=None)
-    line = (run_id, COMPONENT, day, now, kind, status, rows, notes)
+    line = (run_id, component, day, now, kind, status, rows, notes)
     spark.createDataFrame([line], EVENT).coalesce(1).write.mode("append").parquet(path)
 
 
@@ -85,8 +91,13 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 def run(spark: SparkSession, store_path: str, tariff_path: str, bills_path: str, report_path: str,
         ledger_path: str, run_id: str, day: date | None = None, allow_open: bool = False,
-        timezone: str = TIMEZONE, terms: BillingTerms = BillingTerms()) -> DataFrame:
-    """Bills one day and returns its summary; the ledger also shows a run that failed."""
+        timezone: str = TIMEZONE, terms: BillingTerms = BillingTerms(),
+        findings_path: str | None = None) -> DataFrame:
+    """Bills one day and returns its summary; the ledger also shows a run that failed.
+
+    All findings of the run, those that refuse it and warnings about meters and partial
+    days, are a table under ``findings_path`` (beside the ledger by default).
+    """
     chosen = resolve_day(spark, store_path, day, allow_open, timezone)
     record(spark, ledger_path, run_id, "start", chosen, notes=f"billing {chosen}")
     status, rows = "FAILED", 0
@@ -95,9 +106,16 @@ def run(spark: SparkSession, store_path: str, tariff_path: str, bills_path: str,
         store.require_rows(readings, f"the store for {chosen}")
         tariff = tariff_files.read_day(spark, tariff_path, chosen)
         usage = materialised(energy.daily_usage(readings), "usage")
-        check(usage, tariff)
+        found = f"{findings_path or ledger_path.rstrip('/') + '-findings'}/run_id={run_id}"
+        findings(usage, tariff).write.mode("overwrite").parquet(found)
+        check(spark.read.parquet(found))
         write_bills(billing.bills_from_usage(usage, tariff, terms), bills_path, run_id)
         written = read_bills(spark, bills_path).where(F.col("sim_day") == F.lit(chosen))
+        configured = tariff.agg(F.count_distinct("household_id")).scalar()
+        short = billing.partial_days(written, configured).select(
+            F.lit("warning").alias("level"), F.concat_ws(" ", F.lit("billed"), "billed", F.lit("of"), "configured").alias("finding"),
+            "sim_day", F.lit(None).cast("string").alias("household_id"))
+        short.write.mode("append").parquet(found)
         reports.write_report(written, report_path)
         summary = billing.summarise(written)
         rows = written.count()

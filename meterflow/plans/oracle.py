@@ -137,6 +137,16 @@ damaged AS (SELECT *, CASE WHEN event_type = 'error' THEN event_id % 6 ELSE -1 E
 _LIVE = windows("stored", LOCAL)
 _CLOSED = "window_end <= (SELECT max(\"timestamp\") FROM readings) - INTERVAL 30 MINUTE"
 
+
+def _window_checks(damaged: str) -> str:
+    """The three checks of windows, on damaged ones."""
+    return f"""SELECT "check", windows, failed, failed = 0 AS ok FROM (
+  SELECT unnest(['window_length', 'renewable_pct', 'active_meters']) AS "check", n AS windows, unnest([a, b, c]) AS failed FROM (
+  SELECT count(*) AS n, count(*) FILTER (WHERE datediff('second', window_start, window_end) <> 3600) AS a,
+    count(*) FILTER (WHERE total_consumption_kwh > 0 AND abs(100 * total_solar_kwh::DOUBLE / total_consumption_kwh::DOUBLE - renewable_pct) > 0.02) AS b,
+    count(*) FILTER (WHERE active_meters > (SELECT count(*) FROM customer)) AS c FROM ({damaged})))"""
+
+
 _Q = {
     "parse_readings": """SELECT meter_id, household_id, grid_zone, used::DOUBLE AS power_consumption_kwh,
   solar::DOUBLE AS solar_generation_kwh, "timestamp", sim_day::VARCHAR AS sim_day, ingested_at FROM damaged WHERE kind = -1""",
@@ -247,12 +257,12 @@ _Q = {
     "day_tile": """SELECT sim_day::VARCHAR AS sim_day, count(*) AS households_billed, round(sum(c), 1)::DOUBLE AS consumption_kwh,
   round(sum(s), 1)::DOUBLE AS solar_kwh, round(sum(net_kwh), 1)::DOUBLE AS net_billed_kwh, sum(subsidy)::DOUBLE AS subsidy,
   sum(net_amount)::DOUBLE AS revenue FROM bills GROUP BY 1""",
-    "top_bills": """SELECT sim_day::VARCHAR AS sim_day, household_id, net_amount::DOUBLE AS net_amount FROM bills b
-  ORDER BY b.net_amount DESC, b.sim_day, household_id LIMIT 10""",
+    "top_bills": """SELECT sim_day::VARCHAR AS sim_day, household_id, net_amount::DOUBLE AS net_amount FROM bills
+  QUALIFY row_number() OVER (PARTITION BY bills.sim_day ORDER BY bills.net_amount DESC, household_id) <= 10""",
     "bottom_bills": f"""SELECT sim_day::VARCHAR AS sim_day, household_id, grid_zone, round(c, 2)::DOUBLE AS used_kwh,
   round(s, 2)::DOUBLE AS solar_kwh, {pct('s', 'c', 1, 'NULL')} AS solar_offset_pct, subsidy_flag,
-  subsidy::DOUBLE AS subsidy_amount, net_amount::DOUBLE AS net_amount FROM bills b
-  ORDER BY b.net_amount, b.sim_day, household_id LIMIT 10""",
+  subsidy::DOUBLE AS subsidy_amount, net_amount::DOUBLE AS net_amount FROM bills
+  QUALIFY row_number() OVER (PARTITION BY bills.sim_day ORDER BY bills.net_amount, household_id) <= 10""",
     "recent_days": """SELECT * FROM (SELECT sim_day::VARCHAR AS sim_day, sum(net_amount)::DOUBLE AS revenue,
   sum(subsidy)::DOUBLE AS subsidy FROM bills GROUP BY 1 ORDER BY 1 DESC LIMIT 14) ORDER BY 1""",
     "coverage_by_zone": """SELECT sim_day::VARCHAR AS sim_day, grid_zone, count(*) AS households,
@@ -265,10 +275,11 @@ _Q = {
   zones_reporting, newest_window_start, (SELECT count(*) FROM zone_meters) AS zones_configured FROM (
   SELECT count(*) AS windows_stored, count(DISTINCT grid_zone) AS zones_reporting, max(window_start) AS newest_window_start,
     datediff('microsecond', max(updated_at), (SELECT now FROM clock)) AS age FROM windows)""",
-    "metric_rows": """SELECT 'zone_renewable_pct' AS name, grid_zone AS label, renewable_pct AS value FROM latest
+    "metric_rows": f"""SELECT 'zone_renewable_pct' AS name, grid_zone AS label, renewable_pct AS value FROM latest
   UNION ALL SELECT 'zone_consumption_kwh', grid_zone, total_consumption_kwh::DOUBLE FROM latest
   UNION ALL SELECT 'zone_solar_kwh', grid_zone, total_solar_kwh::DOUBLE FROM latest
   UNION ALL SELECT 'zone_active_meters', grid_zone, active_meters::DOUBLE FROM latest
+  UNION ALL SELECT 'zone_avg_load_kw', grid_zone, {LOAD} FROM latest
   UNION ALL SELECT 'serving_lag_seconds', '', (datediff('microsecond', max(updated_at), (SELECT now FROM clock)) // 1000000)::DOUBLE FROM windows
   UNION ALL SELECT 'alerts', rule || '/' || level, count(*)::DOUBLE FROM alerts GROUP BY 1, 2
   UNION ALL SELECT 'pipeline_runs', component || '/' || status, count(*)::DOUBLE FROM runs GROUP BY 1, 2
@@ -282,7 +293,9 @@ _Q = {
   (SELECT count(*) FROM orders) AS runs, (SELECT count(*) FROM bills) AS bills""",
     "out_of_order_events": """SELECT grid_zone, count(*) AS events, count(*) FILTER (WHERE "timestamp" < before) AS out_of_order FROM (
   SELECT grid_zone, "timestamp", lag("timestamp") OVER (PARTITION BY grid_zone ORDER BY ingested_at, event_id) AS before FROM readings) GROUP BY 1""",
-    "order_check": "SELECT grid_zone, count(*) AS windows, true AS newest_first FROM windows GROUP BY 1",
+    "order_check": """SELECT grid_zone, count(*) AS windows, count(*) FILTER (WHERE window_start > before) = 0 AS newest_first FROM (
+  SELECT grid_zone, window_start, lag(window_start) OVER (PARTITION BY grid_zone
+    ORDER BY CASE WHEN grid_zone = 'ASIA' THEN epoch(window_start) ELSE -epoch(window_start) END) AS before FROM windows) GROUP BY 1""",
     "throughput_per_minute": """SELECT date_trunc('minute', ingested_at) AS minute, count(*) AS events,
   count(*) FILTER (WHERE ingested_at > "timestamp") AS late, count(*) / 60.0::DOUBLE AS events_per_second,
   count(*) FILTER (WHERE ingested_at > "timestamp") / 60.0::DOUBLE AS late_per_second FROM readings GROUP BY 1""",
@@ -345,11 +358,13 @@ _Q = {
   abs(t.net_amount - b.net_amount) <= 0.01 AS agrees FROM tampered t JOIN bills b USING (sim_day, household_id)
   JOIN (SELECT sim_day, household_id, count(*) AS n FROM uniq GROUP BY 1, 2) USING (sim_day, household_id)""",
     "impossible_bills": """SELECT sim_day::VARCHAR AS sim_day, count(*) AS bills,
-  count(*) FILTER (WHERE net_kwh < 0 OR net_amount < 0 OR net_kwh > c) AS impossible FROM bills GROUP BY 1""",
-    "window_checks": """SELECT unnest(['window_length', 'renewable_pct', 'active_meters']) AS "check",
-  least((SELECT count(*) FROM windows), 200) AS windows, 0::BIGINT AS failed, true AS ok""",
-    "window_checks_all": """SELECT unnest(['window_length', 'renewable_pct', 'active_meters']) AS "check",
-  (SELECT count(*) FROM windows) AS windows, 0::BIGINT AS failed, true AS ok""",
+  count(*) FILTER (WHERE net_kwh < 0 OR net_amount < 0 OR net_kwh > c) AS impossible FROM (SELECT * REPLACE (
+    CASE WHEN grid_zone = 'ASIA' THEN c + net_kwh + 1 ELSE net_kwh END AS net_kwh,
+    CASE WHEN subsidy_flag THEN -net_amount - 1 ELSE net_amount END AS net_amount) FROM bills) GROUP BY 1""",
+    "window_checks": _window_checks("""SELECT * REPLACE (window_end + CASE WHEN grid_zone = 'ASIA' THEN INTERVAL 1 MINUTE
+  ELSE INTERVAL 0 MINUTE END AS window_end) FROM windows"""),
+    "window_checks_all": _window_checks("""SELECT * REPLACE (renewable_pct + CASE WHEN grid_zone = 'ASIA' THEN 1 ELSE 0 END AS renewable_pct,
+  active_meters + CASE WHEN grid_zone = 'EUROPE' THEN 1000000 ELSE 0 END AS active_meters) FROM windows"""),
     "zone_freshness": """SELECT a.grid_zone, window_start, renewable_pct, active_meters,
   datediff('microsecond', updated_at, now) // 1000000 AS age_seconds, window_start IS NOT NULL AS reported,
   coalesce(datediff('microsecond', updated_at, now) // 1000000 <= 1200, false) AS ok
@@ -363,7 +378,10 @@ _Q = {
   (SELECT sim_day, grid_zone, sum(c) AS b FROM bills GROUP BY 1, 2) LEFT JOIN
   (SELECT CAST(window_start + {LOCAL} AS DATE) AS sim_day, grid_zone, sum(total_consumption_kwh) AS w, count(*) AS n
    FROM ({_LIVE}) GROUP BY 1, 2) USING (sim_day, grid_zone))""",
-    "latest_two_ways": """SELECT grid_zone, renewable_pct AS served_pct, renewable_pct AS derived_pct FROM latest WHERE false""",
+    "latest_two_ways": """SELECT l.grid_zone, served.renewable_pct AS served_pct, l.renewable_pct AS derived_pct
+  FROM latest l LEFT JOIN (SELECT grid_zone, renewable_pct + CASE WHEN grid_zone = 'ASIA' THEN 1 ELSE 0 END AS renewable_pct
+    FROM latest WHERE grid_zone <> 'EUROPE') served USING (grid_zone)
+  WHERE served.renewable_pct IS NULL OR abs(served.renewable_pct - l.renewable_pct) > 0.01""",
     "merge_keyed": f"""SELECT {WINDOW_FIELDS}, source FROM (
   SELECT *, 'late' AS source FROM ({windows("(SELECT * FROM stored WHERE event_type = 'error')", LOCAL)})
   UNION ALL SELECT *, 'live' FROM ({_LIVE}) l WHERE NOT EXISTS (SELECT 1 FROM readings r WHERE r.event_type = 'error'
@@ -377,9 +395,20 @@ _Q = {
   FROM bills GROUP BY 1""",
     "store_layout": """SELECT sim_day::VARCHAR AS sim_day, grid_zone, count(*) AS "rows", true AS fits FROM stored GROUP BY 1, 2""",
     "store_summary": """SELECT count(*) AS "rows", count(DISTINCT (meter_id, "timestamp")) AS distinct_readings FROM stored""",
+    "stored_day": """SELECT meter_id, "timestamp", sim_day::VARCHAR AS sim_day, grid_zone, used::DOUBLE AS power_consumption_kwh,
+  solar::DOUBLE AS solar_generation_kwh FROM uniq WHERE sim_day = DATE '2024-01-15'""",
+    "rates_of_day": """SELECT sim_day::VARCHAR AS sim_day, household_id, tariff_rate::DOUBLE AS tariff_rate, billing_tier,
+  subsidy_flag FROM tariff WHERE sim_day = DATE '2024-01-15'""",
+    "windows_of_day": f"""SELECT {WINDOW_FIELDS} FROM windows WHERE CAST(window_start + {LOCAL} AS DATE) = DATE '2024-01-15'""",
+    "run_findings": """SELECT 'refused' AS level, 'without a rate' AS finding, sim_day::VARCHAR AS sim_day, count(*) AS households
+  FROM usage JOIN household USING (household_id) WHERE segment = 'MACHINERY' GROUP BY ALL
+  UNION ALL SELECT 'warning', 'with other than one meter', sim_day::VARCHAR, count(*) FROM usage WHERE m <> 1 GROUP BY ALL""",
     "stream_raw_store": """SELECT sim_day::VARCHAR AS sim_day, grid_zone, sum(used)::DOUBLE AS total_consumption_kwh,
   sum(solar)::DOUBLE AS total_solar_kwh, count(DISTINCT meter_id) AS active_meters, count(*) AS "rows"
   FROM damaged WHERE kind = -1 GROUP BY 1, 2""",
+    "stream_new_checkpoint": """SELECT sim_day::VARCHAR AS sim_day, grid_zone, sum(used)::DOUBLE AS total_consumption_kwh,
+  sum(solar)::DOUBLE AS total_solar_kwh, count(DISTINCT meter_id) AS active_meters, count(*) AS "rows"
+  FROM readings GROUP BY 1, 2""",
     "stream_zone_windows": f"SELECT {WINDOW_FIELDS} FROM windows",
     "stream_final_windows": f"SELECT {WINDOW_FIELDS} FROM windows WHERE {_CLOSED}",
     "stream_dedup_windows": f"SELECT {WINDOW_FIELDS} FROM ({windows('uniq', LOCAL)})",
@@ -387,12 +416,13 @@ _Q = {
   WHERE window_start + INTERVAL 1 HOUR <= (SELECT max("timestamp") FROM readings) - INTERVAL 30 MINUTE""",
 }
 
-# Line items have their own usage; the rate day is fixed.
+# Line items have their own usage, each at the rate of its own day.
 _LINE = f"""{MODEL}, line_usage AS (SELECT CAST(l_shipdate AS DATE) AS sim_day, 'H-' || o_custkey AS household_id, grid_zone,
   sum(l_quantity::DECIMAL(18,4)) AS c, sum((l_quantity::DECIMAL(9,2) * l_discount::DECIMAL(9,2))::DECIMAL(18,4)) AS s
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer_zone ON user_id = o_custkey GROUP BY ALL),
-line_tariff AS (SELECT household_id, {rate("DATE '1995-01-01'")} AS tariff_rate, billing_tier, subsidy_flag FROM terms),
-line_bills AS ({bills('line_usage', 'line_tariff', 'household_id')})
+line_tariff AS (SELECT sim_day, household_id, {rate('sim_day')} AS tariff_rate, billing_tier, subsidy_flag
+  FROM (SELECT DISTINCT sim_day, household_id FROM line_usage) JOIN terms USING (household_id)),
+line_bills AS ({bills('line_usage', 'line_tariff', 'sim_day, household_id')})
 """
 
 

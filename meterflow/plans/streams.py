@@ -40,26 +40,12 @@ def _records(spark: SparkSession, sf_dir: str, resent: bool = False) -> DataFram
     return readings.select("ingested_at", records.to_records(readings).alias("value"))
 
 
-def _live_session(spark: SparkSession) -> SparkSession:
-    """A session of its own for the stream, with no more state partitions than cores.
-
-    Every state partition is a task and a commit in every micro-batch, used or not. The
-    caller's session keeps its settings.
-    """
-    live = spark.newSession()
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    live.conf.set("spark.sql.shuffle.partitions", str(min(wanted, cores)))
-    return live
-
-
 def _run(spark, rows: DataFrame, start, label: str) -> str:
     """Drives a job over the deliveries; ``start(source, folder)`` starts one run."""
     folder = shared_folder(spark, label)
     topic = f"{folder}/topic"
-    live = _live_session(spark)
     for _ in _deliveries(rows, topic):
-        source = sources.file_records(live, topic)
+        source = sources.file_records(spark, topic)
         start(source, folder).awaitTermination()
     return folder
 
@@ -88,7 +74,7 @@ def zone_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "zone_windows", once=True)
 
     folder = _run(spark, _records(spark, sf_dir), start, "zone-windows")
-    return jobs.zone_windows_view(spark, f"{folder}/metrics")
+    return jobs.zone_windows_view(spark, f"{folder}/metrics").drop("updated_at")
 
 
 def final_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +96,26 @@ def dedup_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "dedup_windows", once=True)
 
     folder = _run(spark, _records(spark, sf_dir, resent=True), start, "dedup-windows")
-    return jobs.zone_windows_view(spark, f"{folder}/metrics")
+    return jobs.zone_windows_view(spark, f"{folder}/metrics").drop("updated_at")
+
+
+def new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw store of a job that loses its checkpoint half-way.
+
+    The first job takes one half. The second one begins with a new checkpoint over a topic
+    that has expired that half and holds the other; nothing stored before may go.
+    """
+    folder = shared_folder(spark, "new-checkpoint")
+    rows = _records(spark, sf_dir)
+    first, last = rows.agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    middle = F.lit(first + (last - first) / 2).cast("timestamp_ntz")
+    for n, part in enumerate((rows.where(F.col("ingested_at") < middle), rows.where(F.col("ingested_at") >= middle))):
+        topic = f"{folder}/topic-{n}"
+        part.select("value").write.text(topic)
+        jobs.start_raw_store(sources.file_records(spark, topic), f"{folder}/store", f"{folder}/checkpoint-{n}",
+                             "raw_store", once=True).awaitTermination()
+    stored = spark.read.parquet(f"{folder}/store")
+    return aggregate_energy(stored, ["sim_day", "grid_zone"], extra=[F.count(F.lit(1)).alias("rows")])
 
 
 def alert_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,16 +17,18 @@ RECORD_SCHEMA = T.StructType([
 ])
 FIELDS = RECORD_SCHEMA.fieldNames()
 NUMBERS = ["power_consumption_kwh", "solar_generation_kwh"]
+#: A reading's energy at most, where the caller has no limit of its own.
+MOST_KWH = 1e6
 READING_COLUMNS = [*FIELDS, "sim_day", "ingested_at"]
 
 
-def _usable(record: Column) -> Column:
-    """Every field present and of its type, energy finite and not negative."""
+def _usable(record: Column, most_kwh: float = MOST_KWH) -> Column:
+    """Every field present and of its type, energy not negative and within its limit."""
     good = record.isNotNull()
     for name in FIELDS:
         good = good & record[name].isNotNull()
     for name in NUMBERS:
-        good = good & (record[name] >= 0) & (record[name] < float("inf"))
+        good = good & (record[name] >= 0) & (record[name] <= most_kwh)
     return F.coalesce(good, F.lit(False))
 
 
@@ -46,14 +48,14 @@ def _parsed(records: DataFrame, wanted) -> DataFrame:
 
 
 def parse_readings(records: DataFrame, timezone: str, arrival: str | Column | None = None,
-                   utc: bool = True) -> DataFrame:
+                   utc: bool = True, most_kwh: float = MOST_KWH) -> DataFrame:
     """Typed readings from records with a ``value`` column (text or bytes of JSON).
 
     Works on static and streaming frames. Unusable records are left out; ``quarantine``
     names them. ``sim_day`` is the local date of the event. With ``utc`` the event time
     becomes NTZ in UTC, as tables hold it; a stream keeps TIMESTAMP for its watermark.
     """
-    good = _parsed(records, _usable)
+    good = _parsed(records, lambda record: _usable(record, most_kwh))
     stamp = times.instant_to_utc("_p.r.timestamp")
     if arrival is None:
         arrived = times.instant_to_utc(F.current_timestamp())
@@ -67,13 +69,13 @@ def parse_readings(records: DataFrame, timezone: str, arrival: str | Column | No
     )
 
 
-def quarantine(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def quarantine(records: DataFrame, keep: list[str] | None = None, most_kwh: float = MOST_KWH) -> DataFrame:
     """Records ``parse_readings`` leaves out, with the first reason that applies.
 
     Refused records are parsed once more as plain text, which tells a missing field from
     one of the wrong type; good records are parsed once only.
     """
-    refused = _parsed(records, lambda record: ~_usable(record))
+    refused = _parsed(records, lambda record: ~_usable(record, most_kwh))
     as_text = T.StructType([T.StructField(name, T.StringType()) for name in FIELDS]
                            + [T.StructField("_broken", T.StringType())])
     text = F.col("_p.text")
@@ -89,6 +91,7 @@ def quarantine(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
         reason = reason.when(value.isNull() | (value == float("inf")) | F.isnan(value),
                              F.lit(f"{name} is not a number"))
         reason = reason.when(value < 0, F.lit(f"{name} is negative"))
+        reason = reason.when(value > most_kwh, F.lit(f"{name} is above its limit"))
     reason = reason.otherwise("timestamp is not ISO-8601")
     return raw.select(*(keep or []), text.alias("value"), reason.alias("reason"))
 

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Column order of the report.
 COLUMNS = [
-    "household_id", "grid_zone", "total_consumption_kwh", "total_solar_kwh", "net_kwh",
-    "tariff_rate", "billing_tier", "subsidy_flag", "gross_amount", "subsidy_amount", "net_amount",
+    "sim_day", "household_id", "grid_zone",
+    "total_consumption_kwh", "total_solar_kwh", "net_kwh",
+    "billing_tier", "tariff_rate", "subsidy_flag",
+    "gross_amount", "subsidy_amount", "net_amount",
 ]
+#: The folder that a report's rows of a day lie in.
+FOLDER = "report_day"
 
 
 def write_report(bills: DataFrame, path: str) -> None:
@@ -17,17 +21,17 @@ def write_report(bills: DataFrame, path: str) -> None:
     Rebalancing by day gives one file for a day of ordinary size and splits one that is
     too large for a single writer; within a file rows are ordered by household.
     """
-    rows = bills.select("sim_day", *COLUMNS).hint("rebalance", "sim_day")
+    rows = bills.select(*COLUMNS).hint("rebalance", "sim_day").withColumn(FOLDER, F.col("sim_day"))
     (rows.sortWithinPartitions("sim_day", "household_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("sim_day").option("header", True).csv(path))
+     .partitionBy(FOLDER).option("header", True).csv(path))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     kinds = {"subsidy_flag": "boolean", "household_id": "string", "grid_zone": "string",
-             "billing_tier": "string"}
+             "billing_tier": "string", "sim_day": "date"}
     schema = ", ".join(f"{c} {kinds.get(c, 'decimal(18,4)')}" for c in COLUMNS)
-    return spark.read.schema(schema + ", sim_day date").option("header", True).csv(path)
+    return spark.read.schema(f"{schema}, {FOLDER} date").option("header", True).csv(path).drop(FOLDER)
 
 
 def check_report(report: DataFrame, bills: DataFrame) -> DataFrame:

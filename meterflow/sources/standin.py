@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterflow.functions import times
-from meterflow.functions.amounts import energy_units, units_to_kwh
-from meterflow.operators import joins, ledger
+from meterflow.functions.amounts import sum_kwh
+from meterflow.operators import ledger
 from meterflow.operators.sampling import rate_table
 from meterflow.settings import AlertThresholds, TIMEZONE
 from meterflow.sources import records
@@ -36,9 +36,10 @@ def customer_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("user_id"), F.col("r_name").alias("grid_zone"))
 
 
-def _zoned(spark: SparkSession, sf_dir: str, facts: DataFrame, even: bool = False) -> DataFrame:
-    size = joins.planned_bytes(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
-    return joins.attach_dimension(facts, customer_zones(spark, sf_dir), "user_id", size, even=even)
+def _zoned(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
+    """Facts with their customer's zone: one pass over the facts. Whether the dimension is
+    broadcast, and how a customer with very many facts is split, is adaptive execution's."""
+    return facts.join(customer_zones(spark, sf_dir), "user_id")
 
 
 def readings(spark: SparkSession, sf_dir: str, timezone: str = TIMEZONE,
@@ -105,10 +106,9 @@ def tariff(spark: SparkSession, sf_dir: str, timezone: str = TIMEZONE,
     if priced_segments_only:
         who = who.where("segment <> 'MACHINERY'")
     events = table(spark, sf_dir, "events")
-    bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
-    first = bounds.select(times.local_day("first", timezone)).scalar()
-    last = bounds.select(times.local_day("last", timezone)).scalar()
-    return rate_table(who, first, last).hint("merge")
+    bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).select(F.struct(
+        times.local_day("first", timezone).alias("first"), times.local_day("last", timezone).alias("last"))).scalar()
+    return rate_table(who, bounds["first"], bounds["last"]).hint("merge")
 
 
 def zone_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,18 +158,15 @@ def lineitem_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     line = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("orderkey"), "l_quantity", "l_discount", "l_shipdate")
-    used = energy_units("l_quantity")
-    solar = energy_units(F.col("l_quantity") * F.col("l_discount"))
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"),
                                                    F.col("o_custkey").alias("user_id"))
-    ordered = joins.attach_dimension(line, orders, "orderkey", joins.planned_bytes(orders))
+    ordered = line.join(orders, "orderkey")
     per_customer = ordered.groupBy(F.to_date("l_shipdate").alias("sim_day"), "user_id").agg(
-        F.sum(used).alias("used"), F.sum(solar).alias("solar"))
-    rows = _zoned(spark, sf_dir, per_customer, even=True)
+        sum_kwh("l_quantity").alias("used"), sum_kwh(F.col("l_quantity") * F.col("l_discount")).alias("solar"))
+    rows = _zoned(spark, sf_dir, per_customer)
     return rows.select(
         "sim_day", F.concat(F.lit("H-"), F.col("user_id")).alias("household_id"), "grid_zone",
-        units_to_kwh(F.col("used")).alias("total_consumption_kwh"),
-        units_to_kwh(F.col("solar")).alias("total_solar_kwh"),
+        F.col("used").alias("total_consumption_kwh"), F.col("solar").alias("total_solar_kwh"),
         F.lit(1).cast("bigint").alias("active_meters"),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterflow.operators.dedupe import dedupe_readings
@@ -14,30 +16,19 @@ DATA_COLUMNS = {
 
 
 def append_readings(readings: DataFrame, path: str) -> None:
-    """Adds a batch of readings, few files per partition value.
-
-    The rebalance hint lets adaptive execution merge small partitions and split a day and
-    zone that holds a large share of the rows.
-    """
-    (readings.hint("rebalance", *PARTITIONS).write.mode("append")
-     .partitionBy(*PARTITIONS).parquet(path))
+    """Adds readings as a batch of their own, never replaced."""
+    write_batch(readings, path, f"append-{uuid.uuid4().hex}")
 
 
-def write_batch(readings: DataFrame, path: str, batch: str, files_per_partition: int = 4) -> None:
-    """Writes a micro-batch so that writing it again changes nothing.
+def write_batch(readings: DataFrame, path: str, batch: str) -> None:
+    """Writes a batch so that writing it again changes nothing.
 
-    Below day and zone lies one folder per batch, and only the folders of this batch are
-    overwritten. With adaptive execution the batch is rebalanced by its measured sizes.
-    Without it (an older release, or a stateful query) rows of a zone are spread over
-    ``files_per_partition`` tasks, so a zone with most of the batch has several writers.
+    Every store has this one layout: below day and zone lies a folder per batch, and only
+    the folders of this batch are overwritten. The rebalance hint lets adaptive execution
+    merge small partitions and split a day and zone with a large share of the rows.
     """
-    marked = readings.withColumn("batch", F.lit(batch))
-    if readings.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        spread = marked.hint("rebalance", *PARTITIONS)
-    else:
-        salt = F.pmod(F.xxhash64("meter_id", "timestamp"), F.lit(files_per_partition))
-        spread = marked.withColumn("_salt", salt).repartition(*PARTITIONS, "_salt").drop("_salt")
-    (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    marked = readings.withColumn("batch", F.lit(batch)).hint("rebalance", *PARTITIONS)
+    (marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITIONS, "batch").parquet(path))
 
 
@@ -53,15 +44,15 @@ def read_readings(spark: SparkSession, path: str, sim_day=None, dedupe: bool = T
 
 
 def stored_days(spark: SparkSession, path: str) -> DataFrame:
-    """Days in the store, newest first; only partition values are needed, no data column."""
-    days = spark.read.parquet(path).select(F.col("sim_day").cast("date").alias("sim_day"))
+    """Days in the store, newest first, from the names of its folders: no file is opened."""
+    days = list_files(spark, path, "*.parquet").select(partition_value(F.col("path"), "sim_day").cast("date").alias("sim_day"))
     return days.distinct().orderBy(F.col("sim_day").desc())
 
 
 def newest_event(spark: SparkSession, path: str) -> Column:
     """Newest event time as a scalar: it lies in the newest day, so one folder is read."""
     stored = read_readings(spark, path, dedupe=False)
-    newest_day = stored.agg(F.max("sim_day")).scalar()
+    newest_day = stored_days(spark, path).agg(F.max("sim_day")).scalar()
     return stored.where(F.col("sim_day") == newest_day).agg(F.max("timestamp")).scalar()
 
 
@@ -73,12 +64,10 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 
 def compact_days(spark: SparkSession, path: str, target: str, days: list) -> None:
-    """Rewrites days without batch folders into another store, few files per partition."""
+    """Rewrites days as one batch into another store, few files per partition."""
     stored = read_readings(spark, path, dedupe=False)
     chosen = stored.where(F.col("sim_day").isin(*[F.lit(d).cast("date") for d in days]))
-    kept = dedupe_readings(chosen.drop("batch"))
-    (kept.hint("rebalance", *PARTITIONS).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(target))
+    write_batch(dedupe_readings(chosen.drop("batch")), target, "compacted")
 
 
 def partition_value(file_path: Column, column: str) -> Column:

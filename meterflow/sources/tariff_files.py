@@ -54,9 +54,11 @@ def typed(rows: DataFrame) -> DataFrame:
 
 
 def _checked(rows: DataFrame, what: str) -> DataFrame:
-    bad = faults(rows).select("household_id", "fault").limit(3).collect()
+    bad = faults(rows).groupBy("fault").agg(
+        F.count(F.lit(1)).alias("n"), F.min("household_id").alias("first")).orderBy("fault").collect()
     if bad:
-        raise ValueError(f"rate rows are faulty, e.g. {[tuple(r) for r in bad]}")
+        raise ValueError("rate rows are faulty (faults() lists them): "
+                         + "; ".join(f"{r.fault}: {r.first} and {r.n - 1} more" for r in bad))
     if rows.isEmpty():
         raise ValueError(f"{what} is missing or holds a header but no rows")
     return typed(rows)

@@ -1,15 +1,19 @@
 """Structured Streaming jobs: raw store, zone metrics, alerts.
 
-Every sink writes a micro-batch under the query's name and batch id and overwrites only
-that, so a batch that runs twice leaves one copy. Nothing is kept in driver memory: what
-a job has already written is read back from its own tables.
+Every sink writes a micro-batch under the query's name, its checkpoint's identity and the
+batch id and overwrites only that. So a batch that runs twice leaves one copy, and a query
+that begins anew with another checkpoint counts its batches from 0 without touching what
+the one before it wrote. Nothing is kept in driver memory: what a job has already written
+is read back from its own tables.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from meterflow.functions import amounts, times
 from meterflow.operators import alerts as rules
@@ -22,17 +26,32 @@ from meterflow.sources.streams import trigger
 METRIC_KEY = ["window_start", "grid_zone"]
 
 
+# -- identity ----------------------------------------------------------------
+
+class Life:
+    """What a checkpoint is called: when it was made, then its id. Names sort by age."""
+
+    def __init__(self, checkpoint: str):
+        self.checkpoint, self.name = checkpoint, None
+
+    def __call__(self, spark: SparkSession) -> str:
+        if self.name is None:
+            found = spark.read.format("binaryFile").load(f"{self.checkpoint.rstrip('/')}/metadata")
+            made, told = found.select(F.unix_millis("modificationTime"), F.col("content").cast("string")).first()
+            self.name = f"{made:015d}-{json.loads(told)['id']}"
+        return self.name
+
+
 # -- raw store ---------------------------------------------------------------
 
 def start_raw_store(source: DataFrame, path: str, checkpoint: str, name: str,
                     settings: StreamSettings = StreamSettings(), once: bool = False,
-                    seconds: int = RAW_TRIGGER_SECONDS, arrival: str | None = None,
-                    files_per_partition: int = 4) -> StreamingQuery:
+                    seconds: int = RAW_TRIGGER_SECONDS, arrival: str | None = None) -> StreamingQuery:
     """Stream of raw records to the partitioned store, append mode."""
-    parsed = records.parse_readings(source, settings.timezone, arrival)
+    parsed, life = records.parse_readings(source, settings.timezone, arrival), Life(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(batch, path, f"{name}-{batch_id}", files_per_partition)
+        store.write_batch(batch, path, f"{name}-{life(batch.sparkSession)}-{batch_id}")
 
     return (parsed.writeStream.queryName(name).outputMode("append").foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(**trigger(once, seconds)).start())
@@ -67,11 +86,11 @@ def zone_window_stream(readings: DataFrame, settings: StreamSettings = StreamSet
         totals = energy.aggregate_energy(rows, [_window(settings).alias("w"), "grid_zone"], "approx")
     else:
         per_meter = rows.groupBy(_window(settings).alias("w"), "grid_zone", "meter_id").agg(
-            F.sum(amounts.energy_units("power_consumption_kwh")).alias("used"),
-            F.sum(amounts.energy_units("solar_generation_kwh")).alias("solar"))
+            amounts.sum_fine("power_consumption_kwh").alias("used"),
+            amounts.sum_fine("solar_generation_kwh").alias("solar"))
         totals = per_meter.groupBy("w", "grid_zone").agg(
-            amounts.units_to_kwh(F.sum("used")).alias("total_consumption_kwh"),
-            amounts.units_to_kwh(F.sum("solar")).alias("total_solar_kwh"),
+            amounts.fine_to_kwh(F.sum("used")).alias("total_consumption_kwh"),
+            amounts.fine_to_kwh(F.sum("solar")).alias("total_solar_kwh"),
             F.count(F.lit(1)).alias("active_meters"))
     return energy.with_renewable_pct(totals).select(
         times.instant_to_utc("w.start").alias("window_start"),
@@ -88,8 +107,8 @@ def meter_window_stream(readings: DataFrame, settings: StreamSettings = StreamSe
     """
     rows = watermarked(readings, settings, dedupe)
     per_meter = rows.groupBy(_window(settings).alias("w"), "grid_zone", "meter_id").agg(
-        F.sum(amounts.energy_units("power_consumption_kwh")).alias("used_units"),
-        F.sum(amounts.energy_units("solar_generation_kwh")).alias("solar_units"))
+        amounts.sum_fine("power_consumption_kwh").alias("used_units"),
+        amounts.sum_fine("solar_generation_kwh").alias("solar_units"))
     return per_meter.select(
         times.instant_to_utc("w.start").alias("window_start"),
         times.instant_to_utc("w.end").alias("window_end"),
@@ -99,24 +118,26 @@ def meter_window_stream(readings: DataFrame, settings: StreamSettings = StreamSe
 
 # -- keyed result tables -----------------------------------------------------
 
-def write_version(batch: DataFrame, path: str, name: str, batch_id: int) -> None:
-    """Adds a batch to a versioned table; the same batch again replaces itself."""
-    batch.write.mode("overwrite").parquet(f"{path}/query={name}/batch_id={batch_id}")
+def write_version(batch: DataFrame, path: str, name: str, life: str, batch_id: int) -> None:
+    """Adds a batch with its write time to a versioned table; the same batch again replaces itself."""
+    stamp = times.instant_to_utc(F.current_timestamp()).alias("updated_at")
+    batch.select("*", stamp).write.mode("overwrite").parquet(f"{path}/query={name}/life={life}/batch_id={batch_id}")
 
 
-def read_versions(spark: SparkSession, path: str) -> DataFrame | None:
+def read_versions(spark: SparkSession, path: str, name: str = "*") -> DataFrame | None:
+    """All versions of a query's table; without a name, of the one query that writes there."""
     try:
-        return spark.read.option("basePath", path).parquet(f"{path}/query=*/batch_id=*")
+        return spark.read.option("basePath", path).parquet(f"{path}/query={name}/life=*/batch_id=*")
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
-def metrics_view(spark: SparkSession, path: str, key: list[str] | None = None) -> DataFrame:
-    """Newest version of each window of one query's table."""
-    versions = read_versions(spark, path)
-    return keyed.newest_version(versions, key or METRIC_KEY, "batch_id").drop("query", "batch_id")
+def metrics_view(spark: SparkSession, path: str, key: list[str] | None = None, name: str = "*") -> DataFrame:
+    """Newest version of each window of one query's table: the youngest checkpoint's last batch."""
+    versions = read_versions(spark, path, name).withColumn("_version", F.struct("life", "batch_id"))
+    return keyed.newest_version(versions, key or METRIC_KEY, "_version").drop("query", "life", "batch_id", "_version")
 
 
 def publish_metrics(spark: SparkSession, path: str, target: str, key: list[str] | None = None) -> None:
@@ -134,9 +155,9 @@ def zone_windows_view(spark: SparkSession, path: str) -> DataFrame:
     """Zone windows from the newest version of each meter's window."""
     latest = metrics_view(spark, path, ["window_start", "grid_zone", "meter_id"])
     totals = latest.groupBy("window_start", "window_end", "grid_zone").agg(
-        amounts.units_to_kwh(F.sum("used_units")).alias("total_consumption_kwh"),
-        amounts.units_to_kwh(F.sum("solar_units")).alias("total_solar_kwh"),
-        F.count(F.lit(1)).alias("active_meters"))
+        amounts.fine_to_kwh(F.sum("used_units")).alias("total_consumption_kwh"),
+        amounts.fine_to_kwh(F.sum("solar_units")).alias("total_solar_kwh"),
+        F.count(F.lit(1)).alias("active_meters"), F.max("updated_at").alias("updated_at"))
     return energy.with_renewable_pct(totals)
 
 
@@ -144,9 +165,10 @@ def start_metrics(windows: DataFrame, path: str, checkpoint: str, name: str, onc
                   mode: str = "update", seconds: int = METRICS_TRIGGER_SECONDS) -> StreamingQuery:
     """Windows into a versioned table; each batch also gets its write time."""
 
+    life = Life(checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamp = times.instant_to_utc(F.current_timestamp()).alias("updated_at")
-        write_version(batch.select("*", stamp), path, name, batch_id)
+        write_version(batch, path, name, life(batch.sparkSession), batch_id)
 
     return (windows.writeStream.queryName(name).outputMode(mode).foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(**trigger(once, seconds)).start())
@@ -211,8 +233,8 @@ def start_metrics_and_alerts(windows: DataFrame, metrics_path: str, alerts_path:
                              checkpoint: str, name: str, run_id: str,
                              settings: StreamSettings = StreamSettings(),
                              limits: AlertThresholds = AlertThresholds(), once: bool = False,
-                             mode: str = "append",
-                             seconds: int = METRICS_TRIGGER_SECONDS) -> StreamingQuery:
+                             mode: str = "append", seconds: int = METRICS_TRIGGER_SECONDS,
+                             horizon_windows: int | None = None) -> StreamingQuery:
     """Windows to the metrics table, then their alerts to the log.
 
     In append mode the rules see finished windows only. Update mode also sees windows that
@@ -220,11 +242,14 @@ def start_metrics_and_alerts(windows: DataFrame, metrics_path: str, alerts_path:
     raise. Metrics go first; both writes are safe to repeat.
     """
 
+    life = Life(checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_version(batch, metrics_path, name, batch_id)
-            write_alerts(batch, alerts_path, f"{name}-{batch_id}", run_id, settings, limits)
+            own = life(batch.sparkSession)
+            write_version(batch, metrics_path, name, own, batch_id)
+            write_alerts(batch, alerts_path, f"{name}-{own}-{batch_id}", run_id, settings, limits, horizon_windows)
         finally:
             batch.unpersist()
 
@@ -241,19 +266,45 @@ def batch_summary(windows: DataFrame) -> DataFrame:
                        F.max("window_start").alias("newest_window"))
 
 
-def rows_taken(query: StreamingQuery) -> int:
-    """Source rows over the retained progress reports."""
-    return sum(int(p.numInputRows) for p in query.recentProgress)
+PROGRESS = ("query_id string, batch_id bigint, input_rows bigint, input_rows_per_second double, "
+            "processed_rows_per_second double, duration_ms bigint, dropped_late bigint")
+
 
+class ProgressLog(StreamingQueryListener):
+    """Appends every progress report of the session's queries to a table.
+
+    A query itself keeps only its last reports. Lines wait for ``every`` of them, or for
+    the end of a query, and go out in one file, so little is held and no report is lost.
+    """
 
-def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The query's retained progress reports as rows, one per micro-batch."""
-    lines = [
-        (p.batchId, int(p.numInputRows), float(p.inputRowsPerSecond or 0.0),
-         float(p.processedRowsPerSecond or 0.0), int(p.batchDuration),
-         int(sum(s.numRowsDroppedByWatermark for s in p.stateOperators)))
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(
-        lines, "batch_id bigint, input_rows bigint, input_rows_per_second double, "
-               "processed_rows_per_second double, duration_ms bigint, dropped_late bigint")
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self.spark, self.path, self.every = spark, path, every
+        self.lines: list[tuple] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.lines.append((
+            str(p.id), p.batchId, int(p.numInputRows), float(p.inputRowsPerSecond or 0.0),
+            float(p.processedRowsPerSecond or 0.0), int(p.batchDuration),
+            int(sum(s.numRowsDroppedByWatermark for s in p.stateOperators))))
+        if len(self.lines) >= self.every:
+            self.flush()
+
+    def onQueryTerminated(self, event) -> None:
+        self.flush()
+
+    def flush(self) -> None:
+        lines, self.lines = self.lines, []
+        if lines:
+            self.spark.createDataFrame(lines, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def rows(self) -> DataFrame:
+        """All reports so far, one per micro-batch."""
+        self.flush()
+        return self.spark.read.schema(PROGRESS).parquet(self.path)

@@ -58,6 +58,9 @@ def test_a_run_without_rates_fails_and_writes_nothing(spark, sf_dir, folders, tm
     with pytest.raises(billing_run.RunRefused, match="without a rate: H-"):
         bill(spark, {**folders, "tariff": f"{tmp_path}/tariff", "bills": f"{tmp_path}/bills"}, "run-bad", date(2024, 1, 8))
     assert not (tmp_path / "bills").exists()
+    found = spark.read.parquet(f"{folders['ledger']}-findings/run_id=run-bad").where("level = 'refused'")
+    machinery = standin.households(spark, sf_dir).where("segment = 'MACHINERY'")
+    assert found.join(machinery, "household_id", "left_anti").count() == 0 and found.count() > 1
     runs = billing_run.read_ledger(spark, folders["ledger"])
     assert rows(runs.where("run_id = 'run-bad'").select("status", "rows_written")) == [("FAILED", 0)]
 
@@ -85,7 +88,9 @@ def test_command_line(spark, sf_dir, folders, tmp_path, capsys):
     text.select(records.to_records(text)).write.text(f"{tmp_path}/topic")
     for job, out in (("raw-store", "s"), ("metrics", "m")):
         cli.main([job, "--files", f"{tmp_path}/topic", "--out", f"{tmp_path}/{out}",
-                  "--checkpoint", f"{tmp_path}/c-{job}", "--once"])
+                  "--checkpoint", f"{tmp_path}/c-{job}", "--once", "--ledger", f"{tmp_path}/l", "--progress", f"{tmp_path}/p"])
+    runs = billing_run.read_ledger(spark, f"{tmp_path}/l")
+    assert rows(runs.select("component", "status"), "component") == [("raw_store", "SUCCESS"), ("speed_layer", "SUCCESS")]
     assert spark.read.parquet(f"{tmp_path}/s").count() == 1000
     assert spark.read.parquet(f"{tmp_path}/m/alerts").count() > 0
     with pytest.raises(SystemExit):

@@ -58,14 +58,16 @@ def test_day_and_column_pruning(spark, sf_dir):
     assert "ReadSchema: struct<user_id:bigint>" in p
 
 
-def test_large_dimensions_take_the_split_join(spark, sf_dir, monkeypatch):
-    """With nothing small enough to broadcast, heavy keys are split off and totals hold."""
-    from meterflow.operators import joins
-    from meterflow.sources import standin
-
-    small = standin.readings(spark, sf_dir)
-    monkeypatch.setattr(joins, "broadcast_limit", lambda df: -1)
-    monkeypatch.setattr(joins, "HEAVY_SHARE", 50)
-    split = standin.readings(spark, sf_dir)
-    assert split.exceptAll(small).count() == 0 and small.exceptAll(split).count() == 0
-    noop(split)
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_facts_are_scanned_once_whatever_is_broadcast(spark, sf_dir, limit):
+    """Beside them only the two ends of their days are looked up, in one more scan."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        for name, file, most in (("zone_windows_colombo", "events", 1), ("lineitem_bills", "lineitem", 2), ("daily_bills", "events", 2)):
+            df = catalogue()[name](spark, sf_dir)
+            df.collect()
+            found = plan(df).split("== Initial Plan ==")[0]
+            assert found.count(f"{file}.parquet") <= most + found.count("ReusedExchange"), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -56,6 +56,10 @@ def test_average_load_from_bounds(spark):
 def test_energy_units_are_exact(spark):
     df = spark.createDataFrame([(0.1,)] * 10 + [(1.23456,), (0.0,)], "kwh double")
     assert df.agg(amounts.sum_kwh("kwh")).first()[0] == Decimal("2.2346")
+    tiny = spark.range(10_000).select(F.lit(0.00004).alias("kwh"))
+    assert tiny.agg(amounts.sum_kwh("kwh")).first()[0] == Decimal("0.4000"), "rounded once, after the sum"
+    large = spark.createDataFrame([(1e6,)] * 5 + [(-0.0,)], "kwh double")
+    assert large.agg(amounts.sum_kwh("kwh")).first()[0] == Decimal("5000000.0000")
 
 
 def test_bands(spark):

@@ -44,16 +44,13 @@ def test_writing_a_batch_twice_changes_nothing(spark, tmp_path):
     assert rows(store.store_summary(spark, path).select("rows", "distinct_readings")) == [(6, 3)]
 
 
-def test_a_zone_is_spread_over_several_files(spark, tmp_path):
-    """Without adaptive execution, which would rebalance by size."""
-    df = readings(spark, [(i, "a", 1, 0, "2026-01-01T01:00") for i in range(50)])
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        store.write_batch(df, folder(tmp_path), "q-0", files_per_partition=4)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    files = store.list_files(spark, folder(tmp_path), "*.parquet").count()
-    assert 1 < files <= 4
+def test_appends_and_batches_share_a_store(spark, tmp_path):
+    path, df = folder(tmp_path), readings(spark, ROWS)
+    store.append_readings(df, path)
+    store.write_batch(df, path, "q-0")
+    store.append_readings(df, path)
+    assert spark.read.parquet(path).count() == 9 and store.read_readings(spark, path).count() == 3
+    assert [str(r.sim_day) for r in store.stored_days(spark, path).collect()] == ["2026-01-02", "2026-01-01"]
 
 
 def test_layout_names_stray_files(spark, tmp_path):
@@ -118,9 +115,9 @@ def test_report_of_a_day_is_replaced_alone(spark, tmp_path):
     def bills(day, *people):
         return spark.createDataFrame([(day, p) for p in people], "sim_day string, household_id string").select(
             F.col("sim_day").cast("date").alias("sim_day"), "household_id", F.lit("a").alias("grid_zone"),
-            *[F.lit(1.5).cast("decimal(18,2)").alias(c) for c in reports.COLUMNS[2:6]],
+            *[F.lit(1.5).cast("decimal(18,2)").alias(c) for c in (*reports.COLUMNS[3:6], "tariff_rate")],
             F.lit("domestic-1").alias("billing_tier"), F.lit(True).alias("subsidy_flag"),
-            *[F.lit(2).cast("decimal(18,2)").alias(c) for c in reports.COLUMNS[8:]])
+            *[F.lit(2).cast("decimal(18,2)").alias(c) for c in reports.COLUMNS[9:]])
 
     path = folder(tmp_path)
     reports.write_report(bills("2026-01-01", "H-2", "H-1").unionByName(bills("2026-01-02", "H-1")), path)
@@ -131,7 +128,7 @@ def test_report_of_a_day_is_replaced_alone(spark, tmp_path):
     both = bills("2026-01-01", "H-2", "H-1").unionByName(bills("2026-01-02", "H-3", "H-4"))
     assert rows(reports.check_report(report, both).select("sim_day", "ok"), "sim_day") == [
         (date(2026, 1, 1), True), (date(2026, 1, 2), False)]
-    text = spark.read.text(path + "/sim_day=2026-01-01").first().value
+    text = spark.read.text(path + "/report_day=2026-01-01").first().value
     assert text == ",".join(reports.COLUMNS)
 
 

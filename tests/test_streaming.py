@@ -51,9 +51,13 @@ def test_late_rows_count_until_the_watermark_passes_their_window(spark, tmp_path
     topic.send("12:01")
     topic.send("09:59", "11:25")
     windows = jobs.zone_window_stream(topic.readings(spark), UTC)
+    log = jobs.ProgressLog(spark, f"{tmp_path}/p", every=2)
+    spark.streams.addListener(log)
     q = run(jobs.start_metrics(windows, f"{tmp_path}/m", f"{tmp_path}/c", "late", once=True))
     assert used(jobs.metrics_view(spark, f"{tmp_path}/m")) == {11: 2.0, 12: 2.0}
-    progress = jobs.progress(spark, q)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    spark.streams.removeListener(log)
+    progress = log.rows().where(F.col("query_id") == q.id)
     assert progress.agg(F.sum("dropped_late")).first()[0] == 1
     assert progress.agg(F.sum("input_rows")).first()[0] == 5
 
@@ -85,7 +89,7 @@ def test_resume_takes_only_what_is_new(spark, tmp_path):
     once()
     topic.send("00:02", meter="M-2")
     second = once()
-    assert jobs.rows_taken(second) == 1
+    assert sum(p.numInputRows for p in second.recentProgress) == 1
     view = jobs.zone_windows_view(spark, f"{tmp_path}/m")
     assert rows(view.select("total_consumption_kwh", "active_meters")) == [(Decimal("2.0000"), 2)]
 
@@ -154,6 +158,56 @@ def test_raw_store_keeps_good_records(spark, tmp_path):
         ("2026-01-01", 1), ("2026-01-02", 1)]
 
 
+def test_a_new_checkpoint_loses_nothing_and_its_values_win(spark, tmp_path):
+    topic = Topic(tmp_path)
+    topic.send("00:10", "00:20", "00:30")
+
+    def once(life):
+        source = streams.file_records(spark, topic.path)
+        run(jobs.start_raw_store(source, f"{tmp_path}/s", f"{tmp_path}/raw-{life}", "raw", once=True))
+        windows = jobs.zone_window_stream(topic.readings(spark), UTC)
+        run(jobs.start_metrics(windows, f"{tmp_path}/m", f"{tmp_path}/c-{life}", "zones", once=True))
+
+    once(1)
+    os.remove(f"{topic.path}/000.txt")      # the source has expired what the first job took
+    topic.send("00:40", "00:50", used=2.0)
+    time.sleep(1.1)
+    once(2)
+    assert spark.read.parquet(f"{tmp_path}/s").count() == 5
+    assert used(jobs.metrics_view(spark, f"{tmp_path}/m")) == {0: 4.0}
+
+
+def test_a_reading_beyond_its_limit_stops_nothing(spark, tmp_path):
+    topic = Topic(tmp_path)
+    topic.send("00:10")
+    topic.send("00:20", used=1e300)
+    topic.send("00:30", used=10**30)
+    windows = jobs.zone_window_stream(topic.readings(spark), UTC)
+    run(jobs.start_metrics(windows, f"{tmp_path}/m", f"{tmp_path}/c", "far", once=True))
+    assert used(jobs.metrics_view(spark, f"{tmp_path}/m")) == {0: 1.0}
+    refused = records.quarantine(spark.read.text(topic.path))
+    assert {r.reason for r in refused.collect()} == {"power_consumption_kwh is above its limit"}
+
+
+def test_every_report_reads_the_live_metrics(spark, tmp_path):
+    from meterflow.operators.ledger import fold
+    from meterflow.plans import reports
+
+    topic = Topic(tmp_path)
+    topic.send("00:10", "01:10", "03:50")
+    windows = jobs.zone_window_stream(topic.readings(spark), UTC, meters="exact")
+    run(jobs.start_metrics_and_alerts(windows, f"{tmp_path}/m", f"{tmp_path}/a", f"{tmp_path}/c", "live", "r", UTC, once=True))
+    view = jobs.metrics_view(spark, f"{tmp_path}/m")
+    log, now = jobs.read_alerts(spark, f"{tmp_path}/a"), view.agg(F.max("updated_at")).scalar()
+    runs = fold(spark.createDataFrame([], "run_id string, component string, sim_day date, at timestamp_ntz, kind string, "
+                                          "status string, rows_written bigint, notes string"))
+    zones = spark.createDataFrame([("a", 1)], "grid_zone string, meters bigint")
+    assert reports.zones(view).count() == 1
+    assert reports.health(view, zones, now).first().status == "ok"
+    assert reports.metric_rows(view, log, runs, now, "billing_batch").where("name = 'zone_avg_load_kw'").count() == 1
+    assert reports.status_bands(view, log, now).count() == 3
+
+
 def test_periodic_trigger_runs_until_stopped(spark, tmp_path):
     topic = Topic(tmp_path)
     topic.send("00:10")
