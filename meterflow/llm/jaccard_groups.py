@@ -492,3 +492,27 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> Data
     stay = linked(docs, k, num, den).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+#: ``linked`` with 4 words and a similarity of 0.85, for DuckDB.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT r, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT r, count(*) AS n FROM s GROUP BY r
+), l AS (
+  SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS o FROM s x JOIN s y ON x.s = y.s AND x.r <> y.r GROUP BY x.r, y.r)
+  JOIN n m ON m.r = a JOIN n k ON k.r = b WHERE 100 * o >= 85 * (m.n + k.n - o)
+), reach AS (
+  SELECT r AS a, r AS b FROM d
+  UNION
+  SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a
+)
+SELECT x.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(y.doc_id) AS component_id
+FROM reach JOIN d x ON x.r = reach.a JOIN d y ON y.r = reach.b LEFT JOIN n ON n.r = reach.a GROUP BY reach.a, x.doc_id
+"""

@@ -121,3 +121,57 @@ def judged(docs: DataFrame) -> DataFrame:
         failed.alias("base_failed"), distance(F.col("classes"), F.col("ref_classes")).alias("js_classes"),
         distance(F.col("of_words"), F.col("ref_words")).alias("js_words"),
     ).withColumn("kept", ~F.col("base_failed") & ~((F.col("n_words") >= LEAST_WORDS) & F.coalesce(far, F.lit(False))))
+
+
+_SEEN = ", ".join(f"coalesce(count(*) FILTER (WHERE word = common[{i}]), 0)" for i in range(1, COMMON + 1))
+#: The same for DuckDB.
+ORACLE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), each AS (
+  SELECT r, lang, w, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d
+), ranked AS (
+  SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS rank
+  FROM each WHERE length(word) <= {COMMON_LETTERS} GROUP BY lang, word
+), common AS (
+  SELECT lang AS of, list(word ORDER BY rank) AS common FROM ranked WHERE rank <= {COMMON} GROUP BY lang
+), windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i:i + 7], ' ')) AS times FROM each WHERE i <= len(w) - 7
+), repeated AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM windows CROSS JOIN (SELECT unnest(range(8)) AS k) WHERE times > 1 GROUP BY r
+), seen AS (
+  SELECT r, [{_SEEN}] AS seen FROM each LEFT JOIN common ON lang IS NOT DISTINCT FROM of GROUP BY r
+), figures AS (
+  SELECT d.r, doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '{SYMBOLS}', '', 'g')) AS n_symbols,
+    len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+      - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, length(text) AS chars,
+    length(text) - length(regexp_replace(text, '\p{{Lu}}', '', 'g')) AS upper,
+    length(text) - length(regexp_replace(text, '[0-9]', '', 'g')) AS digit,
+    length(text) - length(regexp_replace(text, '[.,;:!?''"()-]', '', 'g')) AS mark,
+    coalesce(seen, [{", ".join(["0"] * COMMON)}]) AS seen
+  FROM d LEFT JOIN repeated USING (r) LEFT JOIN seen USING (r)
+), histograms AS (
+  SELECT *, [upper, digit, mark, n_symbols, word_chars - upper - digit - mark - n_symbols, chars - word_chars] AS p1,
+    list_append(seen, n_words - list_sum(seen)) AS p2 FROM figures
+), sums AS (
+  SELECT lang AS of, [{", ".join(f"sum(p1[{i}])" for i in range(1, 7))}] AS q1, [{", ".join(f"sum(p2[{i}])" for i in range(1, COMMON + 2))}] AS q2
+  FROM histograms GROUP BY lang
+), pairs AS (
+  SELECT r, unnest([0, 1]) AS kind, unnest([p1, p2]) AS p, unnest([q1, q2]) AS q FROM histograms JOIN sums ON lang IS NOT DISTINCT FROM of
+), shares AS (
+  SELECT r, kind, unnest(p)::DOUBLE / greatest(1, list_sum(p)) AS x, unnest(q)::DOUBLE / greatest(1, list_sum(q)) AS y FROM pairs
+), far AS (
+  SELECT r, bool_or(d > CASE kind WHEN 0 THEN {FAR_CLASSES} ELSE {FAR_WORDS} END) AS far FROM (
+    SELECT r, kind, sqrt(greatest(0, sum(CASE WHEN x > 0 THEN x * log2(2 * x / (x + y)) ELSE 0 END
+      + CASE WHEN y > 0 THEN y * log2(2 * y / (x + y)) ELSE 0 END) / 2)) AS d FROM shares GROUP BY r, kind) GROUP BY r
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT (n_words >= {LEAST_WORDS} AND far) AS kept
+FROM figures JOIN far USING (r)
+"""

@@ -74,4 +74,5 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle() -> dict[str, str]:
-    return {"op9_knn_kdtree": knn_kdtree.ORACLE}
+    return {"op5_quality_divergence": quality_divergence.ORACLE, "op7_jaccard_groups": jaccard_groups.ORACLE,
+            "op9_knn_kdtree": knn_kdtree.ORACLE}
