@@ -731,11 +731,11 @@ def merge_keyed(m):
 @query
 def upsert_bills(m):
     """A re-run of the odd days with the priced segments only replaces those days whole."""
-    first = m.bills().withColumn("run", F.lit(1))
+    usage = materialised(m.usage(), "usage")
+    first = billing.bills_from_usage(usage, m.tariff()).withColumn("run", F.lit(1))
     odd = F.dayofmonth("sim_day") % 2 == 1
-    usage = m.usage().where(odd)
     rates = m.tariff(priced_segments_only=True)
-    again = billing.bill(usage.join(rates, billing.BILL_KEY)).select(*billing.BILL_COLUMNS)
+    again = billing.bill(usage.where(odd).join(rates, billing.BILL_KEY)).select(*billing.BILL_COLUMNS)
     merged = keyed.replace_days(first, again.withColumn("run", F.lit(2)))
     return merged.select("sim_day", "household_id", "grid_zone", "net_amount",
                          F.col("run").cast("bigint").alias("run"))
