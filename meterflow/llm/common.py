@@ -65,6 +65,15 @@ def kept(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of steps whose tables are written.
+
+    It removes them when the JVM collects what refers to them, which it otherwise does
+    only when memory runs short.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts of an Arrow column and where each begins; null is empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import bytes_of, column, kept, pieces
+from meterflow.llm.common import bytes_of, column, kept, pieces, released
 from meterflow.llm.components import components
 
 #: Tokens that the order puts last at most, words taken for common ones, and the shingles
@@ -219,8 +219,8 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     at[at == len(often)] = 0
                     rank |= (often[at] == tokens).astype(np.uint64) << np.uint64(63)
                 size = n + (-num * n // den) + 1
-                head = tokens[np.argpartition(rank, size - 1)[:size]] if size < n else tokens
-                heads.append(head.tobytes())
+                first = np.argpartition(rank, size - 1)[:size] if size < n else np.arange(n)
+                heads.append(tokens[first[np.argsort(rank[first])]].tobytes())
                 ranges.append(np.bincount((tokens >> np.uint64(57)).astype(np.int64), minlength=RANGES).astype("<u4").tobytes())
             yield pa.record_batch(
                 [column(part, "doc_id"), pa.array(keys, type=pa.int64()), pa.array(sizes, type=pa.int64()),
@@ -230,23 +230,26 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key long, n long, prefix binary, ranges binary")
 
 
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Token and key of each prefix token, some millions at a time, sorted by token, key."""
-    tokens, keys, size = [], [], 0
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Token, key and room (tokens of the set from this one on in the order) of each prefix
+    token, some millions at a time, sorted by token, key."""
+    tokens, keys, rooms, size = [], [], [], 0
 
-    def told() -> tuple[np.ndarray, np.ndarray]:
-        t, k = np.concatenate(tokens), np.concatenate(keys)
+    def told() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        t, k, r = np.concatenate(tokens), np.concatenate(keys), np.concatenate(rooms)
         at = np.lexsort((k, t))
-        return t[at], k[at]
+        return t[at], k[at], r[at]
 
     for batch in batches:
         flat, offsets = bytes_of(column(batch, "prefix"))
         tokens.append(flat.view("<u8"))
-        keys.append(np.repeat(column(batch, "key").to_numpy(), np.diff(offsets) // 8))
+        many, begin = np.diff(offsets) // 8, offsets[:-1] // 8
+        keys.append(np.repeat(column(batch, "key").to_numpy(), many))
+        rooms.append(np.repeat(column(batch, "n").to_numpy() + begin, many) - np.arange(len(tokens[-1])))
         size += len(tokens[-1])
         if size > COUNTED:
             yield told()
-            tokens, keys, size = [], [], 0
+            tokens, keys, rooms, size = [], [], [], 0
     if size:
         yield told()
 
@@ -278,7 +281,7 @@ def stars(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
     schema = "bucket int, tokens binary, keys binary, key long, other long, c long"
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, keys in _heads(batches):
+        for tokens, keys, _ in _heads(batches):
             batch, begin, low, high = _starred(tokens, keys)
             n = batch.num_rows
             yield pa.record_batch([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), *batch.columns],
@@ -308,7 +311,7 @@ def stars(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
             pa.table([*batch.columns, one], names=["key", "other", "c", "token"]),
             pa.table([two, two, two, pa.array(shared)], names=["key", "other", "c", "token"])])
 
-    told = kept(heads.select("key", "prefix").mapInArrow(near, schema), "near")
+    told = heads.select("key", "n", "prefix").mapInArrow(near, schema)  # read twice rather than stored
     met = kept(told.where("bucket is not null").select("bucket", "tokens", "keys").groupBy("bucket").applyInArrow(
         far, "key long, other long, c long, token long"), "far")
     pairs = told.where("bucket is null").select("key", "other", "c").unionByName(met.where("token is null").drop("token"))
@@ -333,15 +336,15 @@ def passes(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def postings(heads: DataFrame, shared: DataFrame) -> DataFrame:
-    """token, key of the prefix tokens that several sets have."""
+    """token, key and room of the prefix tokens that several sets have."""
     bits = heads.sparkSession.sparkContext.broadcast(filter_of(shared))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, keys in _heads(batches):
+        for tokens, keys, rooms in _heads(batches):
             may = passes(bits.value, tokens)
-            yield pa.record_batch([pa.array(tokens[may].view(np.int64)), pa.array(keys[may])], names=["token", "key"])
+            yield pa.record_batch([pa.array(tokens[may].view(np.int64)), pa.array(keys[may]), pa.array(rooms[may])], names=["token", "key", "room"])
 
-    return heads.select("key", "prefix").mapInArrow(run, "token long, key long").join(shared, "token").distinct()
+    return heads.select("key", "n", "prefix").mapInArrow(run, "token long, key long, room long").join(shared, "token").distinct()
 
 
 def full_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
@@ -414,6 +417,7 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     pairs = near.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
     first = _linked_pairs(docs, k, pairs, sketches, num, den, "first-links")
     label = kept(components(first, "a", "b"), "groups")
+    released(docs.sparkSession)
 
     # 2. parts of groups, their unions, queries to other groups' parts
     found = kept(postings(heads, shared), "postings")
@@ -427,30 +431,41 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     index = kept(found.join(member, "key"), "index")
     across = index.groupBy("token").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("token")
     index = kept(index.join(across, "token"), "across")
-    of_part = index.groupBy("token", "grp", "size", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    of_part = index.groupBy("token", "grp", "size", "part").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("room").alias("room"))
+    # the first token that two linked sets share leaves both room for the overlap they need
+    need = num * (F.col("q.n") * den + F.greatest(F.col("s.least") * den, F.col("q.n") * num))
     asks = index.alias("q").join(of_part.alias("s"), "token").where(
         (F.struct("q.size", "q.grp") < F.struct("s.size", "s.grp"))
-        & (F.col("q.n") * den >= F.col("s.least") * num) & (F.col("s.most") * den >= F.col("q.n") * num))
+        & (F.col("q.n") * den >= F.col("s.least") * num) & (F.col("s.most") * den >= F.col("q.n") * num)
+        & (F.least("q.room", "s.room") * (den * (num + den)) >= need))
     asks = kept(asks.select(F.col("q.key").alias("a"), F.col("s.grp").alias("grp"), F.col("s.part").alias("part")).distinct(), "asks")
 
+    # a part with one member is that member: its bound is the comparison itself
+    released(docs.sparkSession)
     asked = member.join(asks.select("grp", "part").distinct(), ["grp", "part"])
-    bound = lambda n, _, o: den * o >= num * n
+    bound = lambda n, m, o: den * o >= num * (n if m < 0 else n + m - o)
     query = sketches.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col("ranges").alias("left_ranges"))
     ranges = asked.select("key", "grp", "part").join(sketches, "key").groupBy("grp", "part").agg(
-        F.collect_list("ranges").alias("many"), F.lit(0).cast("long").alias("right_n")).mapInArrow(
+        F.collect_list("ranges").alias("many"), F.when(F.count("*") == 1, F.max("n")).otherwise(F.lit(-1)).cast("long").alias("right_n")).mapInArrow(
             _unions(lambda many: np.sum([np.frombuffer(x, dtype="<u4") for x in many], axis=0).astype("<u4").tobytes(), "ranges"),
             "grp long, part long, right_n long, right_ranges binary")
     likely = kept(_checked(asks.join(query, "a").join(ranges, ["grp", "part"]), bound, ["a", "grp", "part"], "ranges"), "likely")
+    inside = kept(asked.select("key", "grp", "part").join(likely.select("grp", "part").distinct(), ["grp", "part"]), "inside")
+    released(docs.sparkSession)
 
-    inside = asked.select("key", "grp", "part").join(likely.select("grp", "part").distinct(), ["grp", "part"])
     sets = kept(full_sets(docs, k, likely.select("a").unionByName(inside.select(F.col("key").alias("a"))).distinct()), "asked-sets")
+    parts = inside.groupBy("grp", "part").agg(F.count("*").alias("members"), F.min("key").alias("b"))
+    told = likely.join(parts, ["grp", "part"])
     query = sets.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col("tokens").alias("left_tokens"))
-    unions = inside.join(sets.select("key", "tokens"), "key").groupBy("grp", "part").agg(
-        F.collect_list("tokens").alias("many"), F.lit(0).cast("long").alias("right_n")).mapInArrow(
+    several = inside.join(parts.where("members > 1").select("grp", "part"), ["grp", "part"])
+    unions = several.join(sets.select("key", "tokens"), "key").groupBy("grp", "part").agg(
+        F.collect_list("tokens").alias("many"), F.lit(-1).cast("long").alias("right_n")).mapInArrow(
             _unions(lambda many: short(np.unique(np.concatenate([long(x) for x in many])) << np.uint64(16)), "tokens"),
             "grp long, part long, right_n long, right_tokens binary")
-    opened = kept(_checked(likely.join(query, "a").join(unions, ["grp", "part"]), bound, ["a", "grp", "part"]), "opened")
-    compared = opened.join(inside.select(F.col("key").alias("b"), "grp", "part"), ["grp", "part"]).select("a", "b")
+    opened = _checked(told.where("members > 1").select("a", "grp", "part").join(query, "a").join(unions, ["grp", "part"]), bound, ["a", "grp", "part"])
+    compared = opened.join(several.select(F.col("key").alias("b"), "grp", "part"), ["grp", "part"]).select("a", "b")
+    compared = kept(compared.unionByName(told.where("members = 1").select("a", "b")), "compared")
     enough = lambda n, m, o: den * o >= num * (n + m - o)
     more = kept(_checked(_paired(compared, sets, "tokens"), enough, ["a", "b"]), "more-links")
     return rows.select("doc_id", "key", "n"), first.unionByName(more)
