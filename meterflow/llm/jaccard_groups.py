@@ -37,7 +37,7 @@ from meterflow.llm.components import components
 
 #: Tokens that the order puts last at most, words taken for common ones, and the shingles
 #: that a task counts at once. They shape the order and so the work, never the result.
-FREQUENT, COMMON, COUNTED = 200_000, 8192, 1 << 22
+FREQUENT, COMMON, COUNTED = 200_000, 8192, 1 << 21
 #: Ranges of hash by which a set's tokens are counted, prefix tokens of a bucket.
 RANGES, BUCKET = 128, 1 << 20
 #: Members of a part of a group, on average.
@@ -439,7 +439,20 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
         (F.struct("q.size", "q.grp") < F.struct("s.size", "s.grp"))
         & (F.col("q.n") * den >= F.col("s.least") * num) & (F.col("s.most") * den >= F.col("q.n") * num)
         & (F.least("q.room", "s.room") * (den * (num + den)) >= need))
-    asks = kept(asks.select(F.col("q.key").alias("a"), F.col("s.grp").alias("grp"), F.col("s.part").alias("part")).distinct(), "asks")
+    asks = kept(asks.select(
+        F.col("q.key").alias("a"), F.col("q.grp").alias("own"), F.col("s.grp").alias("grp"), F.col("s.part").alias("part")).distinct(), "asks")
+
+    # two groups need one link only: one pair of members of each two is compared first, and
+    # what the groups that it joins ask of each other falls away
+    released(docs.sparkSession)
+    members = member.groupBy("grp", "part").agg(F.max("key").alias("b"))
+    tries = asks.groupBy("own", "grp").agg(F.min(F.struct("a", "part")).alias("t")).select("grp", "t.*")
+    joined = _linked_pairs(docs, k, tries.join(members, ["grp", "part"]).select("a", "b"), sketches, num, den, "joining-links")
+    first = kept(first.unionByName(joined), "all-first-links")
+    label = kept(components(first, "a", "b"), "joined-groups")
+    named = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    asks = asks.join(named("own"), "own", "left").join(named("grp"), "grp", "left")
+    asks = kept(asks.where(F.coalesce("own_label", "own") != F.coalesce("grp_label", "grp")).select("a", "grp", "part"), "open-asks")
 
     # a part with one member is that member: its bound is the comparison itself
     released(docs.sparkSession)
