@@ -11,6 +11,12 @@ from its queue's token offset alone, and placing documents takes no shuffle of t
 tokens are written once, offsets come from sums per (part, queue), and each document's
 pieces are worked out where its tokens are.
 
+Sources beyond QUEUES share one queue of the rounds, in which a balanced tree of them deals
+out the places: a node's tokens are shared by its two halves in proportion to their totals,
+so a source's places follow from the totals beside its path, which are joined to it. With
+weights, shared sources serve a token a turn while they last, and the queue's quantum is as
+many tokens as sources are left.
+
 Defined results: null texts hold the end token only; null is a source of its own; repeated
 rows are packed each for itself; an empty table gives no sequences. Extra columns are
 ignored.
@@ -32,7 +38,7 @@ from pyspark.sql import functions as F
 from meterflow.llm.common import bytes_of, column, kept, pieces
 
 LENGTH, END = 2048, 1
-#: Sources with most rows that get a queue of their own; all others share one more.
+#: Sources with most rows whose totals the driver holds; all others are dealt inside one queue more.
 QUEUES = 255
 #: Rows of (part, queue) offsets, about 40 bytes each, up to which they are broadcast.
 BROADCAST_ROWS = 500_000
@@ -129,10 +135,18 @@ class Words:
 _LOADED: dict[str, Words] = {}
 
 
-def tokens(docs: DataFrame, path: str, queues: int = QUEUES) -> DataFrame:
-    """part, queue, at (offset among the part's tokens of the queue), doc_id, n, ids."""
-    largest = docs.groupBy("source").count().orderBy(F.desc("count"), "source").limit(queues).collect()
-    queue_of = {r.source: k for k, r in enumerate(largest)}
+def own_queues(docs: DataFrame, queues: int = QUEUES, weights: dict[str, float] | None = None) -> tuple[list[str | None], bool]:
+    """Sources with a queue of their own, those with a weight first, and whether there are others."""
+    named = F.coalesce(F.col("source").isin([s for s in weights or {} if s is not None]), F.lit(None in (weights or {})))
+    most = max(queues, len(weights or {}))
+    first = docs.groupBy("source").count().orderBy(named.desc(), F.desc("count"), "source").limit(most + 1).collect()
+    return [r.source for r in first[:most]], len(first) > most
+
+
+def tokens(docs: DataFrame, path: str, own: list[str | None]) -> DataFrame:
+    """part, queue, source (where it shares the last queue), at (offset among the part's
+    tokens of the queue and source), doc_id, n, ids."""
+    queue_of = {s: k for k, s in enumerate(own)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _LOADED:
@@ -143,18 +157,20 @@ def tokens(docs: DataFrame, path: str, queues: int = QUEUES) -> DataFrame:
         for batch in pieces(batches, "text"):
             ids = words.encode(loosened(*bytes_of(column(batch, "text"))))
             ids = [i + end for i in ids]
-            queue = [queue_of.get(s, len(queue_of)) for s in column(batch, "source").to_pylist()]
+            sources = column(batch, "source").to_pylist()
+            queue = [queue_of.get(s, len(queue_of)) for s in sources]
             n, at = [len(i) // words.kind.itemsize for i in ids], []
-            for q, k in zip(queue, n, strict=True):
-                at.append(served.get(q, 0))
-                served[q] = at[-1] + k
+            for s, k in zip(sources, n, strict=True):
+                at.append(served.get(s, 0))
+                served[s] = at[-1] + k
+            shared = [None if q < len(queue_of) else s for q, s in zip(queue, sources, strict=True)]
             yield pa.record_batch(
-                [pa.array([part] * len(n), type=pa.int32()), pa.array(queue, type=pa.int32()), pa.array(at, type=pa.int64()),
-                 column(batch, "doc_id"), pa.array(n, type=pa.int32()), pa.array(ids, type=pa.binary())],
-                names=["part", "queue", "at", "doc_id", "n", "ids"])
+                [pa.array([part] * len(n), type=pa.int32()), pa.array(queue, type=pa.int32()),
+                 pa.array(shared, type=pa.string()), pa.array(at, type=pa.int64()), column(batch, "doc_id"), pa.array(n, type=pa.int32()), pa.array(ids, type=pa.binary())],
+                names=["part", "queue", "source", "at", "doc_id", "n", "ids"])
 
     return docs.select("doc_id", "source", "text").mapInArrow(
-        run, "part int, queue int, at long, doc_id long, n int, ids binary")
+        run, "part int, queue int, source string, at long, doc_id long, n int, ids binary")
 
 
 def _scaled(x: np.ndarray, times: np.ndarray | int, by: np.ndarray | int, add: np.ndarray | int = 0) -> np.ndarray:
@@ -171,6 +187,8 @@ class Rounds:
     """Where each queue's tokens go. One phase for natural proportions; with given weights
     a new phase begins, with the deficits carried on, when a queue has run empty."""
 
+    shared = -1
+
     def __init__(self, totals: list[int], weights: list[float] | None = None):
         left = np.array(totals, dtype=np.int64)
         self.phases = []
@@ -202,7 +220,7 @@ class Rounds:
             q, a, b = queue[on], low[on] - done[queue[on]], high[on] - done[queue[on]]
             begin = self._round(a, q, carry, quantum, unit)
             last = self._round(b - 1, q, carry, quantum, unit)
-            slow = quantum[q] < unit  # less than a token a round: each token by itself
+            slow = (quantum[q] < unit) & (q != self.shared)  # less than a token a round: each token by itself
             count = np.where(slow, b - a, last - begin + 1)
             of = np.repeat(np.arange(len(on)), count)
             step = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
@@ -224,59 +242,194 @@ class Rounds:
         high = np.minimum(place[k] + length[k], (place[k] // LENGTH + nth + 1) * LENGTH)
         return which[k], at[k] + low - place[k], high - low, low
 
-    @staticmethod
-    def _round(token, q, carry, quantum, unit):
+    def _round(self, token, q, carry, quantum, unit):
         return np.maximum(0, -_scaled(-(token + 1), unit, quantum[q], carry[q]) - 1) if len(token) else token
 
-    @staticmethod
-    def _served(r, q, left, carry, quantum, unit):
+    def _served(self, r, q, left, carry, quantum, unit):
         return np.minimum(left[q], _scaled(r, quantum[q], unit, carry[q]))
 
-    @staticmethod
-    def _offset(r, q, left, carry, quantum, unit):
+    def _all_served(self, rounds, left, carry, quantum, unit):
+        return np.minimum(left, _scaled(rounds, quantum[None], unit, carry[None]))
+
+    def _offset(self, r, q, left, carry, quantum, unit):
         """Tokens of all queues before round r, and of the queues before q in it."""
         rounds, back = np.unique(r, return_inverse=True)
         out = np.zeros(len(r), dtype=np.int64)
-        for low in range(0, len(rounds), 4096):
-            these = rounds[low:low + 4096, None]
-            now = np.minimum(left, _scaled(these, quantum[None], unit, carry[None]))
-            then = np.minimum(left, _scaled(these + 1, quantum[None], unit, carry[None]))
+        many = max(1, (1 << 20) // len(left))
+        for low in range(0, len(rounds), many):
+            these = rounds[low:low + many, None]
+            now = self._all_served(these, left, carry, quantum, unit)
+            then = self._all_served(these + 1, left, carry, quantum, unit)
             ahead = now.sum(axis=1)[:, None] + np.cumsum(then - now, axis=1) - (then - now)
-            at = np.flatnonzero((back >= low) & (back < low + 4096))
+            at = np.flatnonzero((back >= low) & (back < low + many))
             out[at] = ahead[back[at] - low, q[at]]
         return out
 
 
+class Turns:
+    """Tokens that sources have served after so many turns of one token for each that is left."""
+
+    def __init__(self, sizes: list[int], counts: list[int]):
+        order = np.argsort(sizes)
+        self.ends, counts = np.array(sizes, dtype=np.int64)[order], np.array(counts, dtype=np.int64)[order]
+        self.left = counts[::-1].cumsum()[::-1]
+        self.served = np.cumsum(np.diff(self.ends, prepend=0) * self.left)
+
+    def after(self, turn: np.ndarray) -> np.ndarray:
+        i = np.minimum(np.searchsorted(self.ends, turn), len(self.ends) - 1)
+        return self.served[i] - (self.ends[i] - np.minimum(turn, self.ends[-1])) * self.left[i]
+
+    def turn(self, token: np.ndarray) -> np.ndarray:
+        i = np.searchsorted(self.served, token, side="right")
+        return self.ends[i] - 1 - (self.served[i] - 1 - token) // self.left[i]
+
+
+class SharedRounds(Rounds):
+    """Rounds with given weights whose last queue is shared by sources of weight 1. One
+    phase: quanta stay, and rounds become shorter as queues and sources run empty."""
+
+    def __init__(self, totals: list[int], weights: list[float], turns: Turns):
+        served = np.array(totals, dtype=np.int64)
+        left, none, unit = served.copy(), np.zeros_like(served), 1 << 30
+        self.shared, self.turns, left[-1] = len(left) - 1, turns, turns.ends[-1]
+        w = np.maximum([*weights, 1.0], 1e-9)
+        quantum = np.maximum(1, w / (w[:-1].sum() + turns.left[0]) * LENGTH * unit).astype(np.int64)
+        self.phases = [(none, left, none, quantum, unit, 0, served, 0)]
+
+    def _round(self, token, q, carry, quantum, unit):
+        own = q != self.shared
+        turn = np.where(own, token, self.turns.turn(np.where(own, 0, token)))
+        return super()._round(turn, q, carry, quantum, unit)
+
+    def _served(self, r, q, left, carry, quantum, unit):
+        served = super()._served(r, q, left, carry, quantum, unit)
+        return np.where(q == self.shared, self.turns.after(served), served)
+
+    def _all_served(self, rounds, left, carry, quantum, unit):
+        served = super()._all_served(rounds, left, carry, quantum, unit)
+        served[:, -1] = self.turns.after(served[:, -1])
+        return served
+
+
+def dealt(first: np.ndarray, n: np.ndarray, index: np.ndarray, beside: np.ndarray, size: np.ndarray, block: int) -> tuple[np.ndarray, ...]:
+    """Pieces of token ranges of sources in their shared queue, as of ``Rounds.place``.
+
+    ``index`` is the source's leaf in the tree, ``beside`` the totals of its path's other
+    halves from the leaf up. Every ``block`` tokens of the queue are sorted by source.
+    """
+    sizes = size[:, None] + np.concatenate((np.zeros((len(size), 1), dtype=np.int64), np.cumsum(beside, axis=1)), axis=1)
+    of = np.repeat(np.arange(len(n)), n)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    k = first[of] + step
+    for level in range(beside.shape[1]):
+        right = index[of] >> level & 1
+        k = _scaled(k + 1 - right, sizes[of, level + 1], sizes[of, level], right - 1)
+    block_of = k // block
+    new = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(block_of, prepend=-1) != 0))
+    of, at, nth, length = of[new], step[new], block_of[new], np.diff(np.append(new, len(step)))
+    low, ahead = nth * block, np.zeros(len(new), dtype=np.int64)
+    high = np.minimum(low + block, sizes[of, -1])
+    for level in range(beside.shape[1] - 1, -1, -1):
+        right = (index[of] >> level & 1).astype(bool)
+        half = np.where(right, beside[of, level], sizes[of, level])
+        a, b = (_scaled(x, half, sizes[of, level + 1]) for x in (low, high))
+        ahead += np.where(right, b - a, 0)
+        low, high = np.where(right, low - a, a), np.where(right, high - b, b)
+    return of, at, length, nth * block + ahead + first[of] + at - low
+
+
+def leaves(sizes: DataFrame, by_size: bool) -> DataFrame:
+    """source, size and index, counted from 0, of all sources; with ``by_size`` the largest first."""
+    group = [F.col("size")] if by_size else []
+    hashed = sizes.withColumn("bucket", F.pmod(F.xxhash64("source"), F.lit(256)))
+    nth = F.row_number().over(Window.partitionBy(*group, "bucket").orderBy("source"))
+    before = [Window.unboundedPreceding, -1]
+    start = hashed.groupBy(*group, "bucket").count()
+    start = start.withColumn("start", F.coalesce(F.sum("count").over(Window.partitionBy(*group).orderBy("bucket").rowsBetween(*before)), F.lit(0)))
+    if by_size:
+        larger = sizes.groupBy("size").count().select(
+            "size", F.coalesce(F.sum("count").over(Window.orderBy(F.desc("size")).rowsBetween(*before)), F.lit(0)).alias("larger"))
+        start = start.join(larger, "size").withColumn("start", F.col("start") + F.col("larger")).drop("larger")
+    return hashed.withColumn("nth", nth).join(start.drop("count"), ["size", "bucket"] if by_size else ["bucket"]).select(
+        "source", "size", (F.col("start") + F.col("nth") - 1).alias("index"))
+
+
+def paths(indexed: DataFrame, many: int) -> DataFrame:
+    """source, size, index and beside: totals of the other halves on each leaf's way up."""
+    levels = max(1, (many - 1).bit_length())
+    nodes = F.transform(F.sequence(F.lit(0), F.lit(levels - 1)), lambda x: F.struct(
+        x.alias("level"), F.call_function("shiftright", F.col("index"), x).alias("node")))
+    each = indexed.select("index", "size", F.inline(nodes))
+    totals = each.groupBy("level", "node").agg(F.sum("size").alias("other"))
+    other = each.select("index", "level", F.col("node").bitwiseXOR(F.lit(1)).alias("node")).join(totals, ["level", "node"], "left")
+    beside = other.groupBy("index").agg(F.sort_array(F.collect_list(F.struct("level", F.coalesce("other", F.lit(0)).alias("other"))))["other"].alias("beside"))
+    return indexed.join(beside, "index")
+
+
 def pack(
     docs: DataFrame, path: str, weights: dict[str, float] | None = None, queues: int = QUEUES, with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset
-    and queue; with_ids adds the piece's ids.
+    and queue, one for each source; with_ids adds the piece's ids.
 
     ``weights`` sets the target share of sources while they last, each source not named
     having weight 1; without it all sequences have the whole table's proportions.
     """
-    if weights is not None:
-        named = docs.groupBy("source").count().orderBy(F.desc("count"), "source").limit(queues).collect()
-        by_queue = [float(weights.get(r.source, 1.0)) for r in named] + [1.0]
-    written = kept(tokens(docs, path, queues), "tokens")
-    sums = written.groupBy("part", "queue").agg(F.max(F.col("at") + F.col("n")).alias("size"))
-    before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = kept(sums.select("part", "queue", "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base")), "bases")
+    own, others = own_queues(docs, queues, weights)
+    by_queue = None if weights is None else [float(weights.get(s, 1.0)) for s in own]
+    written = kept(tokens(docs, path, own), "tokens")
+    sums = written.groupBy("part", "queue", "source").agg(F.max(F.col("at") + F.col("n")).alias("size"))
+    before = Window.partitionBy("queue", "source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = kept(sums.select("part", "queue", "source", "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base")), "bases")
     by_sum = {r.queue: r.total for r in bases.groupBy("queue").agg(F.sum("size").alias("total")).collect()}
     totals = [by_sum.get(k, 0) for k in range(max(by_sum, default=-1) + 1)]
-    rounds = Rounds(totals, None if weights is None else by_queue[:len(totals)])
-    small = bases.drop("size")
-    placed = written.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, ["part", "queue"])
+    small, on, most, turns = bases.drop("size", "source"), ["part", "queue"], BROADCAST_ROWS, None
+    if others:
+        sizes = kept(bases.where(F.col("queue") == len(own)).groupBy("source").agg(F.sum("size").alias("size")), "sizes")
+        indexed = kept(leaves(sizes, weights is not None), "leaves")
+        if weights is None:
+            indexed = kept(paths(indexed, indexed.count()), "paths")
+        else:
+            indexed = indexed.withColumn("beside", F.lit(None).cast("array<long>"))
+            turns = Turns(*zip(*[(r["size"], r["count"]) for r in sizes.groupBy("size").count().collect()], strict=True))
+        of = indexed.withColumnRenamed("source", "of").withColumn("of_queue", F.lit(len(own)))
+        shares = (F.col("queue") == F.col("of_queue")) & F.col("source").eqNullSafe(F.col("of"))
+        small = kept(bases.drop("size").join(of, shares, "left").drop("of", "of_queue").withColumnsRenamed(
+            {"part": "b_part", "queue": "b_queue", "source": "b_source"}), "shared-bases")
+        on = (F.col("part") == F.col("b_part")) & (F.col("queue") == F.col("b_queue")) & F.col("source").eqNullSafe(F.col("b_source"))
+        most //= 8
+    rounds = SharedRounds(totals, by_queue, turns) if turns else Rounds(totals, by_queue)
+    block = max(1, LENGTH * by_sum.get(len(own), 0) // max(1, sum(totals)))
+    placed = written.join(F.broadcast(small) if small.count() <= most else small, on)
+
+    def place(batch: pa.RecordBatch, queue: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Pieces of the batch's documents in the sequences, and the queue of each document."""
+        if not others:
+            return *rounds.place(queue, first, n), queue
+        own_rows, rows = np.flatnonzero(queue < len(own)), np.flatnonzero(queue == len(own))
+        whole = rounds.place(queue[own_rows], first[own_rows], n[own_rows])
+        index, size = (column(batch, c).take(pa.array(rows)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("index", "size"))
+        if turns:
+            of = np.repeat(np.arange(len(rows)), n[rows])
+            at = np.arange(len(of)) - np.repeat(np.cumsum(n[rows]) - n[rows], n[rows])
+            length, start = np.ones(len(of), dtype=np.int64), turns.after(first[rows][of] + at) + index[of]
+        else:
+            beside = np.array(column(batch, "beside").take(pa.array(rows)).to_pylist(), dtype=np.int64).reshape(len(rows), -1)
+            of, at, length, start = dealt(first[rows], n[rows], index, beside, size, block)
+        which, more, length, at_place = rounds.place(np.full(len(of), len(own)), start, length)
+        found = (own_rows[whole[0]], rows[of[which]]), (whole[1], at[which] + more), (whole[2], length), (whole[3], at_place)
+        queue = queue.copy()
+        queue[rows] += index
+        return *(np.concatenate(c) for c in found), queue
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "ids"):
             n = column(batch, "n").to_numpy().astype(np.int64)
             queue = column(batch, "queue").to_numpy().astype(np.int64)
             first = column(batch, "at").to_numpy() + column(batch, "base").to_numpy()
-            which, at, length, place = rounds.place(queue, first, n)
+            which, at, length, to, queue = place(batch, queue, first, n)
             order = np.lexsort((at, which))
-            which, at, length, place = which[order], at[order], length[order], place[order]
+            which, at, length, to = which[order], at[order], length[order], to[order]
             flat, offsets = bytes_of(column(batch, "ids"))
             size = int((offsets[-1] - offsets[0]) // max(1, n.sum()))
             ids = flat.view(f"<u{size}").astype("<u4") if len(flat) else np.zeros(0, dtype="<u4")
@@ -284,7 +437,7 @@ def pack(
             view = memoryview(ids.tobytes())
             crc = [zlib.crc32(view[4 * a:4 * b]) for a, b in zip(begin, begin + length, strict=True)]
             out = [column(batch, "doc_id").take(pa.array(which)), pa.array(at), pa.array(length), pa.array(crc, type=pa.int64()),
-                   pa.array(n[which]), pa.array(place // LENGTH), pa.array(place % LENGTH), pa.array(queue[which].astype(np.int32))]
+                   pa.array(n[which]), pa.array(to // LENGTH), pa.array(to % LENGTH), pa.array(queue[which].astype(np.int32))]
             if with_ids:
                 out.append(pa.array([ids[a:b].astype(np.int32) for a, b in zip(begin, begin + length, strict=True)], type=pa.list_(pa.int32())))
             yield pa.record_batch(out, names=names)
@@ -292,4 +445,5 @@ def pack(
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue", *["ids"] * with_ids]
     schema = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue int"
               + ", ids array<int>" * with_ids)
-    return placed.select("doc_id", "queue", "at", "n", "base", "ids").mapInArrow(run, schema)
+    more = ["index", "size", "beside"] if others else []
+    return placed.select("doc_id", "queue", "at", "n", "base", "ids", *more).mapInArrow(run, schema)

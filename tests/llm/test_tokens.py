@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -154,3 +155,41 @@ def test_packing_of_odd_rows(spark):
     assert packing_mixture.pack(docs.limit(0), WORDS).count() == 0
     shares = packing_mixture.pack(docs, WORDS).agg(F.max("sequence_id")).first()[0]
     assert shares >= 2
+
+
+def shares_of_sequences(rows, source_of):
+    """Tokens of each source in each sequence."""
+    out = {}
+    for r in rows:
+        out.setdefault(r.sequence_id, Counter())[source_of[r.doc_id]] += r.length
+    return [out[s] for s in sorted(out)]
+
+
+def test_every_one_of_a_thousand_sources_keeps_its_share(spark):
+    """Sources beyond the cap stood in clumps: whole windows of the shared queue were one source's."""
+    rng = random.Random(3)
+    rows = [(i, "the cat and dog " * rng.randint(10, 40), f"site{i % 1000}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    checked(spark, docs)
+    pieces = packing_mixture.pack(docs, WORDS).collect()
+    source_of = {i: s for i, _, s in rows}
+    assert len({r.queue for r in pieces}) == 1000
+    windows = shares_of_sequences(pieces, source_of)
+    total = sum(windows, Counter())
+    everything = sum(total.values())
+    for w in windows[:-1]:
+        assert all(abs(w[s] - 2048 * n / everything) <= 4 for s, n in total.items())
+
+
+def test_shared_sources_serve_by_weight_while_they_last(spark):
+    """A weight given to a source that was not among the largest was ignored."""
+    rows = [(i, "the cat and dog " * (4 + i % 7 * 20), f"site{i % 50}") for i in range(500)] + [(1000, "a dog " * 4000, "rare")]
+    rows += [(2000, "one two " * 600, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    settings = {"weights": {"rare": 10.0}, "queues": 4}
+    checked(spark, docs, **settings)
+    pieces = packing_mixture.pack(docs, WORDS, **settings).collect()
+    early = shares_of_sequences(pieces, {i: s for i, _, s in rows})[0]
+    share = 2048 / 61
+    assert abs(early["rare"] - 10 * share) <= len(early) == 52
+    assert all(abs(n - share) <= 3 for s, n in early.items() if s != "rare")
