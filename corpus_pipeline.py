@@ -18,8 +18,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is found."""
-    return language_ecoc.keep_known(docs, language_ecoc.train(docs))
+    """Keeps the documents whose language is found, not ambiguous, and better told than an empty text's."""
+    model = language_ecoc.train(docs)
+    return language_ecoc.keep_known(docs, model, lead=language_ecoc.LEAD, loss=model.blank_loss())
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

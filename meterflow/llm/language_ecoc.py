@@ -13,6 +13,7 @@ language everything is ``und``. Extra columns of any name are ignored.
 from __future__ import annotations
 
 import dataclasses
+import math
 import re
 from collections.abc import Iterator
 
@@ -25,6 +26,8 @@ from meterflow.llm.common import bytes_of, column, filtered, held_out, pieces
 
 #: Bounds of the rows that the classifiers are fitted on.
 PER_LANGUAGE, SAMPLE_ROWS = 400, 2_000
+#: Share of likelihood by which the best language leads the second, below which it is ambiguous.
+LEAD = 0.1
 BUCKETS, ORDERS = 1 << 12, (2, 3, 4)
 UNDETERMINED = "und"
 
@@ -87,12 +90,20 @@ class Model:
     slopes: np.ndarray
     offsets: np.ndarray
 
+    def losses(self, x: np.ndarray) -> np.ndarray:
+        """Each row's weighed loss against each language's codeword."""
+        f = np.clip(x @ self.slopes + self.offsets, -3, 3)
+        return (self.bit_weights[None] * np.exp(-f[:, None, :] * self.code[None])).sum(axis=2)
+
+    def blank_loss(self) -> float:
+        """Least loss of a text with no n-gram at all; one language alone tells nothing apart."""
+        return float(self.losses(np.zeros((1, BUCKETS))).min()) if len(self.languages) > 1 else math.inf
+
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Best language, its share of likelihood and its lead over the second, per row."""
         if len(self.languages) < 2:
             return np.zeros(len(x), dtype=int), np.ones(len(x)), np.ones(len(x))
-        f = np.clip(x @ self.slopes + self.offsets, -3, 3)
-        loss = (self.bit_weights[None] * np.exp(-f[:, None, :] * self.code[None])).sum(axis=2)
+        loss = self.losses(x)
         likely = np.exp(-4 * (loss - loss.min(axis=1, keepdims=True)))
         likely /= likely.sum(axis=1, keepdims=True)
         two = np.sort(likely, axis=1)[:, -2:]
@@ -174,7 +185,7 @@ def judge(texts: pa.Array, model: Model, lead: float) -> tuple[list[str], np.nda
     return names, np.where(letters, score, 0.0), ~letters | (margin < lead)
 
 
-def predict(docs: DataFrame, model: Model, lead: float = 0.1) -> DataFrame:
+def predict(docs: DataFrame, model: Model, lead: float = LEAD) -> DataFrame:
     """doc_id, held_out, lang_pred, score and ambiguous of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,14 +199,24 @@ def predict(docs: DataFrame, model: Model, lead: float = 0.1) -> DataFrame:
     return chosen.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
-def keep_known(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents whose language was found, with all their columns; ``und`` ones go."""
+def keep_known(docs: DataFrame, model: Model, lead: float = 0.0, loss: float = math.inf) -> DataFrame:
+    """The documents whose language was found, with all their columns; ``und`` ones go.
+
+    So do those whose language leads the second by less than ``lead``, and those whose loss
+    reaches ``loss``: with ``model.blank_loss()``, texts that are no nearer to a learned
+    language than an empty one. Where no language could be learned all documents stay.
+    """
+    if not model.languages:
+        return docs
 
     def known(texts: pa.Array) -> np.ndarray:
         out = []
         for part in pieces([pa.record_batch([texts], names=["t"])], "t"):
-            names, _, _ = judge(part.column(0), model, 0.0)
-            out += [v != UNDETERMINED for v in names]
-        return np.array(out, dtype=bool)
+            letters = np.array([has_letter(t) for t in part.column(0).to_pylist()], dtype=bool)
+            if len(model.languages) > 1:
+                x = features(part.column(0))
+                letters &= (model.decode(x)[2] >= lead) & (model.losses(x).min(axis=1) < loss)
+            out.append(letters)
+        return np.concatenate([np.zeros(0, dtype=bool), *out])
 
     return filtered(docs, "text", known)

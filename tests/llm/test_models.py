@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from meterflow.llm import language_ecoc, quality_gbt
 from meterflow.llm.common import pieces, table
 
@@ -48,6 +49,20 @@ def test_language_of_odd_rows(spark, sf_dir, odd):
     assert one.languages == ["x"]
 
 
+def test_unlearned_languages_go_and_clean_texts_stay(spark):
+    """Nothing that the codes decoded could remove a text; with no language learned all of them went."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    odd = ["Tämä on suomenkielinen teksti, jota kukaan ei ole opettanut mallille, ja se jatkuu vielä hetken aikaa.",
+           "Bu metin Türkçe yazılmıştır ve model bunu hiç öğrenmemiştir, ama yine de uzun bir cümledir.",
+           "qzx wvk jjq xxzk qpw vvkq zzjx kqwp xjzq wvxk qqzj " * 4, "Это русский текст, который никто не учил, и он довольно длинный."]
+    more = docs.unionByName(spark.createDataFrame([(-i - 1, t, None) for i, t in enumerate(odd)], docs.schema))
+    model = language_ecoc.train(docs)
+    stay = language_ecoc.keep_known(more, model, lead=language_ecoc.LEAD, loss=model.blank_loss())
+    assert sorted(r.doc_id for r in stay.select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    none = docs.limit(20).withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.known_language(spark, none, "").count() == 20
+
+
 def test_a_language_never_comes_from_held_out_rows(spark):
     docs = spark.createDataFrame([(i, f"word{i} text", "aa" if i % 2 else "bb") for i in range(40)], "doc_id long, text string, lang string")
     spoilt = docs.withColumn("lang", F.when(language_ecoc.held_out(F.col("doc_id")), "zz").otherwise(F.col("lang")))
