@@ -3,7 +3,8 @@
 Candidates are runs of characters that keys are made of. A window slides over each; its
 characters' counts change by one in and one out, which updates the Shannon entropy without
 counting again. Every character class has its own window and threshold, and strings that
-an allow-list knows (dates, versions, plain words, placeholders, alphabets) are let go.
+an allow-list knows whole (dates, versions, plain words) are let go, as are the parts between
+separators that are placeholders or alphabets; what stands beside such a part is scanned.
 
 Defined results: null is as empty text, without findings; repeated rows are scanned one by
 one; spans are in code points, end exclusive, ordered by start, then kind. Extra columns
@@ -30,14 +31,21 @@ _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 12, 18, 16
 
-#: Character class: window, bits of entropy that a window must reach.
+#: Character class: window, bits of entropy that a window must reach. For a candidate shorter
+#: than the window, it is as long as that, and the bits are less in proportion to the most possible.
 CLASSES = {"hex": (16, 2.9), "letters and digits": (20, 3.7), "base64": (24, 3.9)}
 CANDIDATE_LEAST = 20
-#: Strings that are never secrets by entropy alone.
+#: Parts between separators that are never secrets by entropy alone.
+PLACEHOLDERS = (
+    rb"(?i)[a-z0-9]*(example|placeholder|changeme|dummy|sample|xxxx|0000000|1234567)[a-z0-9]*",
+    rb"(?i)[a-z0-9]*(abcdefgh|ghijklmn|qwertyui)[a-z0-9]*",
+)
+#: Strings that are never secrets by entropy alone: a date may go on with numbers and words.
 ALLOWED = (
-    rb"(?i).*(example|placeholder|changeme|dummy|sample|xxxx|0000000|1234567).*",
-    rb"(?i).*(abcdefgh|ghijklmn|qwertyui).*",
-    rb"[0-9]{4}-?[0-9]{2}-?[0-9]{2}.*", rb"v?[0-9]+([._-][0-9a-z]{1,6})+",
+    *PLACEHOLDERS,
+    rb"(19|20)[0-9]{2}-?(0[1-9]|1[0-2])-?(0[1-9]|[12][0-9]|3[01])"
+    rb"(?:[T_/+=-]*+(?:[0-9]++|Z)|[-_/+=]++[A-Za-z]++[0-9]{0,4}+)*+[-_/+=]*+",
+    rb"v?[0-9]+([._-][0-9a-z]{1,6})+",
     rb"([A-Za-z]+[-_/+=]+)*[A-Za-z]+[0-9]{0,4}", rb"[0-9+/_=-]+",
     rb"[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}",
 )
@@ -86,10 +94,8 @@ def window_entropies(text: bytes, width: int) -> list[float]:
     return out
 
 
-def entropy_spans(text: bytes, allowed: list[re.Pattern]) -> list[tuple[int, int]]:
-    """Parts of a candidate string whose windows reach their class's threshold."""
-    if any(a.fullmatch(text) for a in allowed):
-        return []
+def class_spans(text: bytes) -> list[tuple[int, int]]:
+    """Parts of a string whose windows reach the threshold of its class."""
     if re.fullmatch(rb"[0-9a-f]+|[0-9A-F]+", text):
         name = "hex"
     elif text.isalnum():
@@ -98,7 +104,9 @@ def entropy_spans(text: bytes, allowed: list[re.Pattern]) -> list[tuple[int, int
         name = "base64"
     if name == "base64" and sum(bool(re.search(c, text)) for c in (rb"[a-z]", rb"[A-Z]", rb"[0-9]")) < 3:
         return []
-    width, least = CLASSES[name]
+    window, least = CLASSES[name]
+    width = min(window, len(text))
+    least *= math.log2(width) / math.log2(window)
     found: list[list[int]] = []
     for i, bits in enumerate(window_entropies(text, width)):
         if bits >= least:
@@ -109,6 +117,31 @@ def entropy_spans(text: bytes, allowed: list[re.Pattern]) -> list[tuple[int, int
     return [(a, b) for a, b in found if any(48 <= c <= 57 for c in text[a:b])]
 
 
+def entropy_spans(text: bytes, allowed: list[re.Pattern]) -> list[tuple[int, int]]:
+    """Parts of a candidate string whose windows reach their class's threshold.
+
+    Placeholders among its parts are cut out; what is left between them is scanned whole,
+    and long parts also each by their own class.
+    """
+    if any(a.fullmatch(text) for a in allowed):
+        return []
+    known = [a for a in allowed if a.pattern in PLACEHOLDERS]
+    parts = [m.span() for m in re.finditer(rb"[A-Za-z0-9]+", text)]
+    gone = [(a, b) for a, b in parts if any(p.fullmatch(text, a, b) for p in known)]
+    between = list(zip([0, *[b for _, b in gone]], [*[a for a, _ in gone], len(text)], strict=True))
+    found: list[list[int]] = []
+    spans = [(x, y) for x, y in {*between, *parts} - set(gone) if y - x >= CANDIDATE_LEAST]
+    spans = sorted((x + a, x + b) for x, y in spans if not any(p.fullmatch(text, x, y) for p in allowed) for a, b in class_spans(text[x:y]))
+    for a, b in spans:
+        if any(p.fullmatch(text, a, b) for p in allowed):
+            continue
+        if found and a <= found[-1][1]:
+            found[-1][1] = max(found[-1][1], b)
+        else:
+            found.append([a, b])
+    return [(a, b) for a, b in found]
+
+
 def scan(flat: np.ndarray, offsets: np.ndarray, allowed: tuple[bytes, ...] = ALLOWED) -> dict[int, list[tuple[int, int, int]]]:
     """Findings (start, kind, end) of each text that has any; kind is a place in KINDS."""
     found: dict[int, list[tuple[int, int, int]]] = {}

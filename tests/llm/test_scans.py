@@ -74,6 +74,16 @@ def test_entropy_and_the_allow_list(text, caught):
     assert any(kind == 3 for _, kind, _ in found.get(0, [])) == caught
 
 
+@pytest.mark.parametrize("text, caught", [
+    ("id q7-Zk2_Lm9Pw4Rt7Yb3NcX end", True), ("at sample/keys/Zx8Kq2Lm9Pw4Rt7Yb3Nc", True), ("20480153F3A91C0B77D2E46A", True),
+    ("20240115F3A91C0B77D2E46A", True), ("keys/example/F3A91C0B77D2E46A58BB", True), ("2024-01-15-Some-Longer-Post-Title-2", False),
+    ("2024-01-15T10-20-30-40Z", False), ("keys/exampleZx8Kq2Lm9Pw4Rt7Yb3Nc", False)])
+def test_short_keys_and_keys_beside_allowed_parts(text, caught):
+    """Runs of 20 to 23 with separators had no window; one allowed part let the whole run go."""
+    found = secrets_entropy.scan(*bytes_of(pa.array([text])))
+    assert any(kind == 3 for _, kind, _ in found.get(0, [])) == caught
+
+
 def test_secrets_of_whole_tables_and_odd_rows(spark):
     rows = [(1, None, None), (2, "", 0), (3, "é token=" + "q9" * 8 + " é", 25), (3, "é token=" + "q9" * 8 + " é", None), (None, "x" * 200_000, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").selectExpr("*", "'s' as spans")
