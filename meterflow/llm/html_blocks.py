@@ -100,6 +100,13 @@ _APART_HINT = re.compile(
     r"copyright|disclaimer|skip|search)(?:$|[\s_-])")
 _ARTICLE_HINT = re.compile(
     r"(?:^|[\s_-])(?:article|article-?body|post|post-?body|entry|entry-?content|story|main|main-?content|content|body-?text)(?:$|[\s_-])")
+#: Names that tell of the layout around an element, not of what it is; hints that wrappers of
+#: whole pages bear too, and names of an article's own body, which are told apart from them.
+_LAYOUT_NAME = re.compile(r"(?:^|(?<=\s))(?:[a-z0-9]+[_-])?(?:has|with|without|no)[_-]\S+")
+_LAYOUT_HINT = re.compile(r"(?:^|[\s_-])(?:side-?bar|widget|nav|navbar|navigation|menu|search|toolbar|social|share|sharing)(?=$|[\s_-])")
+_BODY_HINT = re.compile(r"(?:^|[\s_-])(?:(?:article|post|entry|story)-?(?:body|content)|main-?content|body-?text)(?:$|[\s_-])")
+#: How firmly a place is set apart: by a layout hint, by another hint, by what it is.
+_LAYOUT, _HINTED, _FIRM = 1, 2, 3
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar"}
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -107,22 +114,30 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(?=[\s/]|$))""", re.IGNORECASE)
 
 
-def _place(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element sets its content apart, and whether it holds an article."""
-    apart, article = name in _APART or (name == "header" and not inside), name in ("article", "main")
+def _place(name: str, attributes: str, inside: bool) -> tuple[int, bool, int]:
+    """How firmly an element sets its content apart, whether it holds an article, and up to
+    which mark of the elements around it that ends theirs."""
+    apart, article = _FIRM * (name in _APART or (name == "header" and not inside)), name in ("article", "main")
+    ends = _HINTED if name == "main" else _LAYOUT if article else 0
     if attributes and not attributes.isspace():
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
-                if _APART_HINT.search(value) or (value in ("header", "site-header", "page-header") and not inside):
-                    apart = True
+                value = _LAYOUT_NAME.sub("", value).strip()
+                body = _BODY_HINT.search(value) and name not in _HEADS
+                other = _LAYOUT_HINT.sub(" ", value)
+                if _APART_HINT.search(other) or (value in ("header", "site-header", "page-header") and not inside):
+                    apart = max(apart, _HINTED)
+                elif _APART_HINT.search(value) and not (body and "widget" in value):
+                    apart = max(apart, _LAYOUT)
                 elif _ARTICLE_HINT.search(value) and name not in _HEADS:
-                    article = True
+                    article, ends = True, max(ends, _LAYOUT if body else 0)
             elif key == "role":
-                apart, article = apart or value in _ROLES, article or value in ("main", "article")
+                apart, article = max(apart, _FIRM * (value in _ROLES)), article or value in ("main", "article")
+                ends = max(ends, {"main": _HINTED, "article": _LAYOUT}.get(value, 0))
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
-                apart = True
-    return apart, article and not apart
+                apart = _FIRM
+    return apart, article and not apart, 0 if apart else ends
 
 
 def blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
@@ -130,8 +145,8 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
     out: list[tuple[str, float, bool, bool, bool]] = []
     text: list[str] = []
     words_linked = 0
-    held: list[tuple[str, bool, bool, bool]] = []
-    apart = article = heading = link = False
+    held: list[tuple[str, int, bool, bool]] = []
+    apart, article, heading, link = 0, False, False, False
     at, n = 0, len(page)
     lower = None
 
@@ -149,7 +164,7 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
             words = "".join(text).split()
             text.clear()
             if words:
-                out.append((" ".join(words), min(1.0, words_linked / len(words)), apart, article, heading))
+                out.append((" ".join(words), min(1.0, words_linked / len(words)), apart > 0, article, heading))
         words_linked = 0
 
     while at < n:
@@ -195,11 +210,15 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool, bool]]:
         else:
             if held and held[-1][0] == "p" and name in _BREAKS:
                 _, apart, article, heading = held.pop()
-            a, b = _place(name, m[3], article)
+            a, b, over = _place(name, m[3], article)
             if (a or b) and name == "span":
                 close()
             held.append((name, apart, article, heading))
-            apart, article, heading = apart or a, article or b, heading or name in _HEADS
+            if 0 < apart <= over:  # a main part is the article; else word counts and links decide
+                apart, article = 0, over == _HINTED
+            else:
+                apart, article = max(apart, a), article or b
+            heading = heading or name in _HEADS
     close()
     return out
 

@@ -163,6 +163,19 @@ def test_pages_of_other_shapes():
     assert html_blocks.main_text("<article>cut <b>off &am", tree) == "cut off &am"
 
 
+@pytest.mark.parametrize("wrapper, inner, stays", [
+    ('<div class="content with-sidebar">', "<article>", True), ('<div class="page has-comments">', "<article>", True),
+    ('<div class="elementor-widget elementor-widget-theme-post-content">', "<div>", True), ('<div class="left-sidebar">', "<main>", True),
+    ('<div class="page sidebar">', "<article>", True), ('<div class="search-page">', '<div class="entry-content">', True),
+    ('<div class="sidebar">', "<div>", False), ('<div class="comments">', "<article>", False), ("<nav>", "<main>", False),
+    ('<div class="related">', '<article class="post">', False), ('<div class="no-touch ads">', "<div>", False)])
+def test_layout_names_of_a_wrapper_do_not_drop_the_article(wrapper, inner, stays):
+    tree = html_blocks.grow(html_blocks.LABELLED)
+    story = "This is a paragraph of the story with more than twenty words in it, so that every reader of it takes it for text and nothing else."
+    found = html_blocks.main_text(f"<body>{wrapper}{inner}<p>{story}</p><p>{story}</p>", tree)
+    assert found == (f"{story}\n\n{story}" if stays else "")
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None, 1), (1, "u", None, 1), (2, None, "", 1), (None, "u", "<article><p>" + "word " * 50_000, 1)]
     got = html_blocks.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
