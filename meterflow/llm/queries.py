@@ -12,11 +12,14 @@ from meterflow.llm import (
     jaccard_groups,
     knn_kdtree,
     language_ecoc,
+    merkle_manifest,
     packing_mixture,
     pii_bootstrap,
     quality_divergence,
     quality_gbt,
     secrets_entropy,
+    token_alignment,
+    warc_captures,
 )
 from meterflow.llm.common import table, tokenizer_file
 
@@ -63,9 +66,22 @@ def op10_quality_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gbt.score(docs, quality_gbt.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.link_scores(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.documents_manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_captures.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES = (
     op1_language_ecoc, op2_html_blocks, op3_pii_bootstrap, op4_secrets_entropy, op5_quality_divergence,
     op6_packing_mixture, op7_jaccard_groups, op8_bpe_prefix, op9_knn_kdtree, op10_quality_gbt,
+    op11_token_alignment, op12_merkle_manifest, op13_warc_captures,
 )
 
 
@@ -75,4 +91,5 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle() -> dict[str, str]:
     return {"op5_quality_divergence": quality_divergence.ORACLE, "op7_jaccard_groups": jaccard_groups.ORACLE,
-            "op9_knn_kdtree": knn_kdtree.ORACLE}
+            "op9_knn_kdtree": knn_kdtree.ORACLE, "op12_merkle_manifest": merkle_manifest.ORACLE,
+            "op13_warc_captures": warc_captures.ORACLE}
