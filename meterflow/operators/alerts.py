@@ -51,8 +51,9 @@ def rules(limits: AlertThresholds, timezone: str, window_minutes: int) -> list[t
 
 
 def evaluate(windows: DataFrame, timezone: str, limits: AlertThresholds = AlertThresholds(),
-             window_minutes: int = WINDOW_MINUTES) -> DataFrame:
-    """One row per breached rule and window, in one pass over the windows."""
+             window_minutes: int = WINDOW_MINUTES, keep: list[str] | None = None) -> DataFrame:
+    """One row per breached rule and window, in one pass over the windows; ``keep`` names
+    columns to carry on."""
     breaches = [
         F.when(condition, F.struct(F.lit(level).alias("level"), F.lit(name).alias("rule"),
                                    message.alias("message")))
@@ -60,7 +61,7 @@ def evaluate(windows: DataFrame, timezone: str, limits: AlertThresholds = AlertT
     ]
     found = windows.withColumn("_breach", F.explode(F.filter(F.array(*breaches),
                                                              lambda b: b.isNotNull())))
-    columns = ["window_start", "grid_zone", "_breach.level", "_breach.rule", "_breach.message"]
+    columns = ["window_start", "grid_zone", "_breach.level", "_breach.rule", "_breach.message", *(keep or [])]
     if "updated_at" in windows.columns:
         columns.append(F.col("updated_at").alias("ts"))
     return found.select(*columns)

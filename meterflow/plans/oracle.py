@@ -135,6 +135,35 @@ damaged AS (SELECT *, CASE WHEN event_type = 'error' THEN event_id % 6 ELSE -1 E
 """
 
 _LIVE = windows("stored", LOCAL)
+_MIDDLE = """(SELECT min(ingested_at) + to_microseconds(datediff('microsecond', min(ingested_at), max(ingested_at)) // 2) FROM readings)"""
+
+
+def ranges(range_seconds: int, step_seconds: int, counter: bool) -> str:
+    """Rise of the counter samples over ranges, each range from its own samples."""
+    step = step_seconds * 1_000_000
+    again = "value < before" if counter else "false"
+    ahead = '((first_at - ("at" - width)) / 1000000.0::DOUBLE)'
+    front = f'CASE WHEN {ahead} >= gap * 1.1::DOUBLE THEN gap / 2 ELSE {ahead} END'
+    if counter:
+        front = f"CASE WHEN rise > 0 THEN least({front}, span * (first_value / rise)) ELSE {front} END"
+    return f"""
+ line AS (SELECT grid_zone, CAST("timestamp" AS DATE) AS day, time_bucket(INTERVAL 10 MINUTE, "timestamp") AS w, max("timestamp") AS "at", count(*) AS n
+  FROM readings GROUP BY ALL),
+ sample AS (SELECT grid_zone, datediff('microsecond', TIMESTAMP '1970-01-01', "at") AS t,
+  (sum(n) OVER (PARTITION BY grid_zone, day ORDER BY w))::DOUBLE AS value FROM line),
+ stepped AS (SELECT *, lag(value) OVER (PARTITION BY grid_zone ORDER BY t) AS before FROM sample),
+ ranged AS (SELECT grid_zone, "at", t, value, CASE WHEN before IS NULL THEN 0 WHEN {again} THEN value ELSE value - before END AS rise,
+   coalesce({again}, false)::INT AS reset, row_number() OVER (PARTITION BY grid_zone, "at" ORDER BY t) AS place
+  FROM (SELECT *, unnest(range((t + {step - 1}) // {step}, (t + {step - 1}) // {step} + {range_seconds // step_seconds})) * {step} AS "at"
+   FROM stepped)),
+ summed AS (SELECT grid_zone, "at", count(*) AS samples, {range_seconds * 1_000_000} AS width, min(t) AS first_at, max(t) AS last_at, arg_min(value, t) AS first_value,
+   coalesce(sum(rise) FILTER (WHERE place > 1), 0) AS rise, coalesce(sum(reset) FILTER (WHERE place > 1), 0)::BIGINT AS resets
+  FROM ranged GROUP BY ALL HAVING count(*) > 1),
+ spaced AS (SELECT *, (last_at - first_at) / 1000000.0::DOUBLE AS span, (last_at - first_at) / 1000000.0::DOUBLE / (samples - 1) AS gap, ("at" - last_at) / 1000000.0::DOUBLE AS behind FROM summed),
+ risen AS (SELECT grid_zone, TIMESTAMP '1970-01-01' + to_microseconds("at") AS "at", samples, resets,
+  rise * ((span + ({front}) + (CASE WHEN behind >= gap * 1.1::DOUBLE THEN gap / 2 ELSE behind END)) / span) AS increase FROM spaced)"""
+
+
 _CLOSED = "window_end <= (SELECT max(\"timestamp\") FROM readings) - INTERVAL 30 MINUTE"
 
 
@@ -312,6 +341,25 @@ _Q = {
   datediff('microsecond', before, ingested_at) // 1000000 AS gap_seconds FROM (
   SELECT grid_zone, ingested_at, lag(ingested_at) OVER (PARTITION BY grid_zone ORDER BY ingested_at) AS before FROM readings)
   WHERE datediff('microsecond', before, ingested_at) > 7200000000""",
+    "counter_increase": f""", {ranges(3600, 1800, True)}
+  SELECT grid_zone, "at", samples, resets, increase, increase / 3600 AS per_second FROM risen""",
+    "gauge_delta": f""", {ranges(14400, 3600, False)}
+  SELECT grid_zone, "at", samples, increase FROM risen""",
+    "meters_from_sketches": f"""SELECT sim_day::VARCHAR AS sim_day, grid_zone, c::DOUBLE AS total_consumption_kwh, s::DOUBLE AS total_solar_kwh,
+  {pct('s', 'c')} AS renewable_pct, true AS within_5_pct FROM (
+   SELECT sim_day, coalesce(grid_zone, 'all') AS grid_zone, sum(used) AS c, sum(solar) AS s FROM readings
+   GROUP BY GROUPING SETS ((sim_day, grid_zone), (sim_day)))""",
+    "live_table_compacted": f"SELECT {WINDOW_FIELDS} FROM windows",
+    "stream_alerts_early": f"""SELECT window_start, grid_zone, level, rule, message, run_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY rule, grid_zone, window_start ORDER BY delivery) AS place FROM (
+   SELECT 1 AS delivery, * FROM ({alert_rows("(" + windows(f"(SELECT * FROM readings WHERE ingested_at < {_MIDDLE})", LOCAL) + ")")})
+   UNION ALL SELECT 2, a.* FROM ({alert_rows("windows")}) a WHERE EXISTS (SELECT 1 FROM readings r WHERE r.ingested_at >= {_MIDDLE}
+    AND r.grid_zone = a.grid_zone AND date_trunc('hour', r."timestamp" + {LOCAL}) - {LOCAL} = a.window_start))) WHERE place = 1""",
+    "stream_no_data": """SELECT grid_zone, "at" AS gap_start, next AS gap_end, datediff('microsecond', "at", next) // 1000000 AS gap_seconds FROM (
+  SELECT grid_zone, ingested_at AS "at", lead(ingested_at) OVER (PARTITION BY grid_zone ORDER BY ingested_at) AS next, told
+  FROM readings, (SELECT max(ingested_at) - INTERVAL 5 MINUTE AS told FROM readings)
+  WHERE date_trunc('minute', ingested_at) + INTERVAL 1 MINUTE <= told)
+  WHERE datediff('microsecond', "at", coalesce(next, told)) > 7200000000""",
     "late_day_crossings": f"""SELECT sim_day::VARCHAR AS sim_day, count(*) AS readings,
   count(*) FILTER (WHERE CAST(ingested_at + {LOCAL} AS DATE) > sim_day) AS arrived_next_day FROM readings GROUP BY 1""",
     "run_ledger": """SELECT run_id, component, status, sim_day::VARCHAR AS sim_day, started_at, finished_at, rows_written, notes FROM runs""",

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meterflow import settings
 from meterflow.functions import hashing, times
-from meterflow.operators import (alerts, audit, billing, dedupe, energy, joins, keyed, ledger,
-                                 ordering, sampling)
+from meterflow.operators import (alerts, audit, billing, counters, dedupe, energy, joins, keyed,
+                                 ledger, ordering, sampling)
 from meterflow.plans import billing_run, reports, streams
 from meterflow.sources import records, reports as report_files, standin, store, tariff_files
 from meterflow.workspace import materialised, shared_folder
@@ -231,6 +231,20 @@ def approx_meters(m):
     return counted.select("sim_day", "grid_zone", within.alias("within_15_pct"))
 
 
+@query
+def meters_from_sketches(m):
+    """Days' totals of zones, and of the grid from these, out of windows with sketches alone;
+    meters are compared with their exact numbers."""
+    windows = materialised(energy.zone_windows(m.readings(), TZ, meters="sketch"), "sketches")
+    zones = energy.rolled_up(windows.withColumn("sim_day", times.local_day("window_start", TZ)), ["sim_day", "grid_zone"])
+    grid = energy.rolled_up(zones, ["sim_day"]).withColumn("grid_zone", F.lit("all"))
+    exact = m.readings().select("sim_day", "meter_id", F.explode(F.array("grid_zone", F.lit("all"))).alias("grid_zone")).groupBy(
+        "sim_day", "grid_zone").agg(F.count_distinct("meter_id").alias("exact"))
+    within = F.abs(F.col("active_meters") - F.col("exact")) <= F.col("exact") * 0.05
+    return zones.unionByName(grid).join(exact, ["sim_day", "grid_zone"], "full_outer").select(
+        "sim_day", "grid_zone", "total_consumption_kwh", "total_solar_kwh", "renewable_pct", within.alias("within_5_pct"))
+
+
 # -- alerts ------------------------------------------------------------------
 
 @query
@@ -551,6 +565,19 @@ def no_data_gaps_by_zone(m):
     return ordering.gaps(m.readings(), "ingested_at", 2 * 3600, ["grid_zone"])
 
 
+@query
+def counter_increase(m):
+    """How much each zone's event counter rose in the hour before every half hour."""
+    return counters.over_ranges(standin.counter_samples(m.spark, m.sf_dir), ["grid_zone"], "at", "events_total", 3600, 1800)
+
+
+@query
+def gauge_delta(m):
+    """The same samples taken as a gauge, which may fall, over four hours."""
+    return counters.over_ranges(standin.counter_samples(m.spark, m.sf_dir), ["grid_zone"], "at", "events_total", 14400, 3600,
+                                counter=False).select("grid_zone", "at", "samples", "increase")
+
+
 @query
 def late_day_crossings(m):
     return audit.day_crossings(m.readings(), times.local_day("ingested_at", TZ))
@@ -841,3 +868,18 @@ def stream_dedup_windows(m):
 @query
 def stream_alerts(m):
     return streams.alert_log(m.spark, m.sf_dir)
+
+
+@query
+def live_table_compacted(m):
+    return streams.compacted_windows(m.spark, m.sf_dir)
+
+
+@query
+def stream_alerts_early(m):
+    return streams.early_alerts(m.spark, m.sf_dir)
+
+
+@query
+def stream_no_data(m):
+    return streams.no_data(m.spark, m.sf_dir)

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from meterflow.operators.energy import aggregate_energy
 from meterflow.settings import StreamSettings
 from meterflow.sources import records, standin, streams as sources
-from meterflow.streaming import jobs
+from meterflow.streaming import jobs, silence
+from meterflow.streaming.live_table import LiveTable
 from meterflow.workspace import shared_folder
 
 DELIVERIES = 2
@@ -40,13 +41,16 @@ def _records(spark: SparkSession, sf_dir: str, resent: bool = False) -> DataFram
     return readings.select("ingested_at", records.to_records(readings).alias("value"))
 
 
-def _run(spark, rows: DataFrame, start, label: str) -> str:
-    """Drives a job over the deliveries; ``start(source, folder)`` starts one run."""
+def _run(spark, rows: DataFrame, start, label: str, after=None) -> str:
+    """Drives a job over the deliveries; ``start(source, folder)`` starts one run and
+    ``after(folder, delivery)`` follows it."""
     folder = shared_folder(spark, label)
     topic = f"{folder}/topic"
-    for _ in _deliveries(rows, topic):
+    for n in _deliveries(rows, topic):
         source = sources.file_records(spark, topic)
         start(source, folder).awaitTermination()
+        if after:
+            after(folder, n)
     return folder
 
 
@@ -129,3 +133,51 @@ def alert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _run(spark, _records(spark, sf_dir), start, "alerts")
     return jobs.read_alerts(spark, f"{folder}/alerts").select(
         "window_start", "grid_zone", "level", "rule", "message", "run_id")
+
+
+def compacted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update mode with the first delivery's windows merged into the table's base, old
+    batches removed, and the second delivery's read from the batches after it."""
+    def start(source, folder):
+        windows = jobs.meter_window_stream(_parsed(source), SETTINGS)
+        return jobs.start_metrics(windows, f"{folder}/metrics", f"{folder}/checkpoint", "compacted", once=True)
+
+    def after(folder, n):
+        table = LiveTable(spark, f"{folder}/metrics", [*jobs.METRIC_KEY, "meter_id"])
+        if n < DELIVERIES - 1 and table.compact():
+            table.vacuum(keep=1)
+
+    folder = _run(spark, _records(spark, sf_dir), start, "compacted", after)
+    return jobs.zone_windows_view(spark, f"{folder}/metrics").drop("updated_at")
+
+
+def early_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of alerts on windows that still fill, each condition at its first breach.
+
+    Two jobs: one writes window versions in update mode, the other follows them.
+    """
+    def start(source, folder):
+        windows = jobs.zone_window_stream(_parsed(source), SETTINGS, meters="sketch")
+        jobs.start_metrics(windows, f"{folder}/metrics", f"{folder}/checkpoint", "windows", once=True).awaitTermination()
+        versions = jobs.versions_stream(spark, f"{folder}/metrics", "windows", windows.schema)
+        return jobs.start_early_alerts(versions, f"{folder}/alerts", f"{folder}/checkpoint-alerts", "early", "speed-1",
+                                       SETTINGS, standin.THRESHOLDS, once=True)
+
+    folder = _run(spark, _records(spark, sf_dir), start, "early-alerts")
+    return jobs.read_alerts(spark, f"{folder}/alerts").select(
+        "window_start", "grid_zone", "level", "rule", "message", "run_id")
+
+
+def no_data(spark: SparkSession, sf_dir: str, limit_seconds: int = 2 * 3600) -> DataFrame:
+    """Silences per zone as the live job logs them, with those that last at the end."""
+    folder = shared_folder(spark, "no-data")
+    rows = _records(spark, sf_dir)
+    first, last = rows.agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    middle = F.lit(first + (last - first) / 2).cast("timestamp_ntz")
+    for part in (rows.where(F.col("ingested_at") < middle), rows.where(F.col("ingested_at") >= middle)):
+        part.write.mode("append").parquet(f"{folder}/topic")
+        topic = spark.readStream.schema(rows.schema).parquet(f"{folder}/topic")
+        readings = records.parse_readings(topic, SETTINGS.timezone, arrival="ingested_at", utc=False)
+        found = silence.silences(readings, limit_seconds)
+        silence.start_silences(found, f"{folder}/log", f"{folder}/checkpoint", "no_data", once=True).awaitTermination()
+    return silence.silence_log(spark.read.schema(found.schema).parquet(f"{folder}/log"))

@@ -8,7 +8,7 @@ orders     runs of the components named by the order priority
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from meterflow.functions import times
 from meterflow.functions.amounts import sum_kwh
@@ -196,3 +196,13 @@ def topic_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(spark, sf_dir).groupBy(F.col("grid_zone").alias("source"), "event_type").agg(
         F.min("position").alias("begin_offset"),
         (F.min("position") + F.count(F.lit(1))).alias("end_offset"))
+
+
+def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A counter of each zone's events, read at the last event of ten minutes: it begins
+    again with each day, as a process that is restarted does."""
+    per_line = readings(spark, sf_dir).groupBy(
+        "grid_zone", F.to_date("timestamp").alias("day"), F.window("timestamp", "10 minutes").alias("w")).agg(
+            F.max("timestamp").alias("at"), F.count(F.lit(1)).alias("n"))
+    so_far = Window.partitionBy("grid_zone", "day").orderBy("w").rowsBetween(Window.unboundedPreceding, 0)
+    return per_line.select("grid_zone", "at", F.sum("n").over(so_far).alias("events_total"))

@@ -17,13 +17,16 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from meterflow.functions import amounts, times
 from meterflow.operators import alerts as rules
-from meterflow.operators import energy, keyed
+from meterflow.operators import energy
 from meterflow.settings import (AlertThresholds, METRICS_TRIGGER_SECONDS, RAW_TRIGGER_SECONDS,
                                 StreamSettings)
 from meterflow.sources import records, store
 from meterflow.sources.streams import trigger
+from meterflow.streaming.live_table import LiveTable
 
 METRIC_KEY = ["window_start", "grid_zone"]
+#: Windows after which a condition can't recur.
+HORIZON_WINDOWS = 4
 
 
 # -- identity ----------------------------------------------------------------
@@ -77,13 +80,14 @@ def zone_window_stream(readings: DataFrame, settings: StreamSettings = StreamSet
                        meters: str = "approx", dedupe: bool = False) -> DataFrame:
     """Zone windows from a stream (event time in a TIMESTAMP column).
 
-    ``approx``: one stateful step with a meter sketch, for update or append mode.
+    ``approx``: one stateful step with a meter sketch, for update or append mode;
+    ``sketch`` also keeps the sketch as a column.
     ``exact``: a window is first kept per meter and then summed per zone, which counts
     meters exactly, splits a large zone's state by meter, and runs in append mode.
     """
     rows = watermarked(readings, settings, dedupe)
-    if meters == "approx":
-        totals = energy.aggregate_energy(rows, [_window(settings).alias("w"), "grid_zone"], "approx")
+    if meters in ("approx", "sketch"):
+        totals = energy.aggregate_energy(rows, [_window(settings).alias("w"), "grid_zone"], meters)
     else:
         per_meter = rows.groupBy(_window(settings).alias("w"), "grid_zone", "meter_id").agg(
             amounts.sum_fine("power_consumption_kwh").alias("used"),
@@ -96,6 +100,7 @@ def zone_window_stream(readings: DataFrame, settings: StreamSettings = StreamSet
         times.instant_to_utc("w.start").alias("window_start"),
         times.instant_to_utc("w.end").alias("window_end"),
         "grid_zone", "total_consumption_kwh", "total_solar_kwh", "renewable_pct", "active_meters",
+        *(["meters_sketch"] if meters == "sketch" else []),
     )
 
 
@@ -135,9 +140,11 @@ def read_versions(spark: SparkSession, path: str, name: str = "*") -> DataFrame
 
 
 def metrics_view(spark: SparkSession, path: str, key: list[str] | None = None, name: str = "*") -> DataFrame:
-    """Newest version of each window of one query's table: the youngest checkpoint's last batch."""
-    versions = read_versions(spark, path, name).withColumn("_version", F.struct("life", "batch_id"))
-    return keyed.newest_version(versions, key or METRIC_KEY, "_version").drop("query", "life", "batch_id", "_version")
+    """Newest version of each window of one query's table: the youngest checkpoint's last batch.
+
+    What has been compacted is read from the table's base.
+    """
+    return LiveTable(spark, path, key or METRIC_KEY).read(None if name == "*" else name)
 
 
 def publish_metrics(spark: SparkSession, path: str, target: str, key: list[str] | None = None) -> None:
@@ -219,7 +226,10 @@ def write_alerts(windows: DataFrame, path: str, batch: str, run_id: str, setting
         if horizon_windows:
             reach = reach - F.make_dt_interval(mins=F.lit(horizon_windows * settings.window_minutes))
         log = log.where(F.col("alert_day") >= F.to_date(reach))
-    fresh = rules.not_yet_raised(raised, log)
+    _log(rules.not_yet_raised(raised, log), path, batch, run_id)
+
+
+def _log(fresh: DataFrame, path: str, batch: str, run_id: str) -> None:
     stamped = fresh.select(
         "window_start", "grid_zone", "level", "rule", "message",
         times.instant_to_utc(F.current_timestamp()).alias("ts"), F.lit(run_id).alias("run_id"),
@@ -257,6 +267,51 @@ def start_metrics_and_alerts(windows: DataFrame, metrics_path: str, alerts_path:
             .option("checkpointLocation", checkpoint).trigger(**trigger(once, seconds)).start())
 
 
+# -- alerts with their memory in the stream ----------------------------------
+
+def versions_stream(spark: SparkSession, path: str, name: str, windows: T.StructType) -> DataFrame:
+    """The rows that a metrics job writes, as a stream: each version of a window once.
+
+    ``windows`` is the schema the job writes, without its write time. A batch that was done
+    again has replaced its files, so missing ones are passed over and the new ones taken.
+    """
+    schema = T.StructType([*windows, T.StructField("updated_at", T.TimestampNTZType())])
+    return (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+            .option("ignoreMissingFiles", "true").parquet(f"{path}/query={name}"))
+
+
+def raised_once(versions: DataFrame, settings: StreamSettings = StreamSettings(),
+                limits: AlertThresholds = AlertThresholds(), horizon_windows: int = HORIZON_WINDOWS) -> DataFrame:
+    """The first breach of each rule, zone and window in a stream of window versions.
+
+    The conditions seen are the stream's state. One is forgotten when the newest window
+    is ``horizon_windows`` after it; windows that old are no longer updated.
+    """
+    horizon = f"{horizon_windows * settings.window_minutes} minutes"
+    marked = versions.withColumn("at", times.utc_to_instant("window_start")).withWatermark("at", horizon)
+    raised = rules.evaluate(marked, settings.timezone, limits, settings.window_minutes, keep=["at"])
+    return raised.dropDuplicatesWithinWatermark(rules.IDENTITY)
+
+
+def start_early_alerts(versions: DataFrame, path: str, checkpoint: str, name: str, run_id: str,
+                       settings: StreamSettings = StreamSettings(), limits: AlertThresholds = AlertThresholds(),
+                       once: bool = False, seconds: int = METRICS_TRIGGER_SECONDS,
+                       horizon_windows: int = HORIZON_WINDOWS) -> StreamingQuery:
+    """Alerts on windows as they fill, each condition logged once, also after a restart.
+
+    Runs beside the metrics job, in update mode, whose versions it reads. The log is only
+    added to; nothing of it is read.
+    """
+    life = Life(checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _log(batch, path, f"{name}-{life(batch.sparkSession)}-{batch_id}", run_id)
+
+    raised = raised_once(versions, settings, limits, horizon_windows)
+    return (raised.writeStream.queryName(name).outputMode("append").foreachBatch(write)
+            .option("checkpointLocation", checkpoint).trigger(**trigger(once, seconds)).start())
+
+
 # -- progress ----------------------------------------------------------------
 
 def batch_summary(windows: DataFrame) -> DataFrame:

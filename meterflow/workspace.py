@@ -38,3 +38,19 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession, name)}/table"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, on any file system that Spark reaches; sorted."""
+    files, place = _place(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.delete(place, True)
