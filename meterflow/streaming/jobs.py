@@ -285,10 +285,13 @@ def raised_once(versions: DataFrame, settings: StreamSettings = StreamSettings()
     """The first breach of each rule, zone and window in a stream of window versions.
 
     The conditions seen are the stream's state. One is forgotten when the newest window
-    is ``horizon_windows`` after it; windows that old are no longer updated.
+    is ``horizon_windows`` after it: half of that passes until the watermark reaches it, half
+    until its memory runs out. Windows are updated for their length and the metrics' own
+    watermark only, so the watermark here is never shorter.
     """
-    horizon = f"{horizon_windows * settings.window_minutes} minutes"
-    marked = versions.withColumn("at", times.utc_to_instant("window_start")).withWatermark("at", horizon)
+    half = -(-horizon_windows * settings.window_minutes // 2)
+    delay = f"{max(half, settings.window_minutes + settings.watermark_minutes)} minutes"
+    marked = versions.withColumn("at", times.utc_to_instant("window_start")).withWatermark("at", delay)
     raised = rules.evaluate(marked, settings.timezone, limits, settings.window_minutes, keep=["at"])
     return raised.dropDuplicatesWithinWatermark(rules.IDENTITY)
 
