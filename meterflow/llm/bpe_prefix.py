@@ -6,7 +6,8 @@ yields while it reads the pretoken once; a candidate is right if it may stand ne
 last token of the prefix before it, that is if merging the pair's text again gives the
 pair. Back-pointers then give the exact ids, without replaying merges.
 
-Texts are cut into pretokens first; encodings of pretokens seen before are looked up.
+Texts are cut into pretokens first; encodings of those seen before are looked up, in two
+generations: a full young one becomes the old one, and what is met in the old one moves up.
 Defined results: null is as empty text, with no ids; repeated rows are encoded one by one;
 a special token's string in a text becomes its id. Extra columns are ignored.
 """
@@ -26,8 +27,11 @@ from meterflow.llm.common import column, pieces
 #: Fixed value: the pattern that cuts texts before byte-level merges.
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Encodings that a worker remembers; the store is emptied when full.
-REMEMBERED = 400_000
+#: Encodings that each generation of a worker's store remembers, of parts and of pretokens.
+REMEMBERED, PRETOKENS_REMEMBERED = 200_000, 100_000
+
+#: Letters of a part or pretoken that is remembered, at most.
+LONGEST = 64
 
 #: White space next to a space, at an end, or other than single line breaks between words.
 _UNEVEN = re.compile(r"^\s|\s$|\s\s")
@@ -41,6 +45,31 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Store:
+    """What was met lately, in two generations of bounded size."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def get(self, key: str):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value) -> None:
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
+def _joined(found: list[tuple[str, bytes, int]]) -> tuple[str, bytes, int]:
+    if not found:
+        return "", b"", 0
+    ids, decoded, counts = zip(*found, strict=True)
+    return ",".join(ids), b"".join(decoded), sum(counts)
+
+
 class Vocabulary:
     """Tokens, merges and pair tests of a byte-level vocabulary file."""
 
@@ -72,7 +101,7 @@ class Vocabulary:
         self.cut = regex.compile(PRETOKENS).findall
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.fits: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[str, bytes, int]] = {}
+        self.known, self.words = Store(REMEMBERED), Store(PRETOKENS_REMEMBERED)
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the text of both tokens together is encoded as just this pair.
@@ -123,46 +152,52 @@ class Vocabulary:
             n = start[n]
         return ids[::-1]
 
-    def _learn(self, unit: str) -> tuple[str, bytes, int]:
-        """Ids as text, bytes that they decode to and count, of a unit of pretokens."""
-        known = self.known
-        if len(known) >= REMEMBERED:
-            known.clear()
-        if len(self.fits) >= 4 * REMEMBERED:
-            self.fits.clear()
-        cut = self.cut(unit)
-        if len(cut) > 1:
-            found = [known.get(p) or self._learn(p) for p in cut]
-            out = ",".join(f[0] for f in found), b"".join(f[1] for f in found), sum(f[2] for f in found)
-            if len(unit) <= 32:
-                known[unit] = out
-            return out
-        ids = self.last_tokens(unit.encode())
-        out = ",".join(map(str, ids)), b"".join(map(self.text.__getitem__, ids)), len(ids)
-        if len(unit) <= 64:
-            known[unit] = out
-        return out
+    def _word(self, word: str) -> tuple[str, bytes, int]:
+        """Ids as text, bytes that they decode to and count, of a pretoken."""
+        ids = self.last_tokens(word.encode())
+        return ",".join(map(str, ids)), b"".join(map(self.text.__getitem__, ids)), len(ids)
+
+    def _known_word(self, word: str) -> tuple[str, bytes, int]:
+        found = self.words.get(word)
+        if found is None:
+            found = self._word(word)
+            if len(word) <= LONGEST:
+                self.words.put(word, found)
+        return found
+
+    def _part(self, part: str) -> tuple[str, bytes, int]:
+        """The same of a part of a text, made of whole pretokens or a special token."""
+        found = self.known.get(part)
+        if found is None:
+            if part in self.special:
+                found = str(self.special[part]), part.encode(), 1
+            else:
+                cut = self.cut(part)
+                found = self._word(part) if len(cut) == 1 else _joined([self._known_word(p) for p in cut])
+            if len(part) <= LONGEST:
+                self.known.put(part, found)
+        return found
 
-    def _units(self, text: str) -> list[str]:
+    def _parts(self, text: str) -> list[str]:
         """Parts of a text that no pretoken crosses: words with the space before them, or
-        pretokens where white space is uneven."""
-        if _UNEVEN.search(text):
-            return self.cut(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
+        pretokens where white space is uneven; special tokens stand for themselves."""
+        out = []
+        for k, part in enumerate(self.at_special.split(text) if self.at_special else [text]):
+            if k % 2 or not part:
+                out += [part] * (k % 2)
+            elif _UNEVEN.search(part):
+                out += self.cut(part)
+            else:
+                first, *rest = part.split(" ")
+                out += [first, *[" " + w for w in rest]]
+        return out
 
     def encode(self, text: str) -> tuple[str, bytes, int]:
         """Ids as decimal text joined by commas, bytes they decode to, number of ids."""
-        get, learn, found = self.known.get, self._learn, []
-        for part in self.at_special.split(text) if self.at_special else [text]:
-            if part in self.special:
-                found.append((str(self.special[part]), part.encode(), 1))
-            elif part:
-                found += [get(u) or learn(u) for u in self._units(part)]
-        if not found:
-            return "", b"", 0
-        ids, decoded, counts = zip(*found, strict=True)
-        return ",".join(ids), b"".join(decoded), sum(counts)
+        if len(self.fits) >= 1 << 20:
+            self.fits.clear()
+        get, part = self.known.young.get, self._part
+        return _joined([get(p) or part(p) for p in self._parts(text)])
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
