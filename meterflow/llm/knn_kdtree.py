@@ -9,12 +9,15 @@ other shards, where it ends most searches early. Shards meet queries in blocks b
 Defined results: vectors that are null or hold null or non-finite components take no part,
 neither do queries without partners; ties go to the smaller vec_id, null last; of repeated
 ids every row takes part and is left out only from its own search; only vectors of the
-same length are compared; scores must fit a long. Extra columns are ignored.
+same length are compared. Components are whole numbers of a long; a vector with one beyond
+that takes no part. Scores are compared as whole numbers of any size; one beyond a long is
+returned as the nearest long. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from meterflow.llm.common import column, kept
 
 SCALE, LEAF, SHARD_ROWS, BLOCK_ROWS = 256, 128, 8192, 512
-_LAST = np.iinfo(np.int64).max
+_LAST, _LEAST = np.iinfo(np.int64).max, np.iinfo(np.int64).min
 
 
 def whole_numbers(vectors: DataFrame) -> DataFrame:
@@ -40,11 +43,14 @@ def whole_numbers(vectors: DataFrame) -> DataFrame:
                 if v is None or any(x is None for x in v):
                     continue
                 x = np.array(v, dtype=float)
-                if np.isfinite(x).all():
+                if not np.isfinite(x).all():
+                    continue
+                x = np.floor(SCALE * x)
+                if (np.abs(x) < 2.0**63).all():
                     rows.append(row + k)
                     ids.append(i)
                     sizes.append(len(x))
-                    out.append(np.clip(np.floor(SCALE * x), -2.0**40, 2.0**40).astype("<i8").tobytes())
+                    out.append(x.astype("<i8").tobytes())
             row += batch.num_rows
             yield pa.record_batch(
                 [pa.array(rows, type=pa.int64()), pa.array(ids, type=pa.int64()), pa.array(sizes, type=pa.int32()), pa.array(out, type=pa.binary())],
@@ -87,10 +93,11 @@ class Tree:
     def search(self, rows: np.ndarray, q: np.ndarray, least: np.ndarray, k: int) -> list[list[tuple[int, int, int]]]:
         """For each query, up to k (score, -vec_id, row) at or above its least score."""
         top = max(int(np.abs(self.v).max(initial=0)), 1) * max(int(np.abs(q).max(initial=0)), 1) * max(1, self.v.shape[1])
-        kind = np.float64 if top < 1 << 53 else np.int64 if top < 1 << 63 else object
+        kind = np.float64 if top < 1 << 53 else np.int64 if top < 1 << 62 else object
         v, qs = self.v.astype(kind), q.astype(kind)
         bounds = np.maximum(qs, 0) @ self.high.astype(kind).T + np.minimum(qs, 0) @ self.low.astype(kind).T
-        return [self._one(int(rows[i]), qs[i], bounds[i], int(least[i]), k, v) for i in range(len(q))]
+        known = [int(x) if x > _LEAST else -math.inf for x in least]
+        return [self._one(int(rows[i]), qs[i], bounds[i], known[i], k, v) for i in range(len(q))]
 
     def _one(self, row, q, bound, kth, k, v):
         best: list[tuple[int, int, int]] = []
@@ -136,7 +143,7 @@ def _searched(pairs: DataFrame, k: int) -> DataFrame:
                     tree = Tree(np.array([m["row"] for m in members]), ids, _matrix(members, size))
                     last_key = size, shard
                 found = tree.search(np.array([q["row"] for q in queries]), _matrix(queries, size), np.array([q["least"] for q in queries]), k)
-                out = [(q["row"], q["vec_id"], None if -i == _LAST else -i, s) for q, best in zip(queries, found, strict=True) for s, i, _ in best]
+                out = [(q["row"], q["vec_id"], None if -i == _LAST else -i, max(_LEAST, min(_LAST, s))) for q, best in zip(queries, found, strict=True) for s, i, _ in best]
                 yield pa.record_batch(
                     [pa.array([x[c] for x in out], type=pa.int64()) for c in range(4)], names=["row", "query_id", "vec_id", "score"])
 
@@ -163,10 +170,10 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     def blocks(q: DataFrame) -> DataFrame:
         return q.groupBy("size", "block").agg(F.collect_list(F.struct("row", "vec_id", "v", "least")).alias("queries"))
 
-    first = blocks(queries.withColumn("least", F.lit(-(1 << 62)))).withColumn("shard", F.lit(0))
+    first = blocks(queries.withColumn("least", F.lit(_LEAST))).withColumn("shard", F.lit(0))
     found = kept(_searched(first.join(members, ["size", "shard"]), k), "first")
-    least = found.groupBy("row").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(-(1 << 62))).alias("least"))
-    rest = queries.join(least, "row", "left").withColumn("least", F.coalesce("least", F.lit(-(1 << 62))))
+    least = found.groupBy("row").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(_LEAST)).alias("least"))
+    rest = queries.join(least, "row", "left").withColumn("least", F.coalesce("least", F.lit(_LEAST)))
     many = F.element_at(per_size, F.col("size")).cast("int")
     rest = blocks(rest).where(many > 1).withColumn("shard", F.explode(F.sequence(F.lit(1), many - 1)))
     every_one = found.unionByName(_searched(rest.join(members, ["size", "shard"]), k))

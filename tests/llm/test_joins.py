@@ -179,6 +179,22 @@ def test_large_values_are_exact(spark):
     assert got == nearest(rows, 2, 50)
 
 
+@pytest.mark.parametrize("query", [[1.0, 1.0], [1 / 256, 1 / 256], [-1 / 256, 1 / 256]])
+def test_values_up_to_a_long_keep_rank_and_score(spark, query):
+    rows = [(0, query), (1, [2.0**33, 2.0**33]), (2, [2.0**34, 2.0**34]), (3, [2.0**34, 2.0**33]), (4, [-2.0**34, 1.0]), (5, [0.5, 2.0**34 + 4])]
+    if abs(query[0]) < 1:
+        rows += [(6, [2.0**50, 2.0**50]), (7, [2.0**50, 2.0**50 + 1024]), (8, [-2.0**50, 2.0**50])]
+    unusable = [(9, [2.0**56, 1.0]), (10, [1e300, -1e300])]     # no whole number of a long
+    df = spark.createDataFrame(rows + unusable, "vec_id long, embedding array<double>")
+    assert sorted((tuple(r) for r in knn_kdtree.search(df, 5).collect()), key=str) == nearest(rows, 5, 50)
+
+
+def test_scores_beyond_a_long_are_the_nearest_long(spark):
+    rows = [(0, [2.0**54, 0.0]), (1, [2.0**54, 1.0]), (2, [-2.0**54, 1.0]), (3, [1.0, 1.0])]
+    got = knn_kdtree.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5).collect()
+    assert [(r.vec_id, r.score) for r in sorted(got)] == [(1, 2**63 - 1), (3, 2**63 - 1), (2, -2**63)]
+
+
 def test_whole_table_links(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
