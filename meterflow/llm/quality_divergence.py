@@ -6,8 +6,8 @@ distance. Texts that are too short for a histogram are not judged by it. Beside
 plain counts give a base rule on length and repeated passages.
 
 Defined results: null is as empty text, with no words, and fails the base rule; a null
-language is a language of its own; repeated rows are judged one by one; a language among
-more than LANGUAGES that has fewest documents has no reference and is not judged by one.
+language is a language of its own; repeated rows are judged one by one; every language has
+a reference, and a text whose language has no words at all has no distance of words.
 Extra columns are ignored.
 """
 
@@ -21,8 +21,11 @@ from meterflow.llm.common import kept
 #: White space between words, characters that count as symbols.
 SPACES, SYMBOLS = r"[\x20\x09-\x0D]+", r"[#*$%&|<>]"
 CLASSES = {"upper": r"\p{Lu}", "digit": r"[0-9]", "mark": r"[.,;:!?'\"()-]", "symbol": SYMBOLS}
-#: Common words per language and their length at most; languages with a reference.
-COMMON, COMMON_LETTERS, LANGUAGES = 16, 8, 1000
+#: Common words per language and their length at most.
+COMMON, COMMON_LETTERS = 16, 8
+#: Languages, and bytes of their names, up to which what is known of them is broadcast; beyond
+#: it the join is left to adaptive execution, with the same result.
+BROADCAST_LANGUAGES, BROADCAST_BYTES = 20_000, 1 << 20
 #: Words that a text needs to be compared, and distances from which it is refused.
 LEAST_WORDS, FAR_CLASSES, FAR_WORDS = 50, 0.3, 0.45
 
@@ -43,8 +46,14 @@ def common_words(docs: DataFrame, size: int = COMMON) -> DataFrame:
     whole = Window.partitionBy("lang").orderBy(*best)
     top = counts.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= size)
     top = top.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= size)
-    return top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word")))["word"].alias("common"), F.sum("count").alias("weight")).orderBy(
-        F.desc("weight"), "lang").limit(LANGUAGES).select(F.col("lang").alias("of"), "common")
+    return top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word")))["word"].alias("common")).select(
+        F.col("lang").alias("of"), "common")
+
+
+def small(languages: DataFrame) -> bool:
+    """Whether a table with a row per language, ``of``, is small enough to be broadcast."""
+    many, named = languages.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("of")), F.lit(0))).first()
+    return many <= BROADCAST_LANGUAGES and named <= BROADCAST_BYTES
 
 
 def figures(docs: DataFrame, common: DataFrame) -> DataFrame:
@@ -56,7 +65,7 @@ def figures(docs: DataFrame, common: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     one = docs.select("doc_id", "lang", text.alias("text"), words(F.col("text")).alias("w"))
-    one = one.join(F.broadcast(common), F.col("lang").eqNullSafe(F.col("of")), "left")
+    one = one.join(common, F.col("lang").eqNullSafe(F.col("of")), "left")
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     one = one.select(
         "doc_id", "lang", "w", "common",
@@ -95,13 +104,15 @@ def distance(p: Column, q: Column) -> Column:
         return F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(F.lit(0.0))
 
     shares = F.zip_with(p, q, lambda x, y: F.struct((x / total(p)).alias("p"), (y / total(q)).alias("q")))
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(
-        shares, F.lit(0.0), lambda s, b: s + (part(b.p, b.q) + part(b.q, b.p)) / 2)))
+    divergence = F.aggregate(shares, F.lit(0.0), lambda s, b: s + (part(b.p, b.q) + part(b.q, b.p)) / 2)
+    return F.when(p.isNotNull() & q.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), divergence)))
 
 
 def judged(docs: DataFrame) -> DataFrame:
     """doc_id, the base figures, base_failed and kept, with both distances, of every document."""
-    each = kept(figures(docs, common_words(docs)), "figures")
+    common = kept(common_words(docs), "common-words")
+    few = small(common)
+    each = kept(figures(docs, F.broadcast(common) if few else common), "figures")
     letters = F.col("word_chars") - sum(F.col(f"class_{name}") for name in CLASSES)
     classes = F.array(*[F.col(f"class_{name}") for name in CLASSES], letters, F.col("chars") - F.col("word_chars"))
     seen = F.aggregate("common_counts", F.lit(0).cast("long"), lambda s, x: s + x)
@@ -110,10 +121,10 @@ def judged(docs: DataFrame) -> DataFrame:
         "of_words", F.transform(of_words, lambda x: x.cast("double")))
     sums = [F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES) + 2)]
     sums += [F.sum(F.get("of_words", F.lit(i))).alias(f"w{i}") for i in range(COMMON + 1)]
-    reference = each.groupBy("lang").agg(F.count("*").alias("docs"), *sums).orderBy(F.desc("docs"), "lang").limit(LANGUAGES).select(
+    reference = each.groupBy("lang").agg(*sums).select(
         F.col("lang").alias("of"), F.array(*[f"c{i}" for i in range(len(CLASSES) + 2)]).alias("ref_classes"),
         F.filter(F.array(*[f"w{i}" for i in range(COMMON + 1)]), lambda x: x.isNotNull()).alias("ref_words"))
-    with_reference = each.join(F.broadcast(reference), F.col("lang").eqNullSafe(F.col("of")), "left")
+    with_reference = each.join(F.broadcast(reference) if few else reference, F.col("lang").eqNullSafe(F.col("of")), "left")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     far = (F.col("js_classes") > FAR_CLASSES) | (F.col("js_words") > FAR_WORDS)
     return with_reference.select(

@@ -91,6 +91,36 @@ def test_odd_rows(spark):
     assert q.judged(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [q.BROADCAST_LANGUAGES, 10])
+def test_every_one_of_many_languages_has_its_reference(spark, tmp_path, monkeypatch, most):
+    """Also where the table of languages is too large to be broadcast, and equal to the SQL."""
+    import duckdb
+
+    from tests.compare import compare
+
+    monkeypatch.setattr(q, "BROADCAST_LANGUAGES", most)
+    rows = []
+    for i in range(1500):
+        text = " ".join(f"{'AbC'[i % 3]}w{i % 7}{k % 9}{'.' * (k % 4)}" for k in range(60))
+        rows += [(2 * i, text, f"lang{i}"), (2 * i + 1, text if i % 5 else "#1 " * 55 + "x y z", f"lang{i}")]
+    rows += [(9001, " ... ", "mute"), (9002, None, "mute"), (9003, "a b " * 30, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    build = lambda s, d: q.judged(table(s, d, "documents")).drop("js_classes", "js_words")
+    assert compare(spark, con, "op5", build, q.ORACLE, str(tmp_path)) is None
+    found = q.judged(docs)
+    assert found.where("n_words > 0 and (js_classes is null or js_words is null)").count() == 0
+    assert sorted((tuple(r) for r in found.select(*FIELDS).collect()), key=str) == verdicts(rows)
+
+
+def test_an_absent_histogram_has_no_distance(spark):
+    from pyspark.sql import functions as F
+    none = F.lit(None).cast("array<double>")
+    assert spark.range(1).select(q.distance(F.array(F.lit(1.0)), none).alias("d")).first().d is None
+
+
 @pytest.mark.parametrize("p, r, want", [([1, 0], [0, 1], 1.0), ([2, 2], [1, 1], 0.0), ([0, 0], [1, 1], None)])
 def test_distance(spark, p, r, want):
     from pyspark.sql import functions as F
