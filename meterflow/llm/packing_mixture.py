@@ -3,7 +3,10 @@
 Each source is a queue of tokens. In a round every queue adds its quantum to its deficit,
 serves the whole tokens in it and carries the rest to the next round. The tokens served
 stand one behind another, and every 2048 of them are a sequence, so each sequence holds
-the target proportions to within a few tokens, and only the last one is padded.
+the target proportions to within a few tokens, and only the last one is padded. With very
+many sources that cuts documents into single tokens. ``run`` then makes a round as many
+sequences as a source of mean share needs to serve that many tokens at once: with 64, one
+sequence for up to 32 sources, and more for more. Proportions then hold over a round.
 
 What a queue has served after r rounds is floor(carry + r * quantum), whatever happened
 in other queues or tasks. So the deficit that a partition's first document meets is known
@@ -38,11 +41,14 @@ from pyspark.sql import functions as F
 from meterflow.llm.common import bytes_of, column, kept, pieces
 
 LENGTH, END = 2048, 1
+#: Tokens that a source of mean share serves at once where ``run`` asks for it.
+RUN = 64
 #: Sources with most rows whose totals the driver holds; all others are dealt inside one queue more.
 QUEUES = 255
 #: Rows of (part, queue) offsets, about 40 bytes each, up to which they are broadcast.
 BROADCAST_ROWS = 500_000
-REMEMBERED = 700_000
+#: Words, and pretokens, that each of a worker's two generations remembers.
+REMEMBERED = 350_000
 
 #: Fixed value: how the word vocabulary cuts text, here for lower-case ASCII and Latin-1
 #: letters, which no normalisation changes further. Other words go to the library whole.
@@ -92,6 +98,8 @@ class Words:
         self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.whole: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_whole: dict[bytes, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     def _ask(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -109,12 +117,15 @@ class Words:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as bytes of ``kind``."""
         split = [t.split() for t in texts]
-        whole, parts = self.whole, self.parts
-        if len(whole) > REMEMBERED:
-            whole.clear()
-        if len(parts) > REMEMBERED:
-            parts.clear()
-        new = [w for w in set().union(*split) if w not in whole]
+        if len(self.whole) > REMEMBERED:
+            self.old_whole, self.whole = self.whole, {}
+        if len(self.parts) > REMEMBERED:
+            self.old_parts, self.parts = self.parts, {}
+        whole, parts, old, old_parts = self.whole, self.parts, self.old_whole, self.old_parts
+        new = set().union(*split).difference(whole)
+        for w in new.intersection(old):
+            whole[w] = old[w]
+        new = list(new.difference(whole))
         cuts, other = {}, []
         for w in new:
             text = w.decode()
@@ -123,7 +134,10 @@ class Words:
             else:
                 other.append((w, text))
         whole.update(zip([w for w, _ in other], self._ask([t for _, t in other]), strict=True))
-        unknown = list(set().union(*cuts.values()).difference(parts))
+        unknown = set().union(*cuts.values()).difference(parts)
+        for p in unknown.intersection(old_parts):
+            parts[p] = old_parts[p]
+        unknown = list(unknown.difference(parts))
         for i in range(0, len(unknown), 4096):
             some = unknown[i:i + 4096]
             parts.update(zip(some, self._ask_pretokens(some), strict=True))
@@ -189,19 +203,17 @@ class Rounds:
 
     shared = -1
 
-    def __init__(self, totals: list[int], weights: list[float] | None = None):
+    def __init__(self, totals: list[int], weights: list[float] | None = None, served_in_round: int = LENGTH):
         left = np.array(totals, dtype=np.int64)
         self.phases = []
         done, carry, start = np.zeros_like(left), np.zeros_like(left), 0
-        if weights is None and left.sum() > 1 << 36:  # then whole numbers of 64 bits don't hold the products
-            weights = left.tolist()
         while left.sum():
             if weights is None:
-                unit, quantum = int(left.sum()), LENGTH * left
-                rounds = -(-unit // LENGTH)
+                unit, quantum = int(left.sum()), served_in_round * left
+                rounds = -(-unit // served_in_round)
             else:
                 unit, w = 1 << 20, np.where(left > 0, np.maximum(weights, 1e-9), 0.0)
-                quantum = np.where(left > 0, np.maximum(1, w / w.sum() * LENGTH * unit), 0).astype(np.int64)
+                quantum = np.where(left > 0, np.maximum(1, w / w.sum() * served_in_round * unit), 0).astype(np.int64)
                 rounds = min(-(-(int(t) * unit - int(c)) // int(q)) for t, c, q in zip(left, carry, quantum, strict=True) if t)
             served = np.array([min(int(t), (int(c) + rounds * int(q)) // unit) for t, c, q in zip(left, carry, quantum, strict=True)])
             self.phases.append((done.copy(), left.copy(), carry.copy(), quantum, unit, rounds, served, start))
@@ -367,13 +379,15 @@ def paths(indexed: DataFrame, many: int) -> DataFrame:
 
 
 def pack(
-    docs: DataFrame, path: str, weights: dict[str, float] | None = None, queues: int = QUEUES, with_ids: bool = False,
+    docs: DataFrame, path: str, weights: dict[str, float] | None = None, queues: int = QUEUES, with_ids: bool = False, run: int = 1,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset
     and queue, one for each source; with_ids adds the piece's ids.
 
     ``weights`` sets the target share of sources while they last, each source not named
-    having weight 1; without it all sequences have the whole table's proportions.
+    having weight 1; without it all sequences have the whole table's proportions. ``run`` is
+    the least run of a source of mean share; sources that share a queue by weights serve
+    single tokens whatever it is.
     """
     own, others = own_queues(docs, queues, weights)
     by_queue = None if weights is None else [float(weights.get(s, 1.0)) for s in own]
@@ -383,12 +397,13 @@ def pack(
     bases = kept(sums.select("part", "queue", "source", "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base")), "bases")
     by_sum = {r.queue: r.total for r in bases.groupBy("queue").agg(F.sum("size").alias("total")).collect()}
     totals = [by_sum.get(k, 0) for k in range(max(by_sum, default=-1) + 1)]
-    small, on, most, turns = bases.drop("size", "source"), ["part", "queue"], BROADCAST_ROWS, None
+    small, on, most, turns, shared = bases.drop("size", "source"), ["part", "queue"], BROADCAST_ROWS, None, 0
     if others:
         sizes = kept(bases.where(F.col("queue") == len(own)).groupBy("source").agg(F.sum("size").alias("size")), "sizes")
         indexed = kept(leaves(sizes, weights is not None), "leaves")
+        shared = indexed.count()
         if weights is None:
-            indexed = kept(paths(indexed, indexed.count()), "paths")
+            indexed = kept(paths(indexed, shared), "paths")
         else:
             indexed = indexed.withColumn("beside", F.lit(None).cast("array<long>"))
             turns = Turns(*zip(*[(r["size"], r["count"]) for r in sizes.groupBy("size").count().collect()], strict=True))
@@ -398,8 +413,9 @@ def pack(
             {"part": "b_part", "queue": "b_queue", "source": "b_source"}), "shared-bases")
         on = (F.col("part") == F.col("b_part")) & (F.col("queue") == F.col("b_queue")) & F.col("source").eqNullSafe(F.col("b_source"))
         most //= 8
-    rounds = SharedRounds(totals, by_queue, turns) if turns else Rounds(totals, by_queue)
-    block = max(1, LENGTH * by_sum.get(len(own), 0) // max(1, sum(totals)))
+    served_in_round = LENGTH * max(1, -(-run * (len(own) + shared) // LENGTH))
+    rounds = SharedRounds(totals, by_queue, turns) if turns else Rounds(totals, by_queue, served_in_round)
+    block = max(1, served_in_round * by_sum.get(len(own), 0) // max(1, sum(totals)))
     placed = written.join(F.broadcast(small) if small.count() <= most else small, on)
 
     def place(batch: pa.RecordBatch, queue: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -422,7 +438,7 @@ def pack(
         queue[rows] += index
         return *(np.concatenate(c) for c in found), queue
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "ids"):
             n = column(batch, "n").to_numpy().astype(np.int64)
             queue = column(batch, "queue").to_numpy().astype(np.int64)
@@ -446,4 +462,4 @@ def pack(
     schema = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, queue int"
               + ", ids array<int>" * with_ids)
     more = ["index", "size", "beside"] if others else []
-    return placed.select("doc_id", "queue", "at", "n", "base", "ids", *more).mapInArrow(run, schema)
+    return placed.select("doc_id", "queue", "at", "n", "base", "ids", *more).mapInArrow(placed_pieces, schema)

@@ -46,7 +46,7 @@ def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing_mixture.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return packing_mixture.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), run=packing_mixture.RUN)
 
 
 def op7_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,6 +42,15 @@ def test_every_token_is_its_own_encoding_or_not_as_merges_say():
             assert own.encode(text)[0] == ",".join(map(str, library.encode(text, add_special_tokens=False).ids))
 
 
+def test_small_stores_change_nothing():
+    """Generations that fill within a text, and parts met again in the old one."""
+    library, own = Tokenizer.from_file(BYTES), bpe_prefix.Vocabulary(BYTES)
+    own.known, own.words = bpe_prefix.Store(3), bpe_prefix.Store(2)
+    for text in ["the cat and the dog", "dog the  and, and the", "x" * 70 + " cat cat", "one two three four five six", "the cat"] * 3:
+        assert own.encode(text)[0] == ",".join(map(str, library.encode(text, add_special_tokens=False).ids))
+        assert len(own.known.young) <= 3 and len(own.known.old) <= 3
+
+
 def test_bpe_query_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, "the the", "x"), (3, "the the", "x"), (None, "ü" * 40_000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
@@ -66,6 +75,14 @@ def test_words_equal_the_library():
             assert np.frombuffer(ids, own.kind).tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_with_small_stores(monkeypatch):
+    monkeypatch.setattr(packing_mixture, "REMEMBERED", 5)
+    own = packing_mixture.Words(WORDS)
+    for some in (["the cat, and the dog", "a b c d e f g"], ["the DOG's é cat"], ["x y z the cat"], ["a b dog"]):
+        for text, ids in zip(some, own.encode(packing_mixture.loosened(*bytes_of(pa.array(some)))), strict=True):
+            assert np.frombuffer(ids, own.kind).tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("weighted", [False, True])
 def test_rounds_place_each_token_once_and_hold_proportions(weighted):
     rng = random.Random(5)
@@ -181,6 +198,35 @@ def test_every_one_of_a_thousand_sources_keeps_its_share(spark):
         assert all(abs(w[s] - 2048 * n / everything) <= 4 for s, n in total.items())
 
 
+def test_runs_of_many_sources_are_not_single_tokens(spark):
+    """Pieces stay within tokens / run and documents; at no round's end has a source had more
+    or less than its share by more than one run, however many rounds went before."""
+    rng = random.Random(4)
+    rows = [(i, "the cat and dog " * rng.randint(40, 160), f"site{i % 1000}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    checked(spark, docs, run=64)
+    found = packing_mixture.pack(docs, WORDS, run=64).collect()
+    tokens, source_of = sum(r.length for r in found), {i: s for i, _, s in rows}
+    assert len(found) <= 1.5 * tokens / 64 + 3 * len(rows) + tokens / 2048
+    windows, total = shares_of_sequences(found, source_of), Counter()
+    for r in found:
+        total[source_of[r.doc_id]] += r.length
+    in_round = -(-64 * 1000 // 2048)
+    for k in range(in_round, len(windows), in_round):
+        so_far = sum(windows[:k], Counter())
+        assert all(abs(so_far[s] - k * 2048 * n / tokens) <= in_round * 2048 * n / tokens + 8 for s, n in total.items())
+
+
+def test_rounds_of_several_windows_place_each_token_once():
+    rounds = packing_mixture.Rounds([90_000, 500, 3, 0], None, 3 * 2048)
+    which, start, length, place = rounds.place(np.arange(4), np.zeros(4, dtype=np.int64), np.array([90_000, 500, 3, 0]))
+    owner = np.full(90_503, -1)
+    for w, n, p in zip(which, length, place, strict=True):
+        assert (owner[p:p + n] == -1).all()
+        owner[p:p + n] = w
+    assert (owner >= 0).all() and np.bincount(owner).tolist() == [90_000, 500, 3]
+
+
 def test_shared_sources_serve_by_weight_while_they_last(spark):
     """A weight given to a source that was not among the largest was ignored."""
     rows = [(i, "the cat and dog " * (4 + i % 7 * 20), f"site{i % 50}") for i in range(500)] + [(1000, "a dog " * 4000, "rare")]
