@@ -34,8 +34,8 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all texts into sequences, each with the sources' proportions."""
-    return packing_mixture.pack(docs, tokenizer_file("word_bpe_49k.json"))
+    """Packs all texts into sequences with the sources' proportions."""
+    return packing_mixture.pack(docs, tokenizer_file("word_bpe_49k.json"), run=packing_mixture.RUN)
 
 
 STAGES = [
