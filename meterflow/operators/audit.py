@@ -217,3 +217,52 @@ def day_crossings(readings: DataFrame, arrival_day: Column) -> DataFrame:
 def missing_columns(df: DataFrame, required: set[str]) -> list[str]:
     """Schema check: required columns the frame does not have."""
     return sorted(set(required) - set(df.columns))
+
+
+# -- where two tables differ ---------------------------------------------------
+
+def fingerprints(df: DataFrame, by: list[str], key: list[str], columns: list[str], parts: int = 256) -> DataFrame:
+    """rows and mark, the sum of the rows' hashes, per group and range of the key's hash.
+
+    Sums do not depend on order, and repeated rows count. A table's fingerprints can be
+    kept and compared with those of any copy of it; coarser ones are sums of these.
+    """
+    part = F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int").alias("part")
+    mark = F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).alias("mark")
+    return df.groupBy(*by, part).agg(F.count(F.lit(1)).alias("rows"), mark)
+
+
+def differing_ranges(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Groups and ranges whose fingerprints differ: by, part, rows on both sides.
+
+    Groups are compared first, on the sums of their ranges; the ranges of equal ones never
+    meet.
+    """
+    def whole(marks: DataFrame, side: str) -> DataFrame:
+        return marks.groupBy(*by).agg(F.sum("rows").alias(f"{side}_rows"), F.sum("mark").alias(f"{side}_mark"))
+
+    def differ(both: DataFrame) -> DataFrame:
+        same = F.col("left_rows").eqNullSafe(F.col("right_rows")) & F.col("left_mark").eqNullSafe(F.col("right_mark"))
+        return both.where(~same)
+
+    groups = differ(whole(left, "left").join(whole(right, "right"), by, "full_outer")).select(*by)
+    sides = [m.join(groups, by, "left_semi").select(*by, "part", F.col("rows").alias(f"{side}_rows"), F.col("mark").alias(f"{side}_mark"))
+             for m, side in ((left, "left"), (right, "right"))]
+    return differ(sides[0].join(sides[1], [*by, "part"], "full_outer")).select(
+        *by, "part", *[F.coalesce(f"{side}_rows", F.lit(0)).alias(f"{side}_rows") for side in ("left", "right")])
+
+
+def differing_rows(left: DataFrame, right: DataFrame, ranges: DataFrame, by: list[str], key: list[str], columns: list[str],
+                   parts: int = 256) -> DataFrame:
+    """Rows that one side has more often: by, the columns, and ``more`` (negative: the right side).
+
+    Only rows of the given ranges are compared. Where ``by`` are partition columns of a
+    stored side and ranges are few enough to be broadcast, other partitions' files are not
+    opened: the condition on ranges, which always holds, lets Spark prune by them.
+    """
+    part = F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")
+    ranges = ranges.where("left_rows + right_rows > 0")
+    chosen = [df.withColumn("part", part).join(ranges.select(*by, "part"), [*by, "part"], "left_semi").select(*by, *columns, F.lit(n).alias("n"))
+              for df, n in ((left, 1), (right, -1))]
+    counted = chosen[0].unionByName(chosen[1]).groupBy(*by, *columns).agg(F.sum("n").alias("more"))
+    return counted.where("more <> 0")

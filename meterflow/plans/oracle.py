@@ -447,6 +447,12 @@ _Q = {
   solar::DOUBLE AS solar_generation_kwh FROM uniq WHERE sim_day = DATE '2024-01-15'""",
     "rates_of_day": """SELECT sim_day::VARCHAR AS sim_day, household_id, tariff_rate::DOUBLE AS tariff_rate, billing_tier,
   subsidy_flag FROM tariff WHERE sim_day = DATE '2024-01-15'""",
+    "report_in_order": """SELECT sim_day::VARCHAR AS sim_day, count(*) AS "rows", true AS in_order FROM bills GROUP BY 1""",
+    "usage_from_buckets": """SELECT sim_day::VARCHAR AS sim_day, household_id, grid_zone, c::DOUBLE AS total_consumption_kwh,
+  s::DOUBLE AS total_solar_kwh, m AS active_meters FROM usage""",
+    "layer_difference_rows": """SELECT sim_day::VARCHAR AS sim_day, grid_zone, meter_id, "timestamp", used::DOUBLE AS power_consumption_kwh,
+  solar::DOUBLE AS solar_generation_kwh, ingested_at, count(*) AS more FROM (
+   SELECT * FROM stored EXCEPT ALL SELECT * FROM uniq) GROUP BY ALL""",
     "windows_of_day": f"""SELECT {WINDOW_FIELDS} FROM windows WHERE CAST(window_start + {LOCAL} AS DATE) = DATE '2024-01-15'""",
     "run_findings": """SELECT 'refused' AS level, 'without a rate' AS finding, sim_day::VARCHAR AS sim_day, count(*) AS households
   FROM usage JOIN household USING (household_id) WHERE segment = 'MACHINERY' GROUP BY ALL

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -11,7 +12,7 @@ from meterflow.functions import hashing, times
 from meterflow.operators import (alerts, audit, billing, counters, dedupe, energy, joins, keyed,
                                  ledger, ordering, sampling)
 from meterflow.plans import billing_run, reports, streams
-from meterflow.sources import records, reports as report_files, standin, store, tariff_files
+from meterflow.sources import bucketed, records, reports as report_files, standin, store, tariff_files
 from meterflow.workspace import materialised, shared_folder
 
 TZ = settings.TIMEZONE
@@ -781,9 +782,40 @@ def csv_tariff_typed(m):
 @query
 def report_roundtrip(m):
     """The bill report written per day, read back and counted against the bills."""
+    path, bills = shared_folder(m.spark, "report"), materialised(m.bills(), "bills")
+    report_files.write_report(bills, path)
+    return report_files.check_report(report_files.read_report(m.spark, path), bills)
+
+
+@query
+def report_in_order(m):
+    """The bill report read file by file: rows per day and whether they are in order."""
     path = shared_folder(m.spark, "report")
-    report_files.write_report(m.bills(), path)
-    return report_files.check_report(report_files.read_report(m.spark, path), m.bills())
+    report_files.write_report(materialised(m.bills(), "bills"), path)
+    return report_files.report_order(m.spark, path)
+
+
+@query
+def usage_from_buckets(m):
+    """Daily usage from a store in buckets of the household, replays included."""
+    path, table = shared_folder(m.spark, "bucketed"), f"readings_{uuid.uuid4().hex}"
+    bucketed.write_bucketed(m.stored(), table, f"{path}/readings", buckets=32)
+    return bucketed.daily_usage(m.spark, table)
+
+
+@query
+def layer_difference_rows(m):
+    """The readings that a store with replays holds more often than one without, found by
+    fingerprints: groups, then ranges, then the rows of differing ranges."""
+    columns = ["meter_id", "timestamp", "power_consumption_kwh", "solar_generation_kwh", "ingested_at"]
+    by, key, stores = ["sim_day", "grid_zone"], ["meter_id", "timestamp"], []
+    for name, rows in (("replayed", m.stored()), ("unique", m.unique())):
+        path = shared_folder(m.spark, name)
+        store.append_readings(rows.select(*records.READING_COLUMNS), path)
+        stores.append(store.read_readings(m.spark, path, dedupe=False))
+    marks = [materialised(audit.fingerprints(s, by, key, columns), "fingerprints") for s in stores]
+    ranges = materialised(audit.differing_ranges(*marks, by), "ranges")
+    return audit.differing_rows(*stores, ranges, by, key, columns)
 
 
 @query
