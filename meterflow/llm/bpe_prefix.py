@@ -27,8 +27,9 @@ from meterflow.llm.common import column, pieces
 #: Fixed value: the pattern that cuts texts before byte-level merges.
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Encodings that each generation of a worker's store remembers, of parts and of pretokens.
-REMEMBERED, PRETOKENS_REMEMBERED = 200_000, 100_000
+#: Encodings that each generation of a worker's stores remembers: of words with a space
+#: before them, and of all other parts.
+REMEMBERED = 250_000
 
 #: Letters of a part or pretoken that is remembered, at most.
 LONGEST = 64
@@ -45,29 +46,18 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Store:
-    """What was met lately, in two generations of bounded size."""
+class Lately(dict):
+    """Values worked out when they are first asked for; long keys are not kept."""
 
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
 
-    def get(self, key: str):
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
-        return found
-
-    def put(self, key: str, value) -> None:
-        if len(self.young) >= self.most:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
-
-
-def _joined(found: list[tuple[str, bytes, int]]) -> tuple[str, bytes, int]:
-    if not found:
-        return "", b"", 0
-    ids, decoded, counts = zip(*found, strict=True)
-    return ",".join(ids), b"".join(decoded), sum(counts)
+    def __missing__(self, key: str) -> str:
+        value = self.learn(key)
+        if len(key) <= LONGEST:
+            self[key] = value
+        return value
 
 
 class Vocabulary:
@@ -100,8 +90,11 @@ class Vocabulary:
         self.automaton.make_automaton()
         self.cut = regex.compile(PRETOKENS).findall
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.known, self.words = Store(REMEMBERED), Store(PRETOKENS_REMEMBERED)
+        self.fits: dict[int, bool] = {}
+        self.most = REMEMBERED
+        self.old: dict[str, str] = {}
+        self.old_other: dict[str, str] = {}
+        self.spaced, self.other = Lately(self._spaced), Lately(self._other)
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the text of both tokens together is encoded as just this pair.
@@ -139,9 +132,9 @@ class Vocabulary:
             if before == -2:
                 ok = True
             else:
-                ok = fits.get((before, token))
+                ok = fits.get(before << 32 | token)
                 if ok is None:
-                    ok = fits[before, token] = compatible(before, token)
+                    ok = fits[before << 32 | token] = compatible(before, token)
             if ok:
                 last[here], start[here] = token, here - size
         ids = []
@@ -152,52 +145,58 @@ class Vocabulary:
             n = start[n]
         return ids[::-1]
 
-    def _word(self, word: str) -> tuple[str, bytes, int]:
-        """Ids as text, bytes that they decode to and count, of a pretoken."""
-        ids = self.last_tokens(word.encode())
-        return ",".join(map(str, ids)), b"".join(map(self.text.__getitem__, ids)), len(ids)
-
-    def _known_word(self, word: str) -> tuple[str, bytes, int]:
-        found = self.words.get(word)
+    def _word(self, word: str) -> str:
+        """Ids of a pretoken, which decode to its own bytes."""
+        data = word.encode()
+        ids = self.last_tokens(data)
+        if b"".join(map(self.text.__getitem__, ids)) != data:
+            raise ValueError(f"{word!r} is not what its tokens decode to")
+        return ",".join(map(str, ids))
+
+    def _spaced(self, word: str) -> str:
+        """Ids of the pretokens of a word and the space before it."""
+        found = self.old.get(word)
         if found is None:
-            found = self._word(word)
-            if len(word) <= LONGEST:
-                self.words.put(word, found)
+            cut = self.cut(" " + word)
+            found = self._word(cut[0]) if len(cut) == 1 else ",".join(map(self.other.__getitem__, cut))
         return found
 
-    def _part(self, part: str) -> tuple[str, bytes, int]:
-        """The same of a part of a text, made of whole pretokens or a special token."""
-        found = self.known.get(part)
+    def _other(self, part: str) -> str:
+        """Ids of pretokens without a space before them, or of a special token."""
+        found = self.old_other.get(part)
         if found is None:
-            if part in self.special:
-                found = str(self.special[part]), part.encode(), 1
+            cut = [part] if part in self.special else self.cut(part)
+            if len(cut) > 1:
+                found = ",".join(map(self.other.__getitem__, cut))
             else:
-                cut = self.cut(part)
-                found = self._word(part) if len(cut) == 1 else _joined([self._known_word(p) for p in cut])
-            if len(part) <= LONGEST:
-                self.known.put(part, found)
+                found = str(self.special[part]) if part in self.special else self._word(part)
         return found
 
-    def _parts(self, text: str) -> list[str]:
-        """Parts of a text that no pretoken crosses: words with the space before them, or
-        pretokens where white space is uneven; special tokens stand for themselves."""
-        out = []
-        for k, part in enumerate(self.at_special.split(text) if self.at_special else [text]):
-            if k % 2 or not part:
-                out += [part] * (k % 2)
-            elif _UNEVEN.search(part):
-                out += self.cut(part)
-            else:
-                first, *rest = part.split(" ")
-                out += [first, *[" " + w for w in rest]]
-        return out
-
     def encode(self, text: str) -> tuple[str, bytes, int]:
-        """Ids as decimal text joined by commas, bytes they decode to, number of ids."""
+        """Ids as decimal text joined by commas, bytes they decode to, number of ids.
+
+        Parts that no pretoken crosses are looked up: words with the space before them, or
+        pretokens where white space is uneven. What a part's ids decode to has been found
+        equal to it, so the text's decoding is its parts in a row.
+        """
+        if len(self.spaced) >= self.most:
+            self.old, self.spaced = self.spaced, Lately(self._spaced)
+        if len(self.other) >= self.most:
+            self.old_other, self.other = self.other, Lately(self._other)
         if len(self.fits) >= 1 << 20:
             self.fits.clear()
-        get, part = self.known.young.get, self._part
-        return _joined([get(p) or part(p) for p in self._parts(text)])
+        found = []
+        for k, part in enumerate(self.at_special.split(text) if self.at_special else [text]):
+            if k % 2:
+                found.append(self.other[part])
+            elif _UNEVEN.search(part):
+                found += map(self.other.__getitem__, self.cut(part))
+            elif part:
+                first, *rest = part.split(" ")
+                found.append(self.other[first])
+                found += map(self.spaced.__getitem__, rest)
+        ids = ",".join(found)
+        return ids, text.encode(), ids.count(",") + 1 if ids else 0
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
