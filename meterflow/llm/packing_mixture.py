@@ -47,6 +47,8 @@ RUN = 64
 QUEUES = 255
 #: Rows of (part, queue) offsets, about 40 bytes each, up to which they are broadcast.
 BROADCAST_ROWS = 500_000
+#: Bytes of text whose words are made distinct at once.
+PIECE = 4 << 20
 #: Words, and pretokens, that each of a worker's two generations remembers.
 REMEMBERED = 350_000
 
@@ -107,7 +109,8 @@ class Words:
 
     def _ask_pretokens(self, words: list[str]) -> list[bytes]:
         """Ids of single pretokens: asked for as one text, and parted where words end."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=self.kind)
+        found = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, dtype=self.kind)
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(words):
             return self._ask(words)
@@ -143,7 +146,8 @@ class Words:
             parts.update(zip(some, self._ask_pretokens(some), strict=True))
         for w, cut in cuts.items():
             whole[w] = parts[cut[0]] if len(cut) == 1 else b"".join([parts[p] for p in cut])
-        return [b"".join([whole[w] for w in words]) for words in split]
+        get = whole.__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
 
 _LOADED: dict[str, Words] = {}
@@ -168,7 +172,7 @@ def tokens(docs: DataFrame, path: str, own: list[str | None]) -> DataFrame:
         words = _LOADED[path]
         end = np.array([END], dtype=words.kind).tobytes()
         part, served = TaskContext.get().partitionId(), {}
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE):
             ids = words.encode(loosened(*bytes_of(column(batch, "text"))))
             ids = [i + end for i in ids]
             sources = column(batch, "source").to_pylist()
