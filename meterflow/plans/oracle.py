@@ -355,6 +355,15 @@ _Q = {
    SELECT 1 AS delivery, * FROM ({alert_rows("(" + windows(f"(SELECT * FROM readings WHERE ingested_at < {_MIDDLE})", LOCAL) + ")")})
    UNION ALL SELECT 2, a.* FROM ({alert_rows("windows")}) a WHERE EXISTS (SELECT 1 FROM readings r WHERE r.ingested_at >= {_MIDDLE}
     AND r.grid_zone = a.grid_zone AND date_trunc('hour', r."timestamp" + {LOCAL}) - {LOCAL} = a.window_start))) WHERE place = 1""",
+    "checkpoint_fit": f"""SELECT * FROM (VALUES ('own', 'steps', 'stateStoreSave, dedupeWithinWatermark', 'stateStoreSave, dedupeWithinWatermark', true),
+   ('own', 'window_minutes', '60', '60', true), ('own', 'window start', '30', '30', true), ('own', 'watermark_minutes', '30', '30', true),
+   ('other', 'steps', 'stateStoreSave, dedupeWithinWatermark', 'stateStoreSave', false), ('other', 'window_minutes', '60', '30', false),
+   ('other', 'window start', '0', '0', true), ('other', 'watermark_minutes', '30', '45', false)) v (settings, "check", found, expected, fits)
+  UNION ALL SELECT '', 'rows of stateStoreSave', count(*)::VARCHAR, NULL, NULL FROM (
+   SELECT DISTINCT date_trunc('hour', "timestamp" + {LOCAL}) - {LOCAL} AS w, grid_zone, meter_id FROM readings)
+   WHERE w + INTERVAL 1 HOUR > (SELECT date_trunc('milliseconds', max("timestamp")) - INTERVAL 30 MINUTE FROM readings)
+  UNION ALL SELECT '', 'rows of dedupeWithinWatermark', count(*)::VARCHAR, NULL, NULL FROM (SELECT DISTINCT meter_id, "timestamp" FROM readings)
+   WHERE "timestamp" + INTERVAL 30 MINUTE > (SELECT date_trunc('milliseconds', max("timestamp")) - INTERVAL 30 MINUTE FROM readings)""",
     "stream_no_data": """SELECT grid_zone, "at" AS gap_start, next AS gap_end, datediff('microsecond', "at", next) // 1000000 AS gap_seconds FROM (
   SELECT grid_zone, ingested_at AS "at", lead(ingested_at) OVER (PARTITION BY grid_zone ORDER BY ingested_at) AS next, told
   FROM readings, (SELECT max(ingested_at) - INTERVAL 5 MINUTE AS told FROM readings)

@@ -915,3 +915,8 @@ def stream_alerts_early(m):
 @query
 def stream_no_data(m):
     return streams.no_data(m.spark, m.sf_dir)
+
+
+@query
+def checkpoint_fit(m):
+    return streams.checkpoint_fit(m.spark, m.sf_dir)

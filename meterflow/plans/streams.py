@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from meterflow.operators.energy import aggregate_energy
 from meterflow.settings import StreamSettings
 from meterflow.sources import records, standin, streams as sources
-from meterflow.streaming import jobs, silence
+from meterflow.streaming import checkpoints, jobs, silence
 from meterflow.streaming.live_table import LiveTable
 from meterflow.workspace import shared_folder
 
@@ -181,3 +181,21 @@ def no_data(spark: SparkSession, sf_dir: str, limit_seconds: int = 2 * 3600) ->
         found = silence.silences(readings, limit_seconds)
         silence.start_silences(found, f"{folder}/log", f"{folder}/checkpoint", "no_data", once=True).awaitTermination()
     return silence.silence_log(spark.read.schema(found.schema).parquet(f"{folder}/log"))
+
+
+def checkpoint_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checkpoint of a job with dedupe tells of its settings, compared with its own
+    and with others, and how many rows its steps hold at the end."""
+    def start(source, folder):
+        windows = jobs.meter_window_stream(_parsed(source), SETTINGS, dedupe=True)
+        return jobs.start_metrics(windows, f"{folder}/metrics", f"{folder}/checkpoint", "fit", once=True, settings=SETTINGS)
+
+    place = f"{_run(spark, _records(spark, sf_dir, resent=True), start, 'fit')}/checkpoint"
+    steps = ["stateStoreSave", "dedupeWithinWatermark"]
+    own = checkpoints.fitness(spark, place, SETTINGS, steps).withColumn("settings", F.lit("own"))
+    changed = StreamSettings(timezone="UTC", window_minutes=30, watermark_minutes=45)
+    other = checkpoints.fitness(spark, place, changed, steps[:1]).withColumn("settings", F.lit("other"))
+    rows = checkpoints.state_rows(spark, place).select(
+        F.concat(F.lit("rows of "), F.col("operator")).alias("check"), F.col("rows").cast("string").alias("found"),
+        F.lit(None).cast("string").alias("expected"), F.lit(None).cast("boolean").alias("fits"), F.lit("").alias("settings"))
+    return own.unionByName(other).unionByName(rows)

@@ -22,6 +22,7 @@ from meterflow.settings import (AlertThresholds, METRICS_TRIGGER_SECONDS, RAW_TR
                                 StreamSettings)
 from meterflow.sources import records, store
 from meterflow.sources.streams import trigger
+from meterflow.streaming import checkpoints
 from meterflow.streaming.live_table import LiveTable
 
 METRIC_KEY = ["window_start", "grid_zone"]
@@ -32,16 +33,16 @@ HORIZON_WINDOWS = 4
 # -- identity ----------------------------------------------------------------
 
 class Life:
-    """What a checkpoint is called: when it was made, then its id. Names sort by age."""
+    """What a checkpoint is called: when it was made, then its id. Names sort by age, and a
+    copy of a checkpoint with its job's record has the same one."""
 
     def __init__(self, checkpoint: str):
         self.checkpoint, self.name = checkpoint, None
 
     def __call__(self, spark: SparkSession) -> str:
         if self.name is None:
-            found = spark.read.format("binaryFile").load(f"{self.checkpoint.rstrip('/')}/metadata")
-            made, told = found.select(F.unix_millis("modificationTime"), F.col("content").cast("string")).first()
-            self.name = f"{made:015d}-{json.loads(told)['id']}"
+            told = spark.read.text(f"{self.checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0]
+            self.name = f"{checkpoints.made(spark, self.checkpoint):015d}-{json.loads(told)['id']}"
         return self.name
 
 
@@ -169,9 +170,15 @@ def zone_windows_view(spark: SparkSession, path: str) -> DataFrame:
 
 
 def start_metrics(windows: DataFrame, path: str, checkpoint: str, name: str, once: bool = False,
-                  mode: str = "update", seconds: int = METRICS_TRIGGER_SECONDS) -> StreamingQuery:
-    """Windows into a versioned table; each batch also gets its write time."""
+                  mode: str = "update", seconds: int = METRICS_TRIGGER_SECONDS,
+                  settings: StreamSettings | None = None) -> StreamingQuery:
+    """Windows into a versioned table; each batch also gets its write time.
 
+    With the ``settings`` that the windows were cut by, a checkpoint that other ones have
+    made is refused.
+    """
+    if settings is not None:
+        checkpoints.admit(windows.sparkSession, checkpoint, settings)
     life = Life(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -249,9 +256,10 @@ def start_metrics_and_alerts(windows: DataFrame, metrics_path: str, alerts_path:
 
     In append mode the rules see finished windows only. Update mode also sees windows that
     are still filling and warns earlier, at the price of warnings a full window would not
-    raise. Metrics go first; both writes are safe to repeat.
+    raise. Metrics go first; both writes are safe to repeat. A checkpoint made with other
+    settings is refused.
     """
-
+    checkpoints.admit(windows.sparkSession, checkpoint, settings)
     life = Life(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
