@@ -355,6 +355,12 @@ _Q = {
    SELECT 1 AS delivery, * FROM ({alert_rows("(" + windows(f"(SELECT * FROM readings WHERE ingested_at < {_MIDDLE})", LOCAL) + ")")})
    UNION ALL SELECT 2, a.* FROM ({alert_rows("windows")}) a WHERE EXISTS (SELECT 1 FROM readings r WHERE r.ingested_at >= {_MIDDLE}
     AND r.grid_zone = a.grid_zone AND date_trunc('hour', r."timestamp" + {LOCAL}) - {LOCAL} = a.window_start))) WHERE place = 1""",
+    "billing_run_day": f"""SELECT sim_day::VARCHAR AS sim_day, household_id, grid_zone, net_amount::DOUBLE AS net_amount,
+   'billing-2' AS run_id, 'SUCCESS' AS status, count(*) OVER () AS rows_written FROM bills WHERE sim_day = (
+    SELECT max(sim_day) FROM readings WHERE sim_day::TIMESTAMP + INTERVAL 1 DAY - {LOCAL} <= (SELECT max("timestamp") FROM readings) - INTERVAL 30 MINUTE)""",
+    "stream_late_rows": f"""SELECT {WINDOW_FIELDS} FROM ({windows(f"""(SELECT * FROM readings WHERE NOT (event_type = 'error' AND ingested_at < {_MIDDLE}
+   AND date_trunc('hour', "timestamp" + {LOCAL}) - {LOCAL} + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max("timestamp")) - INTERVAL 30 MINUTE
+    FROM readings WHERE event_type <> 'error' AND ingested_at < {_MIDDLE})))""", LOCAL)})""",
     "checkpoint_fit": f"""SELECT * FROM (VALUES ('own', 'steps', 'stateStoreSave, dedupeWithinWatermark', 'stateStoreSave, dedupeWithinWatermark', true),
    ('own', 'window_minutes', '60', '60', true), ('own', 'window start', '30', '30', true), ('own', 'watermark_minutes', '30', '30', true),
    ('other', 'steps', 'stateStoreSave, dedupeWithinWatermark', 'stateStoreSave', false), ('other', 'window_minutes', '60', '30', false),

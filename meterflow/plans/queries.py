@@ -870,6 +870,20 @@ def run_findings(m):
     return found.groupBy("level", "finding", "sim_day").agg(F.count(F.lit(1)).alias("households"))
 
 
+@query
+def billing_run_day(m):
+    """The newest closed day billed from the stored readings and the day's rate file, twice:
+    the second run's bills take the place of the first one's."""
+    path = shared_folder(m.spark, "billing-run")
+    store.append_readings(m.stored().select(*records.READING_COLUMNS), f"{path}/store")
+    tariff_files.write_tariff(m.tariff(), f"{path}/tariff")
+    for run_id in ("billing-1", "billing-2"):
+        billing_run.run(m.spark, *[f"{path}/{place}" for place in ("store", "tariff", "bills", "report", "ledger")], run_id)
+    runs = billing_run.read_ledger(m.spark, f"{path}/ledger").select("run_id", "status", "rows_written")
+    bills = billing_run.read_bills(m.spark, f"{path}/bills").select("sim_day", "household_id", "grid_zone", "net_amount", "run_id")
+    return bills.join(runs, "run_id")
+
+
 # -- streams -----------------------------------------------------------------
 
 @query
@@ -920,3 +934,8 @@ def stream_no_data(m):
 @query
 def checkpoint_fit(m):
     return streams.checkpoint_fit(m.spark, m.sf_dir)
+
+
+@query
+def stream_late_rows(m):
+    return streams.late_rows(m.spark, m.sf_dir)

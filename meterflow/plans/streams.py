@@ -199,3 +199,18 @@ def checkpoint_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("rows of "), F.col("operator")).alias("check"), F.col("rows").cast("string").alias("found"),
         F.lit(None).cast("string").alias("expected"), F.lit(None).cast("boolean").alias("fits"), F.lit("").alias("settings"))
     return own.unionByName(other).unionByName(rows)
+
+
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a job that is sent the first half's error events with the second half: those
+    whose window the watermark has passed by then are left out, the others still count."""
+    folder = shared_folder(spark, "late-rows")
+    readings = standin.readings(spark, sf_dir)
+    rows = readings.select("ingested_at", "event_type", records.to_records(readings).alias("value"))
+    first, last = rows.agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    on_time = (F.col("ingested_at") < F.lit(first + (last - first) / 2).cast("timestamp_ntz")) & (F.col("event_type") != "error")
+    for part in (rows.where(on_time), rows.where(~on_time)):
+        part.select("value").write.mode("append").text(f"{folder}/topic")
+        windows = jobs.meter_window_stream(_parsed(sources.file_records(spark, f"{folder}/topic")), SETTINGS)
+        jobs.start_metrics(windows, f"{folder}/metrics", f"{folder}/checkpoint", "late_rows", once=True, settings=SETTINGS).awaitTermination()
+    return jobs.zone_windows_view(spark, f"{folder}/metrics").drop("updated_at")
