@@ -6,7 +6,8 @@ The order puts last what tasks have met in several sets, and before that shingle
 common words. Then:
 
 1. Every set is compared with the sets it shares most prefix tokens with, among the
-   smallest and largest keys of each token. The links found partition the sets into groups.
+   smallest and largest keys of each token. The links found partition the sets into groups,
+   which are compared with each other in the same way, as if each was one set.
 2. Groups, in parts of bounded size, are stored with their members' token union. A set
    that shares a prefix token with a part of another group is a query to it. The overlap
    with the union bounds the overlap with every member, so only parts where it is large
@@ -19,7 +20,8 @@ lost. Comparisons are exact but for the chance of equal 64-bit hashes.
 Defined results: null texts and texts without words have empty sets and link with nothing;
 texts with fewer words than a shingle are one shingle of them all; repeated rows are equal
 sets; a null doc_id takes part and is passed over for the smallest id. Extra columns are
-ignored by ``linked`` and kept by ``one_of_each``.
+ignored by ``linked`` and kept by ``one_of_each``, which leaves one row of each component
+whatever its ids are.
 """
 
 from __future__ import annotations
@@ -40,6 +42,9 @@ from meterflow.llm.components import components
 FREQUENT, COMMON, COUNTED = 200_000, 8192, 1 << 21
 #: Ranges of hash by which a set's tokens are counted, prefix tokens of a bucket.
 RANGES, BUCKET = 128, 1 << 20
+#: Sets of other groups that a group is compared with in each turn before questions are
+#: asked, and turns at most. They shape the work only.
+ENDS, TURNS = 8, 2
 #: Members of a part of a group, on average.
 PART = 64
 #: Bits of the filter that tells tasks which sets others ask for.
@@ -318,6 +323,22 @@ def stars(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, met.where("token is not null").select("token")
 
 
+def group_ends(found: DataFrame, label: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of keys of different groups: of each group the ENDS that share most tokens.
+
+    A token leads all its sets to two of them, chosen by a hash that each turn changes. So,
+    as with single sets, it yields two pairs for each set, not one for each two of them.
+    """
+    named = found.join(label, F.col("key") == F.col("node"), "left").select(
+        "token", "key", F.coalesce("label", "key").alias("grp"), F.xxhash64("key", F.lit(turn)).alias("by"))
+    ends = named.groupBy("token").agg(*[of(F.struct("by", "grp", "key")).alias(name) for of, name in ((F.min, "low"), (F.max, "high"))])
+    met = named.join(ends, "token").select("key", "grp", F.explode(F.array("low", "high")).alias("end")).where("grp <> end.grp")
+    near = met.groupBy("grp", "key", F.col("end.key").alias("other")).agg(F.count("*").alias("c"))
+    order = Window.partitionBy("grp").orderBy(F.desc("c"), "key", "other")
+    near = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ENDS)
+    return near.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
+
+
 def filter_of(values: DataFrame) -> np.ndarray:
     """A bitmap of the values' first bits: of fixed size, so it can go to every task."""
     place = F.shiftrightunsigned(F.col(values.columns[0]), 64 - FILTER_BITS)
@@ -419,8 +440,18 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     label = kept(components(first, "a", "b"), "groups")
     released(docs.sparkSession)
 
-    # 2. parts of groups, their unions, queries to other groups' parts
+    # a large cluster falls into many groups at first: groups are taken for single sets, each
+    # compared with some that its tokens lead to, and what links is one group
     found = kept(postings(heads, shared), "postings")
+    for turn in range(TURNS):
+        more = _linked_pairs(docs, k, group_ends(found, label, turn), sketches, num, den, "contracting-links")
+        if more.isEmpty():
+            break
+        first = kept(first.unionByName(more), "contracted-links")
+        label = kept(components(first, "a", "b"), "contracted-groups")
+        released(docs.sparkSession)
+
+    # 2. parts of groups, their unions, queries to other groups' parts
     sizes = label.groupBy("label").agg(F.count("*").alias("size"))
     grouped = label.join(sizes, "label").select(
         F.col("node").alias("key"), F.col("label").alias("grp"), "size",
@@ -440,7 +471,7 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
         & (F.col("q.n") * den >= F.col("s.least") * num) & (F.col("s.most") * den >= F.col("q.n") * num)
         & (F.least("q.room", "s.room") * (den * (num + den)) >= need))
     asks = kept(asks.select(
-        F.col("q.key").alias("a"), F.col("q.grp").alias("own"), F.col("s.grp").alias("grp"), F.col("s.part").alias("part")).distinct(), "asks")
+        F.col("q.key").alias("a"), F.col("q.grp").alias("own"), F.col("s.grp").alias("grp"), F.col("s.part").alias("part"), F.col("s.size").alias("size")).distinct(), "asks")
 
     # two groups need one link only: one pair of members of each two is compared first, and
     # what the groups that it joins ask of each other falls away
@@ -449,13 +480,24 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     tries = asks.groupBy("own", "grp").agg(F.min(F.struct("a", "part")).alias("t")).select("grp", "t.*")
     joined = _linked_pairs(docs, k, tries.join(members, ["grp", "part"]).select("a", "b"), sketches, num, den, "joining-links")
     first = kept(first.unionByName(joined), "all-first-links")
-    label = kept(components(first, "a", "b"), "joined-groups")
-    named = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-    asks = asks.join(named("own"), "own", "left").join(named("grp"), "grp", "left")
-    asks = kept(asks.where(F.coalesce("own_label", "own") != F.coalesce("grp_label", "grp")).select("a", "grp", "part"), "open-asks")
 
+    # then every set asks one part of each group of several, and what is joined by that falls
+    # away too, before all that is still open is asked
+    for several in (True, False):
+        label = kept(components(first, "a", "b"), "joined-groups")
+        named = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))  # noqa: E731, B023
+        asks = asks.join(named("a"), "a", "left").join(named("grp"), "grp", "left")
+        asks = kept(asks.where(F.coalesce("a_label", "a") != F.coalesce("grp_label", "grp")).select("a", "grp", "part", "size"), "open-asks")
+        now = asks.where("size > 1").groupBy("a", "grp").agg(F.min("part").alias("part")) if several else asks.select("a", "grp", "part")
+        first = kept(first.unionByName(_answered(docs, k, num, den, now, member, sketches)), "answered-links")
+        released(docs.sparkSession)
+    return rows.select("doc_id", "key", "n"), first
+
+
+def _answered(docs: DataFrame, k: int, num: int, den: int, asks: DataFrame, member: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Links (a, b) of sets with members of the parts they ask (a, grp, part): parts are
+    opened where the bound on the overlap with their union allows it."""
     # a part with one member is that member: its bound is the comparison itself
-    released(docs.sparkSession)
     asked = member.join(asks.select("grp", "part").distinct(), ["grp", "part"])
     bound = lambda n, m, o: den * o >= num * (n if m < 0 else n + m - o)
     query = sketches.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col("ranges").alias("left_ranges"))
@@ -465,7 +507,6 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
             "grp long, part long, right_n long, right_ranges binary")
     likely = kept(_checked(asks.join(query, "a").join(ranges, ["grp", "part"]), bound, ["a", "grp", "part"], "ranges"), "likely")
     inside = kept(asked.select("key", "grp", "part").join(likely.select("grp", "part").distinct(), ["grp", "part"]), "inside")
-    released(docs.sparkSession)
 
     sets = kept(full_sets(docs, k, likely.select("a").unionByName(inside.select(F.col("key").alias("a"))).distinct()), "asked-sets")
     parts = inside.groupBy("grp", "part").agg(F.count("*").alias("members"), F.min("key").alias("b"))
@@ -480,8 +521,7 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     compared = opened.join(several.select(F.col("key").alias("b"), "grp", "part"), ["grp", "part"]).select("a", "b")
     compared = kept(compared.unionByName(told.where("members = 1").select("a", "b")), "compared")
     enough = lambda n, m, o: den * o >= num * (n + m - o)
-    more = kept(_checked(_paired(compared, sets, "tokens"), enough, ["a", "b"]), "more-links")
-    return rows.select("doc_id", "key", "n"), first.unionByName(more)
+    return kept(_checked(_paired(compared, sets, "tokens"), enough, ["a", "b"]), "more-links")
 
 
 def _unions(join, what: str):
@@ -513,13 +553,18 @@ def linked(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns.
+    """One row of each component, with all its columns: the one with the smallest id, null
+    last, and of equal ids the first in the table.
 
-    A row repeated whole stays once; rows without an id can't be named and all stay.
+    Rows are numbered by their place in the scan, so ``docs`` should be a table. Texts without
+    words are linked with nothing and all stay.
     """
-    stay = linked(docs, k, num, den).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    row = next(f"row_{i}" for i in range(len(docs.columns) + 1) if f"row_{i}" not in docs.columns)
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    found = linked(numbered.select(F.col(row).alias("doc_id"), "text"), k, num, den)
+    named = numbered.select(F.col(row).alias("row"), "doc_id").join(found.select(F.col("doc_id").alias("row"), "component_id"), "row")
+    stays = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    return numbered.join(stays.select(F.col("first.row").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 #: ``linked`` with 4 words and a similarity of 0.85, for DuckDB.

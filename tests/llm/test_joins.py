@@ -125,6 +125,37 @@ def test_one_of_each_group_stays(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [10, 2, 9, None]
 
 
+def test_one_of_each_without_ids_or_with_repeated_ones(spark):
+    near = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"else{i}" for i in range(40))
+    rows = [(None, near, "a"), (None, near + " more", "b"), (5, near + " again", "c"), (5, other, "d"), (3, other + " x", "e"), (7, other, "f"),
+            (None, "lone words without an id here", "g"), (None, None, "h"), (8, "", "i"), (9, near + " y", "j")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row_0 string")
+    kept = jaccard_groups.one_of_each(df)
+    assert kept.columns == df.columns and sorted(r.row_0 for r in kept.collect()) == ["c", "e", "g", "h", "i"]
+    without = df.where("doc_id is null and text like 'word%'")
+    assert jaccard_groups.one_of_each(without).count() == 1 and jaccard_groups.one_of_each(df.limit(0)).count() == 0
+
+
+def test_a_cluster_of_many_variants_is_one_component(spark, sf_dir):
+    """Members differ from a common text in places of their own: few pairs link, all are reachable."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 1, 2])):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    passage = [f"p{i}" for i in range(60)]
+    rows += [(1000 + i, " ".join(passage + [f"own{i}_{j}" for j in range(60)])) for i in range(400)]     # half in common: no link
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {r.doc_id: r.component_id for r in jaccard_groups.linked(df, 4, 85, 100).collect()}
+    sets = {i: {tuple(t.split()[j:j + 4]) for j in range(len(t.split()) - 3)} for i, t in rows}
+    pairs = [(a, b) for a in sets for b in sets if a < b < 1000 and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    assert got == labels(set(sets), pairs) | {i: i for i in sets if i >= 1000}
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_equal_union_find(spark, seed):
     rng = random.Random(seed)
