@@ -8,6 +8,9 @@ from meterflow.functions import hashing
 from meterflow.settings import (RATE_JITTER, SUBSIDY_PROBABILITY, TIER_RATES, TIER_WEIGHTS,
                                 check_tiers)
 
+#: Tasks at least that households are dealt out to before each gets a row a day.
+SPREAD = 128
+
 
 def quota_sample(df: DataFrame, group: str, member: str, share: str, salt: str = "solar",
                  bucket_bits: int = 12) -> DataFrame:
@@ -66,8 +69,15 @@ def daily_rate(household, day, tier, rates: dict = TIER_RATES, jitter: float = R
 def rate_table(households: DataFrame, first_day, last_day, rates: dict = TIER_RATES,
                weights: dict = TIER_WEIGHTS, subsidy_probability: float = SUBSIDY_PROBABILITY,
                jitter: float = RATE_JITTER) -> DataFrame:
-    """One row per household and day between two days (Columns or literals)."""
-    terms = household_terms(households, rates, weights, subsidy_probability)
+    """One row per household and day between two days (Columns or literals).
+
+    A file of households is small however many rows they become, so one task would read and
+    multiply them all. They are dealt out first, to a number that adaptive execution keeps:
+    it knows the households' size only.
+    """
+    tasks = max(SPREAD, int(households.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = households.repartition(tasks, "household_id")
+    terms = household_terms(dealt, rates, weights, subsidy_probability)
     dated = terms.withColumn(
         "sim_day", F.explode(F.sequence(first_day.cast("date"), last_day.cast("date")))
     )

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from meterflow.operators import audit, billing, energy
+from meterflow.operators import audit, billing, energy, sampling
 from meterflow.settings import BillingTerms
 from tests.helpers import readings, rows
 
@@ -122,3 +122,12 @@ def test_impossible_bills(spark):
     bills = billing.bills_from_usage(usage(spark, ("H-1", "18", "6")), rates(spark, ("H-1", "45", True)))
     broken = bills.withColumn("net_kwh", F.lit(99).cast("decimal(18,4)"))
     assert rows(audit.impossible_bills(bills.unionByName(broken)).select("bills", "impossible")) == [(2, 1)]
+
+
+def test_rates_of_one_file_of_households_are_made_and_counted_in_many_tasks(spark):
+    who = spark.range(2000).coalesce(1).select(F.concat(F.lit("H-"), F.col("id")).alias("household_id"))
+    table = sampling.rate_table(who, F.lit("2026-01-01"), F.lit("2026-01-10"))
+    per_task = [r["count"] for r in table.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(per_task) == 20_000 and max(per_task) < 1000
+    twice = billing.repeated_tariffs(table.unionByName(table.where("household_id <> 'H-7'")))
+    assert twice.count() == 19_990 and twice.where("rate_rows <> 2").isEmpty()
