@@ -62,7 +62,16 @@ def kept(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession, name)}/table"
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.kept_at = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables that ``kept`` has written, once all that is made of them is written."""
+    for table in tables:
+        place = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table.kept_at).getParent()
+        place.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def released(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import kept
+from meterflow.llm.common import dropped, kept, released
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -14,20 +14,27 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     Each turn joins every node to the smallest one near it, large neighbours first, then
     small ones, so paths shorten by more than half. No node's links are ever gathered:
     minima are pre-aggregated and joined back, which splits where a node has very many.
+    The result is a table of its own; those of the turns before it are dropped.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     edges, before = kept(edges, "links"), None
+    written = edges
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         edges = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         near = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = kept(near.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        last, edges = written, kept(near.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        written = edges
+        dropped(last)
+        released(links.sparkSession)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
             break
         before = now
     roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
-        roots.select("node", F.col("node").alias("label")))
+    labels = kept(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
+        roots.select("node", F.col("node").alias("label"))), "groups")
+    dropped(written)
+    return labels

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import bytes_of, column, kept, pieces, released
+from meterflow.llm.common import bytes_of, column, dropped, kept, pieces, released
 from meterflow.llm.components import components
 
 #: Tokens that the order puts last at most, words taken for common ones, and the shingles
@@ -189,6 +189,7 @@ def order_of(docs: DataFrame, k: int) -> dict:
     counts = kept(counted(docs, k), "counts")
     often = counts.where("kind = 0 and c >= 4").orderBy(F.desc("c"), "hash").limit(FREQUENT).toArrow()
     words = counts.where("kind = 1").orderBy(F.desc("c"), "hash").limit(COMMON).toArrow()
+    dropped(counts)
     h, c = (words.column(x).to_numpy() for x in ("hash", "c"))
     h = h.astype(np.int64).view(np.uint64)
     at = np.argsort(h)
@@ -421,7 +422,11 @@ def _linked_pairs(docs: DataFrame, k: int, pairs: DataFrame, sketches: DataFrame
     near = kept(_checked(_paired(pairs, sketches, "ranges"), enough, ["a", "b"], "ranges"), f"{name}-pairs")
     wanted = near.select("a").unionByName(near.select(F.col("b").alias("a"))).distinct()
     sets = kept(full_sets(docs, k, wanted), f"{name}-sets")
-    return kept(_checked(_paired(near, sets, "tokens"), enough, ["a", "b"]), name)
+    released(docs.sparkSession)
+    found = kept(_checked(_paired(near, sets, "tokens"), enough, ["a", "b"]), name)
+    dropped(near, sets)
+    released(docs.sparkSession)
+    return found
 
 
 def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -437,7 +442,7 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     near = near.withColumn("rank", F.row_number().over(order)).where("rank <= 2")
     pairs = near.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
     first = _linked_pairs(docs, k, pairs, sketches, num, den, "first-links")
-    label = kept(components(first, "a", "b"), "groups")
+    label = components(first, "a", "b")
     released(docs.sparkSession)
 
     # a large cluster falls into many groups at first: groups are taken for single sets, each
@@ -446,9 +451,11 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     for turn in range(TURNS):
         more = _linked_pairs(docs, k, group_ends(found, label, turn), sketches, num, den, "contracting-links")
         if more.isEmpty():
+            dropped(more)
             break
-        first = kept(first.unionByName(more), "contracted-links")
-        label = kept(components(first, "a", "b"), "contracted-groups")
+        few, first = first, kept(first.unionByName(more), "contracted-links")
+        last, label = label, components(first, "a", "b")
+        dropped(few, more, last)
         released(docs.sparkSession)
 
     # 2. parts of groups, their unions, queries to other groups' parts
@@ -459,9 +466,11 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     member = heads.select("key", "n").dropDuplicates(["key"]).join(grouped, "key", "left").select(
         "key", "n", F.coalesce("grp", "key").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("part", F.lit(0)).alias("part"))
     member = kept(member, "members")
-    index = kept(found.join(member, "key"), "index")
-    across = index.groupBy("token").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("token")
-    index = kept(index.join(across, "token"), "across")
+    whole = kept(found.join(member, "key"), "index")
+    dropped(found, label)
+    across = whole.groupBy("token").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("token")
+    index = kept(whole.join(across, "token"), "across")
+    dropped(whole)
     of_part = index.groupBy("token", "grp", "size", "part").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max("room").alias("room"))
     # the first token that two linked sets share leaves both room for the overlap they need
@@ -475,22 +484,30 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
 
     # two groups need one link only: one pair of members of each two is compared first, and
     # what the groups that it joins ask of each other falls away
+    dropped(index)
     released(docs.sparkSession)
     members = member.groupBy("grp", "part").agg(F.max("key").alias("b"))
     tries = asks.groupBy("own", "grp").agg(F.min(F.struct("a", "part")).alias("t")).select("grp", "t.*")
     joined = _linked_pairs(docs, k, tries.join(members, ["grp", "part"]).select("a", "b"), sketches, num, den, "joining-links")
-    first = kept(first.unionByName(joined), "all-first-links")
+    few, first = first, kept(first.unionByName(joined), "all-first-links")
+    dropped(few, joined)
 
     # then every set asks one part of each group of several, and what is joined by that falls
     # away too, before all that is still open is asked
+    asked = asks
     for several in (True, False):
-        label = kept(components(first, "a", "b"), "joined-groups")
+        label = components(first, "a", "b")
         named = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))  # noqa: E731, B023
         asks = asks.join(named("a"), "a", "left").join(named("grp"), "grp", "left")
-        asks = kept(asks.where(F.coalesce("a_label", "a") != F.coalesce("grp_label", "grp")).select("a", "grp", "part", "size"), "open-asks")
+        whole, asks = asked, kept(asks.where(F.coalesce("a_label", "a") != F.coalesce("grp_label", "grp")).select("a", "grp", "part", "size"), "open-asks")
+        dropped(whole, label)
+        asked = asks
         now = asks.where("size > 1").groupBy("a", "grp").agg(F.min("part").alias("part")) if several else asks.select("a", "grp", "part")
-        first = kept(first.unionByName(_answered(docs, k, num, den, now, member, sketches)), "answered-links")
+        more = _answered(docs, k, num, den, now, member, sketches)
+        few, first = first, kept(first.unionByName(more), "answered-links")
+        dropped(few, more)
         released(docs.sparkSession)
+    dropped(asked, member)
     return rows.select("doc_id", "key", "n"), first
 
 
@@ -522,7 +539,10 @@ def _answered(docs: DataFrame, k: int, num: int, den: int, asks: DataFrame, memb
     compared = opened.join(several.select(F.col("key").alias("b"), "grp", "part"), ["grp", "part"]).select("a", "b")
     compared = kept(compared.unionByName(told.where("members = 1").select("a", "b")), "compared")
     enough = lambda n, m, o: den * o >= num * (n + m - o)
-    return kept(_checked(_paired(compared, sets, "tokens"), enough, ["a", "b"]), "more-links")
+    found = kept(_checked(_paired(compared, sets, "tokens"), enough, ["a", "b"]), "more-links")
+    dropped(likely, inside, sets, compared)
+    released(docs.sparkSession)
+    return found
 
 
 def _unions(join, what: str):

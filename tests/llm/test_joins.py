@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from meterflow.llm import components, jaccard_groups, knn_kdtree
+from meterflow.llm import common, components, jaccard_groups, knn_kdtree
 from meterflow.llm.common import table
 
 
@@ -231,3 +232,13 @@ def test_whole_table_links(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     assert found(jaccard_groups.linked(docs)) == expected(rows, 5, 4, 5)
     assert docs.select(F.count("*")).first()[0] == len(rows)
+
+
+def test_tables_of_steps_are_dropped_once_they_are_used(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda spark, name: f"{tmp_path}/{name}/{len(list(tmp_path.glob('*/*')))}-{time.time_ns()}")
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(words[:-1] + [f"x{i % 7}"])) for i in range(40)] + [(i, f"a{i} b{i} c{i} d{i} e{i}") for i in range(40, 60)]
+    got = jaccard_groups.linked(spark.createDataFrame(docs, "doc_id long, text string"), 4, 85, 100)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: 0 if i < 40 else i for i in range(60)}
+    left = sorted(p.parent.name for p in tmp_path.glob("*/*"))
+    assert left == ["answered-links", "far", "groups", "ids", "prefixes"]
