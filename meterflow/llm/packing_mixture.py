@@ -30,7 +30,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +58,7 @@ REMEMBERED = 350_000
 #: letters, which no normalisation changes further. Other words go to the library whole.
 _CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
 _BYTES = np.arange(256)
-_FOLDED = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
+_FOLDED = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8).tobytes()
 _IN_WORD = ((_BYTES >= 97) & (_BYTES <= 122)) | ((_BYTES >= 48) & (_BYTES <= 57))
 _MARK, _BLANK = np.isin(_BYTES, list(b".,;:!?")), np.isin(_BYTES, (9, 10, 11, 12, 13, 32))
 
@@ -67,14 +69,11 @@ def loosened(flat: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     be a special token's string are left as they are."""
     data = flat.tobytes()
     if b"<|" not in data and len(flat) > 2:
-        flat = _FOLDED[flat]
-        ends = np.zeros(len(flat), dtype=bool)
-        ends[1:-1] = _MARK[flat[1:-1]] & _IN_WORD[flat[:-2]] & _BLANK[flat[2:]]
-        added = np.concatenate(([0], np.cumsum(ends)))
-        at = np.flatnonzero(ends)
-        flat = np.repeat(flat, 1 + ends)
-        flat[at + np.arange(len(at))] = 32
-        offsets, data = offsets + added[offsets], flat.tobytes()
+        data = data.translate(_FOLDED)
+        flat = np.frombuffer(data, dtype=np.uint8)
+        at = np.flatnonzero(_MARK[flat[1:-1]]) + 1
+        at = at[_IN_WORD[flat[at - 1]] & _BLANK[flat[at + 1]]]
+        offsets, data = offsets + np.searchsorted(at, offsets), np.insert(flat, at, 32).tobytes()
     return [data[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
 
 
@@ -119,35 +118,39 @@ class Words:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as bytes of ``kind``."""
-        split = [t.split() for t in texts]
+        number: dict[bytes, int] = defaultdict(count().__next__)  # of each distinct word of the texts
+        split = [list(map(number.__getitem__, t.split())) for t in texts]
         if len(self.whole) > REMEMBERED:
             self.old_whole, self.whole = self.whole, {}
         if len(self.parts) > REMEMBERED:
             self.old_parts, self.parts = self.parts, {}
         whole, parts, old, old_parts = self.whole, self.parts, self.old_whole, self.old_parts
-        new = set().union(*split).difference(whole)
-        for w in new.intersection(old):
-            whole[w] = old[w]
-        new = list(new.difference(whole))
         cuts, other = {}, []
-        for w in new:
-            text = w.decode()
-            if _PLAIN(text):
+        for w in number:
+            if w in whole:
+                continue
+            if w in old:
+                whole[w] = old[w]
+            elif w.isalpha():  # letters of ASCII only: one pretoken
+                cuts[w] = (w.lower().decode(),)
+            elif _PLAIN(text := w.decode()):
                 cuts[w] = _CUT(text.lower())
             else:
                 other.append((w, text))
         whole.update(zip([w for w, _ in other], self._ask([t for _, t in other]), strict=True))
-        unknown = set().union(*cuts.values()).difference(parts)
-        for p in unknown.intersection(old_parts):
-            parts[p] = old_parts[p]
-        unknown = list(unknown.difference(parts))
+        unknown = []
+        for p in set().union(*cuts.values()).difference(parts):
+            if p in old_parts:
+                parts[p] = old_parts[p]
+            else:
+                unknown.append(p)
         for i in range(0, len(unknown), 4096):
             some = unknown[i:i + 4096]
             parts.update(zip(some, self._ask_pretokens(some), strict=True))
         for w, cut in cuts.items():
             whole[w] = parts[cut[0]] if len(cut) == 1 else b"".join([parts[p] for p in cut])
-        get = whole.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        ids = [whole[w] for w in number]
+        return [b"".join([ids[i] for i in words]) for words in split]
 
 
 _LOADED: dict[str, Words] = {}
