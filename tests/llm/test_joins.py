@@ -168,6 +168,22 @@ def test_components_equal_union_find(spark, seed):
     assert components.components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
+def test_links_of_many_tasks_and_of_one_have_the_same_components(spark, monkeypatch):
+    rng = random.Random(3)
+    pairs = [(rng.randrange(60), rng.randrange(60)) for _ in range(25)] + [(100 + i, 101 + i) for i in range(30)] + [(9, 200 + i) for i in range(20)]
+    df = spark.createDataFrame(pairs, "a long, b long").repartition(8)
+    want = labels({x for a, b in pairs if a != b for x in (a, b)}, [p for p in pairs if p[0] != p[1]])
+    spark.sparkContext.setJobGroup("few links", "few links")
+    got = components.components(df, "a", "b")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    assert len(tracker.getJobIdsForGroup("few links")) <= 6    # turns of shuffles took more
+    assert {r.node: r.label for r in got.collect()} == want
+    monkeypatch.setattr(components, "FOREST", 16)
+    several = components.components(df, "a", "b").collect()
+    assert len(several) == len(want) and {r.node: r.label for r in several} == want
+
+
 def nearest(rows, k, every):
     usable = [(i, np.floor(256 * np.array(v, dtype=np.float64)).astype(object)) for i, v in rows
               if v is not None and all(x is not None and np.isfinite(x) for x in v)]
