@@ -47,7 +47,7 @@ RANGES, BUCKET = 128, 1 << 20
 ENDS, TURNS = 8, 2
 #: Members of a part of a group, on average.
 PART = 64
-#: Bits of the filter that tells tasks which sets others ask for.
+#: Bits of the filter that tells tasks which texts others ask for.
 FILTER_BITS = 24
 
 _LOWER = np.arange(256)
@@ -200,8 +200,8 @@ def order_of(docs: DataFrame, k: int) -> dict:
 
 
 def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, key, n and, for the first of equal sets in a task, the prefix tokens and the
-    counts of tokens by range of hash."""
+    """doc_id, key, n, a mark of the text and, for the first of equal sets in a task, the
+    prefix tokens and the counts of tokens by range of hash."""
     order = docs.sparkSession.sparkContext.broadcast(order_of(docs, k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,10 +230,11 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 ranges.append(np.bincount((tokens >> np.uint64(57)).astype(np.int64), minlength=RANGES).astype("<u4").tobytes())
             yield pa.record_batch(
                 [column(part, "doc_id"), pa.array(keys, type=pa.int64()), pa.array(sizes, type=pa.int64()),
-                 pa.array(heads, type=pa.binary()), pa.array(ranges, type=pa.binary())],
-                names=["doc_id", "key", "n", "prefix", "ranges"])
+                 column(part, "mark"), pa.array(heads, type=pa.binary()), pa.array(ranges, type=pa.binary())],
+                names=["doc_id", "key", "n", "mark", "prefix", "ranges"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, key long, n long, prefix binary, ranges binary")
+    return marked(docs, "doc_id").mapInArrow(
+        run, "doc_id long, key long, n long, mark long, prefix binary, ranges binary")
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -369,22 +370,32 @@ def postings(heads: DataFrame, shared: DataFrame) -> DataFrame:
     return heads.select("key", "n", "prefix").mapInArrow(run, "token long, key long, room long").join(shared, "token").distinct()
 
 
+def marked(docs: DataFrame, *more: str) -> DataFrame:
+    """The texts, each with the mark by which it is known before it is taken to a set again;
+    equal marks of different texts do no harm."""
+    return docs.select(*more, "text", F.xxhash64("text").alias("mark"))
+
+
 def full_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
-    """key, n, tokens of the wanted keys' sets (and few others), made again from the texts."""
+    """key, n, tokens of the sets of texts with the wanted marks (and few others), made again
+    from these texts alone."""
     asked = docs.sparkSession.sparkContext.broadcast(filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
-        for part in pieces(batches, "text"):
-            found = [(key_of(t), t) for t in shingles(*hashed(column(part, "text")), k) if len(t)]
-            may = passes(asked.value, np.array([key for key, _ in found], dtype=np.int64))
-            new = {key: t for (key, t), ok in zip(found, may, strict=True) if ok and key not in seen}
-            seen.update(new)
-            yield pa.record_batch(
-                [pa.array(list(new), type=pa.int64()), pa.array([len(t) for t in new.values()], type=pa.int64()),
-                 pa.array([short(t) for t in new.values()], type=pa.binary())], names=["key", "n", "tokens"])
+        for batch in batches:
+            may = passes(asked.value, column(batch, "mark").to_numpy())
+            for part in pieces([batch.filter(pa.array(may))], "text"):
+                new = {}
+                for t in shingles(*hashed(column(part, "text")), k):
+                    if len(t) and (key := key_of(t)) not in seen:
+                        seen.add(key)
+                        new[key] = t
+                yield pa.record_batch(
+                    [pa.array(list(new), type=pa.int64()), pa.array([len(t) for t in new.values()], type=pa.int64()),
+                     pa.array([short(t) for t in new.values()], type=pa.binary())], names=["key", "n", "tokens"])
 
-    return docs.select("text").mapInArrow(run, "key long, n long, tokens binary").dropDuplicates(["key"])
+    return marked(docs).mapInArrow(run, "key long, n long, tokens binary").dropDuplicates(["key"])
 
 
 def _checked(rows: DataFrame, enough, names: list[str], column_of: str = "tokens") -> DataFrame:
@@ -409,18 +420,19 @@ def _checked(rows: DataFrame, enough, names: list[str], column_of: str = "tokens
     return rows.select(*names, "left_n", "right_n", f"left_{column_of}", f"right_{column_of}").mapInArrow(run, schema)
 
 
-def _paired(pairs: DataFrame, sets: DataFrame, what: str) -> DataFrame:
+def _paired(pairs: DataFrame, sets: DataFrame, *what: str) -> DataFrame:
     """Pairs (a, b) with both sets' sizes and stored columns."""
-    one = sets.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col(what).alias(f"left_{what}"))
-    two = sets.select(F.col("key").alias("b"), F.col("n").alias("right_n"), F.col(what).alias(f"right_{what}"))
+    one = sets.select(F.col("key").alias("a"), F.col("n").alias("left_n"), *(F.col(c).alias(f"left_{c}") for c in what))
+    two = sets.select(F.col("key").alias("b"), F.col("n").alias("right_n"), *(F.col(c).alias(f"right_{c}") for c in what))
     return pairs.join(one, "a").join(two, "b")
 
 
 def _linked_pairs(docs: DataFrame, k: int, pairs: DataFrame, sketches: DataFrame, num: int, den: int, name: str) -> DataFrame:
     """The pairs (a, b) of keys whose sets link: by counts first, then by their tokens."""
     enough = lambda n, m, o: den * o >= num * (n + m - o)
-    near = kept(_checked(_paired(pairs, sketches, "ranges"), enough, ["a", "b"], "ranges"), f"{name}-pairs")
-    wanted = near.select("a").unionByName(near.select(F.col("b").alias("a"))).distinct()
+    near = _checked(_paired(pairs, sketches, "ranges", "mark"), enough, ["a", "b", "left_mark", "right_mark"], "ranges")
+    near = kept(near, f"{name}-pairs")
+    wanted = near.select(F.explode(F.array("left_mark", "right_mark")))
     sets = kept(full_sets(docs, k, wanted), f"{name}-sets")
     released(docs.sparkSession)
     found = kept(_checked(_paired(near, sets, "tokens"), enough, ["a", "b"]), name)
@@ -433,7 +445,7 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     """(doc_id, key, n) of all documents, and links (a, b) of keys that connect all groups."""
     rows = kept(prefixes(docs, k, num, den), "prefixes")
     heads = rows.where(F.col("prefix").isNotNull())
-    sketches = heads.select("key", "n", "ranges").dropDuplicates(["key"])
+    sketches = heads.select("key", "n", "mark", "ranges").dropDuplicates(["key"])
 
     # 1. groups: each set with the two sets it shares most ends with
     met, shared = stars(heads)
@@ -463,10 +475,10 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     grouped = label.join(sizes, "label").select(
         F.col("node").alias("key"), F.col("label").alias("grp"), "size",
         F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / PART)).alias("part"))
-    member = heads.select("key", "n").dropDuplicates(["key"]).join(grouped, "key", "left").select(
-        "key", "n", F.coalesce("grp", "key").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("part", F.lit(0)).alias("part"))
+    member = heads.select("key", "n", "mark").dropDuplicates(["key"]).join(grouped, "key", "left").select(
+        "key", "n", "mark", F.coalesce("grp", "key").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("part", F.lit(0)).alias("part"))
     member = kept(member, "members")
-    whole = kept(found.join(member, "key"), "index")
+    whole = kept(found.join(member.drop("mark"), "key"), "index")
     dropped(found, label)
     across = whole.groupBy("token").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("token")
     index = kept(whole.join(across, "token"), "across")
@@ -517,16 +529,16 @@ def _answered(docs: DataFrame, k: int, num: int, den: int, asks: DataFrame, memb
     # a part with one member is that member: its bound is the comparison itself
     asked = member.join(asks.select("grp", "part").distinct(), ["grp", "part"])
     bound = lambda n, m, o: den * o >= num * (n if m < 0 else n + m - o)
-    query = sketches.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col("ranges").alias("left_ranges"))
+    query = sketches.select(F.col("key").alias("a"), F.col("n").alias("left_n"), "mark", F.col("ranges").alias("left_ranges"))
     ranges = asked.select("key", "grp", "part").join(sketches, "key").groupBy("grp", "part").agg(
         F.collect_list("ranges").alias("many"), F.when(F.count("*") == 1, F.max("n")).otherwise(F.lit(-1)).cast("long").alias("right_n")).mapInArrow(
             _unions(lambda many: np.sum([np.frombuffer(x, dtype="<u4") for x in many], axis=0).astype("<u4").tobytes(), "ranges"),
             "grp long, part long, right_n long, right_ranges binary")
-    likely = kept(_checked(asks.join(query, "a").join(ranges, ["grp", "part"]), bound, ["a", "grp", "part"], "ranges"), "likely")
-    inside = kept(asked.select("key", "grp", "part").join(likely.select("grp", "part").distinct(), ["grp", "part"]), "inside")
+    likely = kept(_checked(asks.join(query, "a").join(ranges, ["grp", "part"]), bound, ["a", "grp", "part", "mark"], "ranges"), "likely")
+    inside = kept(asked.select("key", "grp", "part", "mark").join(likely.select("grp", "part").distinct(), ["grp", "part"]), "inside")
     released(docs.sparkSession)
 
-    sets = kept(full_sets(docs, k, likely.select("a").unionByName(inside.select(F.col("key").alias("a"))).distinct()), "asked-sets")
+    sets = kept(full_sets(docs, k, likely.select("mark").unionByName(inside.select("mark"))), "asked-sets")
     parts = inside.groupBy("grp", "part").agg(F.count("*").alias("members"), F.min("key").alias("b"))
     told = likely.join(parts, ["grp", "part"])
     query = sets.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col("tokens").alias("left_tokens"))

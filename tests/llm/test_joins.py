@@ -184,6 +184,15 @@ def test_links_of_many_tasks_and_of_one_have_the_same_components(spark, monkeypa
     assert len(several) == len(want) and {r.node: r.label for r in several} == want
 
 
+def test_only_wanted_texts_are_taken_to_sets_again(spark):
+    texts = ["a b c d e", "A b c d E", "f g h i j", None, "", "k l m n o"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    wanted = jaccard_groups.marked(docs.where("text in ('A b c d E', 'k l m n o')")).select("mark")
+    got = {r.key: r.n for r in jaccard_groups.full_sets(docs, 4, wanted).collect()}
+    want = [jaccard_groups.key_of(t) for t in jaccard_groups.shingles(*jaccard_groups.hashed(pa.array(["a b c d e", "k l m n o"])), 4)]
+    assert got == dict.fromkeys(want, 2)
+
+
 def nearest(rows, k, every):
     usable = [(i, np.floor(256 * np.array(v, dtype=np.float64)).astype(object)) for i, v in rows
               if v is not None and all(x is not None and np.isfinite(x) for x in v)]
