@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text worked on at once inside a task; one text may be longer.
 PIECE_BYTES = 1 << 20
+#: Documents whose share of a step's table one task writes, where that leaves each core a task.
+WRITER_ROWS = 12_500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,12 +56,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def kept(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def writers(docs: DataFrame) -> int:
+    """Tasks that tables made of some documents are written by at most: it grows with the documents."""
+    return max(docs.sparkSession.sparkContext.defaultParallelism, docs.count() // WRITER_ROWS)
+
+
+def kept(df: DataFrame, name: str, codec: str = "zstd", tasks: int | None = None) -> DataFrame:
     """The frame as a table in the shared folder: read again without the work behind it.
 
     It cuts lineage like a checkpoint, and its rows stay the same however often a lost
-    executor makes Spark read them again.
+    executor makes Spark read them again. ``tasks`` bounds its files, whatever the number of
+    shuffle partitions: on a local disk Hadoop starts processes for each file, and while one
+    starts the executor's memory is held by two.
     """
+    if tasks:
+        df = df.coalesce(tasks)
     path = f"{shared_folder(df.sparkSession, name)}/table"
     df.write.option("compression", codec).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import bytes_of, column, dropped, kept, pieces, released
+from meterflow.llm.common import bytes_of, column, dropped, kept, pieces, released, writers
 from meterflow.llm.components import components
 
 #: Tokens that the order puts last at most, words taken for common ones, and the shingles
@@ -184,9 +184,9 @@ def counted(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "kind int, hash long, c long").groupBy("kind", "hash").agg(F.sum("c").alias("c"))
 
 
-def order_of(docs: DataFrame, k: int) -> dict:
+def order_of(docs: DataFrame, k: int, tasks: int | None = None) -> dict:
     """Frequent shingles, and common words with weights that rise with their logarithm."""
-    counts = kept(counted(docs, k), "counts")
+    counts = kept(counted(docs, k), "counts", tasks=tasks)
     often = counts.where("kind = 0 and c >= 4").orderBy(F.desc("c"), "hash").limit(FREQUENT).toArrow()
     words = counts.where("kind = 1").orderBy(F.desc("c"), "hash").limit(COMMON).toArrow()
     dropped(counts)
@@ -199,10 +199,10 @@ def order_of(docs: DataFrame, k: int) -> dict:
             **({"words": h[at], "weights": np.minimum(weights, 255)} if len(h) else none)}
 
 
-def prefixes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def prefixes(docs: DataFrame, k: int, num: int, den: int, tasks: int | None = None) -> DataFrame:
     """doc_id, key, n, a mark of the text and, for the first of equal sets in a task, the
     prefix tokens and the counts of tokens by range of hash."""
-    order = docs.sparkSession.sparkContext.broadcast(order_of(docs, k))
+    order = docs.sparkSession.sparkContext.broadcast(order_of(docs, k, tasks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = order.value, set()
@@ -275,7 +275,7 @@ def _starred(tokens: np.ndarray, keys: np.ndarray) -> tuple[pa.RecordBatch, np.n
     return batch, begin, low, high
 
 
-def stars(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
+def stars(heads: DataFrame, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(key, other, c): sets and the sets at the ends of tokens they share c of; and the
     tokens (token) that several sets have in their prefixes.
 
@@ -320,7 +320,7 @@ def stars(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     told = heads.select("key", "n", "prefix").mapInArrow(near, schema)  # read twice rather than stored
     met = kept(told.where("bucket is not null").select("bucket", "tokens", "keys").groupBy("bucket").applyInArrow(
-        far, "key long, other long, c long, token long"), "far")
+        far, "key long, other long, c long, token long"), "far", tasks=tasks)
     pairs = told.where("bucket is null").select("key", "other", "c").unionByName(met.where("token is null").drop("token"))
     return pairs, met.where("token is not null").select("token")
 
@@ -427,15 +427,15 @@ def _paired(pairs: DataFrame, sets: DataFrame, *what: str) -> DataFrame:
     return pairs.join(one, "a").join(two, "b")
 
 
-def _linked_pairs(docs: DataFrame, k: int, pairs: DataFrame, sketches: DataFrame, num: int, den: int, name: str) -> DataFrame:
+def _linked_pairs(docs: DataFrame, k: int, pairs: DataFrame, sketches: DataFrame, num: int, den: int, tasks: int, name: str) -> DataFrame:
     """The pairs (a, b) of keys whose sets link: by counts first, then by their tokens."""
     enough = lambda n, m, o: den * o >= num * (n + m - o)
     near = _checked(_paired(pairs, sketches, "ranges", "mark"), enough, ["a", "b", "left_mark", "right_mark"], "ranges")
-    near = kept(near, f"{name}-pairs")
+    near = kept(near, f"{name}-pairs", tasks=tasks)
     wanted = near.select(F.explode(F.array("left_mark", "right_mark")))
-    sets = kept(full_sets(docs, k, wanted), f"{name}-sets")
+    sets = kept(full_sets(docs, k, wanted), f"{name}-sets", tasks=tasks)
     released(docs.sparkSession)
-    found = kept(_checked(_paired(near, sets, "tokens"), enough, ["a", "b"]), name)
+    found = kept(_checked(_paired(near, sets, "tokens"), enough, ["a", "b"]), name, tasks=tasks)
     dropped(near, sets)
     released(docs.sparkSession)
     return found
@@ -443,31 +443,32 @@ def _linked_pairs(docs: DataFrame, k: int, pairs: DataFrame, sketches: DataFrame
 
 def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key, n) of all documents, and links (a, b) of keys that connect all groups."""
-    rows = kept(prefixes(docs, k, num, den), "prefixes")
+    tasks = writers(docs)
+    rows = kept(prefixes(docs, k, num, den, tasks), "prefixes")
     heads = rows.where(F.col("prefix").isNotNull())
     sketches = heads.select("key", "n", "mark", "ranges").dropDuplicates(["key"])
 
     # 1. groups: each set with the two sets it shares most ends with
-    met, shared = stars(heads)
+    met, shared = stars(heads, tasks)
     near = met.groupBy("key", "other").agg(F.sum("c").alias("c"))
     order = Window.partitionBy("key").orderBy(F.desc("c"), "other")
     near = near.withColumn("rank", F.row_number().over(order)).where("rank <= 2")
     pairs = near.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
-    first = _linked_pairs(docs, k, pairs, sketches, num, den, "first-links")
-    label = components(first, "a", "b")
+    first = _linked_pairs(docs, k, pairs, sketches, num, den, tasks, "first-links")
+    label, written = components(first, "a", "b"), [first]
     released(docs.sparkSession)
 
     # a large cluster falls into many groups at first: groups are taken for single sets, each
     # compared with some that its tokens lead to, and what links is one group
-    found = kept(postings(heads, shared), "postings")
+    found = kept(postings(heads, shared), "postings", tasks=tasks)
     for turn in range(TURNS):
-        more = _linked_pairs(docs, k, group_ends(found, label, turn), sketches, num, den, "contracting-links")
+        more = _linked_pairs(docs, k, group_ends(found, label, turn), sketches, num, den, tasks, "contracting-links")
         if more.isEmpty():
             dropped(more)
             break
-        few, first = first, kept(first.unionByName(more), "contracted-links")
+        first, written = first.unionByName(more), [*written, more]
         last, label = label, components(first, "a", "b")
-        dropped(few, more, last)
+        dropped(last)
         released(docs.sparkSession)
 
     # 2. parts of groups, their unions, queries to other groups' parts
@@ -477,11 +478,11 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
         F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / PART)).alias("part"))
     member = heads.select("key", "n", "mark").dropDuplicates(["key"]).join(grouped, "key", "left").select(
         "key", "n", "mark", F.coalesce("grp", "key").alias("grp"), F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("part", F.lit(0)).alias("part"))
-    member = kept(member, "members")
-    whole = kept(found.join(member.drop("mark"), "key"), "index")
+    member = kept(member, "members", tasks=tasks)
+    whole = kept(found.join(member.drop("mark"), "key"), "index", tasks=tasks)
     dropped(found, label)
     across = whole.groupBy("token").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("token")
-    index = kept(whole.join(across, "token"), "across")
+    index = kept(whole.join(across, "token"), "across", tasks=tasks)
     dropped(whole)
     of_part = index.groupBy("token", "grp", "size", "part").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max("room").alias("room"))
@@ -492,7 +493,7 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
         & (F.col("q.n") * den >= F.col("s.least") * num) & (F.col("s.most") * den >= F.col("q.n") * num)
         & (F.least("q.room", "s.room") * (den * (num + den)) >= need))
     asks = kept(asks.select(
-        F.col("q.key").alias("a"), F.col("q.grp").alias("own"), F.col("s.grp").alias("grp"), F.col("s.part").alias("part"), F.col("s.size").alias("size")).distinct(), "asks")
+        F.col("q.key").alias("a"), F.col("q.grp").alias("own"), F.col("s.grp").alias("grp"), F.col("s.part").alias("part"), F.col("s.size").alias("size")).distinct(), "asks", tasks=tasks)
 
     # two groups need one link only: one pair of members of each two is compared first, and
     # what the groups that it joins ask of each other falls away
@@ -500,9 +501,8 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
     released(docs.sparkSession)
     members = member.groupBy("grp", "part").agg(F.max("key").alias("b"))
     tries = asks.groupBy("own", "grp").agg(F.min(F.struct("a", "part")).alias("t")).select("grp", "t.*")
-    joined = _linked_pairs(docs, k, tries.join(members, ["grp", "part"]).select("a", "b"), sketches, num, den, "joining-links")
-    few, first = first, kept(first.unionByName(joined), "all-first-links")
-    dropped(few, joined)
+    joined = _linked_pairs(docs, k, tries.join(members, ["grp", "part"]).select("a", "b"), sketches, num, den, tasks, "joining-links")
+    first, written = first.unionByName(joined), [*written, joined]
 
     # then every set asks one part of each group of several, and what is joined by that falls
     # away too, before all that is still open is asked
@@ -511,19 +511,19 @@ def links(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataF
         label = components(first, "a", "b")
         named = lambda c: label.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))  # noqa: E731, B023
         asks = asks.join(named("a"), "a", "left").join(named("grp"), "grp", "left")
-        whole, asks = asked, kept(asks.where(F.coalesce("a_label", "a") != F.coalesce("grp_label", "grp")).select("a", "grp", "part", "size"), "open-asks")
+        whole, asks = asked, kept(asks.where(F.coalesce("a_label", "a") != F.coalesce("grp_label", "grp")).select("a", "grp", "part", "size"), "open-asks", tasks=tasks)
         dropped(whole, label)
         asked = asks
         now = asks.where("size > 1").groupBy("a", "grp").agg(F.min("part").alias("part")) if several else asks.select("a", "grp", "part")
-        more = _answered(docs, k, num, den, now, member, sketches)
-        few, first = first, kept(first.unionByName(more), "answered-links")
-        dropped(few, more)
+        more = _answered(docs, k, num, den, now, member, sketches, tasks)
+        first, written = first.unionByName(more), [*written, more]
         released(docs.sparkSession)
-    dropped(asked, member)
+    first = kept(first, "answered-links", tasks=tasks)
+    dropped(asked, member, *written)
     return rows.select("doc_id", "key", "n"), first
 
 
-def _answered(docs: DataFrame, k: int, num: int, den: int, asks: DataFrame, member: DataFrame, sketches: DataFrame) -> DataFrame:
+def _answered(docs: DataFrame, k: int, num: int, den: int, asks: DataFrame, member: DataFrame, sketches: DataFrame, tasks: int) -> DataFrame:
     """Links (a, b) of sets with members of the parts they ask (a, grp, part): parts are
     opened where the bound on the overlap with their union allows it."""
     # a part with one member is that member: its bound is the comparison itself
@@ -534,11 +534,11 @@ def _answered(docs: DataFrame, k: int, num: int, den: int, asks: DataFrame, memb
         F.collect_list("ranges").alias("many"), F.when(F.count("*") == 1, F.max("n")).otherwise(F.lit(-1)).cast("long").alias("right_n")).mapInArrow(
             _unions(lambda many: np.sum([np.frombuffer(x, dtype="<u4") for x in many], axis=0).astype("<u4").tobytes(), "ranges"),
             "grp long, part long, right_n long, right_ranges binary")
-    likely = kept(_checked(asks.join(query, "a").join(ranges, ["grp", "part"]), bound, ["a", "grp", "part", "mark"], "ranges"), "likely")
-    inside = kept(asked.select("key", "grp", "part", "mark").join(likely.select("grp", "part").distinct(), ["grp", "part"]), "inside")
+    likely = kept(_checked(asks.join(query, "a").join(ranges, ["grp", "part"]), bound, ["a", "grp", "part", "mark"], "ranges"), "likely", tasks=tasks)
+    inside = kept(asked.select("key", "grp", "part", "mark").join(likely.select("grp", "part").distinct(), ["grp", "part"]), "inside", tasks=tasks)
     released(docs.sparkSession)
 
-    sets = kept(full_sets(docs, k, likely.select("mark").unionByName(inside.select("mark"))), "asked-sets")
+    sets = kept(full_sets(docs, k, likely.select("mark").unionByName(inside.select("mark"))), "asked-sets", tasks=tasks)
     parts = inside.groupBy("grp", "part").agg(F.count("*").alias("members"), F.min("key").alias("b"))
     told = likely.join(parts, ["grp", "part"])
     query = sets.select(F.col("key").alias("a"), F.col("n").alias("left_n"), F.col("tokens").alias("left_tokens"))
@@ -549,9 +549,9 @@ def _answered(docs: DataFrame, k: int, num: int, den: int, asks: DataFrame, memb
             "grp long, part long, right_n long, right_tokens binary")
     opened = _checked(told.where("members > 1").select("a", "grp", "part").join(query, "a").join(unions, ["grp", "part"]), bound, ["a", "grp", "part"])
     compared = opened.join(several.select(F.col("key").alias("b"), "grp", "part"), ["grp", "part"]).select("a", "b")
-    compared = kept(compared.unionByName(told.where("members = 1").select("a", "b")), "compared")
+    compared = kept(compared.unionByName(told.where("members = 1").select("a", "b")), "compared", tasks=tasks)
     enough = lambda n, m, o: den * o >= num * (n + m - o)
-    found = kept(_checked(_paired(compared, sets, "tokens"), enough, ["a", "b"]), "more-links")
+    found = kept(_checked(_paired(compared, sets, "tokens"), enough, ["a", "b"]), "more-links", tasks=tasks)
     dropped(likely, inside, sets, compared)
     released(docs.sparkSession)
     return found
@@ -576,13 +576,14 @@ def linked(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame
     Documents link when den * intersection >= num * union of their sets of k-word shingles.
     """
     rows, found = links(docs, k, num, den)
+    tasks = writers(rows)
     label = components(found, "a", "b")
-    ids = kept(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")), "ids")
+    ids = kept(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")), "ids", tasks=tasks)
     whole = ids.join(label, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("label", "key").alias("label"))
     smallest = whole.groupBy("label").agg(F.min("least").alias("component_id"))
     of_key = whole.join(smallest, "label").select("key", "component_id")
     some = rows.where("n > 0").join(of_key, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return some.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    return some.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))).coalesce(tasks)
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -597,7 +598,7 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> Data
     found = linked(numbered.select(F.col(row).alias("doc_id"), "text"), k, num, den)
     named = numbered.select(F.col(row).alias("row"), "doc_id").join(found.select(F.col("doc_id").alias("row"), "component_id"), "row")
     stays = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
-    return numbered.join(stays.select(F.col("first.row").alias(row)), row, "left_semi").select(*docs.columns)
+    return numbered.join(stays.select(F.col("first.row").alias(row)), row, "left_semi").select(*docs.columns).coalesce(writers(docs))
 
 
 #: ``linked`` with 4 words and a similarity of 0.85, for DuckDB.

@@ -267,3 +267,38 @@ def test_tables_of_steps_are_dropped_once_they_are_used(spark, tmp_path, monkeyp
     assert {r.doc_id: r.component_id for r in got.collect()} == {i: 0 if i < 40 else i for i in range(60)}
     left = sorted(p.parent.name for p in tmp_path.glob("*/*"))
     assert left == ["answered-links", "far", "groups", "ids", "prefixes"]
+
+
+def test_tables_of_steps_have_no_more_files_than_their_writers(spark, tmp_path, monkeypatch):
+    """However many shuffle partitions there are; each table is looked at when it is written."""
+    files, write = {}, common.kept
+
+    def told(df, name, *more, **named):
+        table = write(df, name, *more, **named)
+        files[f"{name} {len(files)}"] = len(table.inputFiles())
+        return table
+
+    monkeypatch.setattr(jaccard_groups, "kept", told)
+    monkeypatch.setattr(jaccard_groups, "writers", lambda docs: 3, raising=False)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(words[:-1] + [f"x{i % 7}"])) for i in range(40)] + [(i, f"a{i} b{i} c{i} d{i} e{i}") for i in range(40, 160)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for c, v in zip(before, ("24", "false"), strict=True):
+            spark.conf.set(c, v)
+        found = jaccard_groups.linked(df, 4, 85, 100)
+        assert {r.doc_id: r.component_id for r in found.collect()} == {i: 0 if i < 40 else i for i in range(160)}
+        stays = write(jaccard_groups.one_of_each(df, 4, 85, 100), "test-stays")
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert max(files.values()) <= 3, files
+    assert len(stays.inputFiles()) <= 3 and stays.count() == 121
+
+
+def test_writers_grow_with_the_documents(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    assert common.writers(spark.range(1000)) == cores
+    monkeypatch.setattr(common, "WRITER_ROWS", 10)
+    assert common.writers(spark.range(10 * cores + 70)) == cores + 7
