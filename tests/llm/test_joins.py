@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from meterflow.llm import common, components, jaccard_groups, knn_kdtree
 from meterflow.llm.common import table
+from tests.helpers import plan
 
 
 def words_of(text):
@@ -252,6 +253,56 @@ def test_scores_beyond_a_long_are_the_nearest_long(spark):
     assert [(r.vec_id, r.score) for r in sorted(got)] == [(1, 2**63 - 1), (3, 2**63 - 1), (2, -2**63)]
 
 
+def test_search_sends_no_table_to_the_driver(spark, monkeypatch):
+    """Queries that go to many shards were broadcast as often as there are shards."""
+    monkeypatch.setattr(knn_kdtree, "SHARD_ROWS", 20)
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.integers(-6, 7, 4) / 8).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = knn_kdtree.search(df, 5, 50)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == nearest(rows, 5, 50)
+    assert "Broadcast" not in plan(got) and "collect_list" not in plan(got)
+
+
+def test_queries_go_to_a_bounded_number_of_lanes(spark, monkeypatch):
+    sent, searched = [], knn_kdtree._searched
+
+    def told(queries, members, lanes, k):
+        sent.append((queries.count(), members.count(), lanes))
+        return searched(queries, members, lanes, k)
+
+    for name, value in {"_searched": told, "SHARD_ROWS": 10, "GROUPS": 4, "CHUNK_ROWS": 8, "PART_BYTES": 400, "TASKS": 3}.items():
+        monkeypatch.setattr(knn_kdtree, name, value)
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.integers(-6, 7, 3) / 8).tolist()) for i in range(400)] + [(i, (rng.integers(-6, 7, 2) / 8).tolist()) for i in range(400, 500)]
+    rows += [(i, [0.5]) for i in range(501, 510)]    # no query has this length
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert sorted((tuple(r) for r in knn_kdtree.search(df, 5, 10).collect()), key=str) == nearest(rows, 5, 10)
+    (first, _, chunks), (rest, members, lanes) = sent
+    assert first == 50 and chunks == 5 + 2     # 40 and 10 queries
+    assert rest <= 50 * 4 and lanes <= 4 * (3 + 1)
+    assert members <= 3 * 400 + 100
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 17, 1 << 27, 1 << 40])
+def test_blocks_of_queries_search_a_tree_exactly(monkeypatch, scale):
+    """Ties, equal rows, bounds from elsewhere and candidates cut on the way, for every kind of number."""
+    monkeypatch.setattr(knn_kdtree, "LEAF", 8)
+    monkeypatch.setattr(knn_kdtree, "BLOCK_ROWS", 2)
+    rng = np.random.default_rng(7)
+    v = rng.integers(-4, 5, (300, 3)) * scale
+    v[100:200] = v[100]
+    rows, ids = rng.permutation(300), rng.integers(0, 120, 300)
+    q, own = np.concatenate([v[90:110], -v[:20]]), np.concatenate([rows[90:110], np.full(20, -1)])
+    scores = q.astype(object) @ v.T.astype(object)
+    least = np.full(len(q), np.iinfo(np.int64).min)
+    least[::3] = [max(-(1 << 63), min((1 << 63) - 1, sorted(x)[-9])) for x in scores[::3]]
+    at, score, found_ids = knn_kdtree.Tree(rows, ids, v).search(own, q, least, 5)
+    for i, (own_row, bound) in enumerate(zip(own, least, strict=True)):
+        want = sorted((-s, j) for s, j, r in zip(scores[i], ids, rows, strict=True) if r != own_row and (bound == np.iinfo(np.int64).min or s >= bound))[:5]
+        assert [(max(-(1 << 63), min((1 << 63) - 1, -s)), j) for s, j in want] == list(zip(score[at == i].tolist(), found_ids[at == i].tolist(), strict=True))
+
+
 def test_whole_table_links(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
