@@ -128,13 +128,15 @@ class Tree:
             for a in range(a, b, LEAF):  # a leaf of equal rows may be long
                 part = slice(a, min(b, a + LEAF))
                 scores = qs[asks] @ v[part].T
-                hit = (scores >= kth[asks][:, None]) & (self.rows[part] != rows[asks][:, None])
-                i, j = np.nonzero(hit)
+                i, j = np.divmod(np.flatnonzero(scores >= kth[asks][:, None]), scores.shape[1])
+                own = self.rows[a + j] == rows[asks[i]]
+                scores[i[own], j[own]] = none
+                i, j = i[~own], j[~own]
                 if not len(i):
                     continue
                 best.append((asks[i], scores[i, j], a + j))
                 some = np.unique(i)
-                several = np.concatenate([tops[asks[some]], np.where(hit[some], scores[some], none)], axis=1)
+                several = np.concatenate([tops[asks[some]], scores[some]], axis=1)
                 tops[asks[some]] = several = np.partition(several, several.shape[1] - k, axis=1)[:, -k:]
                 kth[asks[some]] = np.maximum(kth[asks[some]], several[:, 0])
                 if sum(len(x[0]) for x in best) > 8 * LEAF * BLOCK_ROWS:
